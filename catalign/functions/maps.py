@@ -23,15 +23,15 @@ def known_map(**values: Column) -> Column:
 
 
 def overlay(base: Column, *later: Column) -> Column:
-    """Merge maps, later ones win; needs no session setting for double keys."""
+    """Merge maps without null values, later ones win; needs no session setting for double keys."""
     for top in later:
-        base = with_defaults(top, base)
+        base = F.map_zip_with(base, top, lambda _k, old, new: F.coalesce(new, old))
     return base
 
 
 def with_defaults(specs: Column, defaults: Column) -> Column:
     """Add the defaults whose key is absent."""
-    return F.map_concat(F.map_filter(defaults, lambda k, _: ~F.map_contains_key(specs, k)), specs)
+    return F.map_zip_with(specs, defaults, lambda _k, own, default: F.coalesce(own, default))
 
 
 def without(specs: Column, *keys: str) -> Column:
