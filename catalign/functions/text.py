@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -26,7 +27,13 @@ def first_word(text: Column, words: Sequence[str]) -> Column:
 
 
 def any_word(text: Column, words: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [text.contains(w) for w in words])
+    """Whether any word occurs; one pattern, so ``text`` is evaluated once."""
+    return text.rlike("|".join(re.escape(w) for w in words))
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once per row, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def squeeze(text: Column) -> Column:
@@ -131,9 +138,12 @@ def page_lines(text: Column) -> Column:
 
 def code_lines(text: Column, code: Column) -> tuple[Column, Column]:
     """The first line that contains ``code`` and the line after it (null when there is none)."""
-    lines = page_lines(text)
-    at = F.nullif(F.array_position(F.transform(lines, lambda line: line.contains(code)), F.lit(True)), F.lit(0))
-    return F.get(lines, (at - 1).cast("int")), F.get(lines, at.cast("int"))
+    def pair(lines: Column) -> Column:
+        at = F.nullif(F.array_position(F.transform(lines, lambda line: line.contains(code)), F.lit(True)), F.lit(0))
+        return F.array(F.get(lines, (at - 1).cast("int")), F.get(lines, at.cast("int")))
+
+    found = let(page_lines(text), pair)
+    return F.get(found, F.lit(0)), F.get(found, F.lit(1))
 
 
 def line_fields(text: Column, code: Column) -> dict[str, Column]:
@@ -185,19 +195,15 @@ def squashed(text: Column) -> Column:
     return F.regexp_replace(F.upper(text), "[^A-Z0-9]+", "")
 
 
-def page_title(text: Column) -> dict[str, Column]:
-    """Model, configuration and category of a page from its first known title."""
-    bare = squashed(text)
-
-    def found(title: str, absent: str | None) -> Column:
-        if absent is None:
-            return bare.contains(title)
-        return bare.rlike(f"{title}(?!.*({absent}))")
-
-    def column(i: int) -> Column:
-        return F.coalesce(*[F.when(found(t[0], t[1]), F.lit(t[i])) for t in fixed.PAGE_TITLES])
+def page_title(text: Column) -> Column:
+    """Struct of model, configuration and category from the page's first known title; null without one."""
+    def first(bare: Column) -> Column:
+        return F.coalesce(*[
+            F.when(bare.contains(title) if absent is None else bare.rlike(f"{title}(?!.*({absent}))"),
+                   F.struct(F.lit(model).alias("model"), F.lit(setup).alias("configuration"), F.lit(kind).alias("category")))
+            for title, absent, model, setup, kind in fixed.PAGE_TITLES])
 
-    return {"model": column(2), "configuration": column(3), "category": column(4)}
+    return let(squashed(text), first)
 
 
 def page_is_relevant(text: Column) -> Column:

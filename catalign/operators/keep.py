@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from catalign.functions.text import let
+
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1,
                 rank: str | None = None) -> DataFrame:
@@ -49,9 +51,17 @@ def dedup_first(df: DataFrame, group: Sequence[str], value: str, position: str,
             .drop("_normal"))
 
 
+def rank_option_rows(options: DataFrame, keys: Sequence[str | Column], confidence: str, position: str) -> DataFrame:
+    """Options in long form: best confidence per key at the place of its first detection."""
+    return options.groupBy(*keys).agg(F.max(confidence).alias(confidence), F.min(position).alias(position))
+
+
 def dedup_array(items: Column, normal) -> Column:
     """Ordered dedup of an array column under ``normal`` (Column -> Column), first kept."""
-    keys = F.transform(items, normal)
-    placed = F.transform(items, lambda v, i: F.struct(v.alias("v"), i.alias("i")))
-    firsts = F.filter(placed, lambda s: F.array_position(keys, normal(s["v"])) == s["i"] + 1)
-    return F.transform(firsts, lambda s: s["v"])
+    placed = F.transform(items, lambda v, i: F.struct(v.alias("v"), i.alias("i"), normal(v).alias("k")))
+
+    def firsts(rows: Column) -> Column:
+        return let(F.transform(rows, lambda s: s["k"]), lambda keys: F.transform(
+            F.filter(rows, lambda s: F.array_position(keys, s["k"]) == s["i"] + 1), lambda s: s["v"]))
+
+    return let(placed, firsts)

@@ -121,7 +121,7 @@ LINES = ["S U M M I T   X", "what''s new".replace("''", "'"), "PACKAGE HIGHLIGHT
 PAGE_TEXT = f"""
 SELECT {pick('p_size', ['LYNX 2026 SPEC BOOK.pdf', 'SKI-DOO_2025-PRICE_LIST.pdf', 'SKIDOO_MY24_PRICE_LIST.pdf'])} AS doc,
        CAST(p_partkey AS BIGINT) AS page,
-       {" || chr(10) || ".join("(" + pick(f'p_partkey * {m} + p_size * {s} + {i}', LINES) + ")" for i, (m, s) in enumerate([(0, 0), (7, 1), (3, 2), (11, 5), (13, 3), (1, 7), (17, 1), (19, 4), (23, 2), (29, 6), (31, 3), (37, 1)]))} AS text
+       {" || chr(10) || ".join("(" + pick(f'p_partkey * {m} + p_size * {s} + {i}', LINES) + ")" for i, (m, s) in enumerate([(1, 0), (7, 1), (3, 2), (11, 5), (13, 3), (1, 7), (17, 1), (19, 4), (23, 2), (29, 6), (31, 3), (37, 1)]))} AS text
 FROM {{part}}"""
 
 RUN_LOG = f"""

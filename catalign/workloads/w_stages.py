@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalign.functions import bands, fixed, maps
+from catalign.operators.keep import rank_option_rows
 from catalign.plans import stages
 from catalign.tables import Tables
 from catalign.workloads import query
@@ -211,18 +212,11 @@ def _(t):
 
 
 @query("u03_rank_options", """
-WITH o AS (SELECT l_orderkey, l_shipmode, c, i FROM (SELECT l_orderkey, l_returnflag || l_linestatus AS l_shipmode, l_discount AS c,
-  row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate) AS i FROM lineitem) x),
- k AS (SELECT l_orderkey, l_shipmode, max(c) AS c, min(i) AS i FROM o GROUP BY 1, 2)
-SELECT l_orderkey, string_agg(l_shipmode || '=' || round(c, 2), ';' ORDER BY c DESC, i) AS options FROM k GROUP BY 1""")
+SELECT l_orderkey, lower(l_returnflag || l_linestatus) AS option, max(l_discount) AS confidence, min(l_linenumber) AS first_line FROM lineitem GROUP BY 1, 2""")
 def _(t):
-    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
-    kind = F.concat("l_returnflag", "l_linestatus")
-    made = F.struct(kind.alias("type"), kind.alias("description"), F.col("l_discount").alias("confidence"), F.lit("x").alias("method"))
-    packed = t.lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(*order, made.alias("o")))).alias("p"))
-    ranked = stages.rank_options(F.transform("p", lambda x: x["o"]))
-    return packed.select("l_orderkey", F.array_join(F.transform(
-        ranked, lambda o: F.concat(o["type"], F.lit("="), F.round(o["confidence"], 2).cast("string"))), ";").alias("options"))
+    kind = F.lower(F.concat("l_returnflag", "l_linestatus"))
+    ranked = rank_option_rows(t.lineitem, ["l_orderkey", kind.alias("option")], "l_discount", "l_linenumber")
+    return ranked.select("l_orderkey", "option", F.col("l_discount").alias("confidence"), F.col("l_linenumber").alias("first_line"))
 
 
 @query("f23_map_overlay", f"SELECT entry_id, {shown(over('base_specs', _code))} AS specs FROM ({INHERITED}) i")

@@ -195,7 +195,7 @@ BARE = f"(SELECT *, regexp_replace(upper(text), '[^A-Z0-9]+', '', 'g') AS bare F
 
 @query("f17_page_title", f"SELECT page, {title_sql(2)} AS model, {title_sql(3)} AS configuration, {title_sql(4)} AS category FROM {BARE} b")
 def _(t):
-    return t.select(PAGE_TEXT).select("page", *[c.alias(n) for n, c in text.page_title(F.col("text")).items()])
+    return t.select(PAGE_TEXT).select("page", text.page_title(F.col("text")).alias("title")).select("page", "title.*")
 
 
 def _any(c: str, words) -> str:
