@@ -1,9 +1,9 @@
 """Compare every text with a list of names without emitting pairs.
 
-The list is cut into tiles of bounded size and texts into chunks of bounded size, both by hash of
-distinct values, so no task depends on how often a value or a brand occurs. A task sees one chunk
-and one tile and returns one row per text; the tiles of a text are folded afterwards. One tile is
-the usual case; a longer list only means more tiles.
+The list is cut into tiles of bounded size and texts into chunks, both by hash of distinct values,
+so no task depends on how often a value or a brand occurs. A task sees one chunk and one tile and
+returns one row per text; the tiles of a text are folded afterwards. One tile is the usual case; a
+longer list only means more tiles.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from catalign.functions import fixed
 
 TILE_ROWS = 2000
-CHUNK_ROWS = 256
+MIN_CHUNKS = 32
 
 
 def tiled(names: DataFrame, fields: Sequence[str], tile_rows: int = TILE_ROWS) -> tuple[DataFrame, int]:
@@ -55,6 +55,18 @@ def all_hits(texts: DataFrame, keys: Sequence[str], names: DataFrame, fields: Se
             .select(*keys, "hit.*"))
 
 
+def _chunks(df: DataFrame) -> int:
+    """One chunk per shuffle partition: a share of the distinct texts no larger than any other shuffle's."""
+    return max(MIN_CHUNKS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _cogrouped(left: DataFrame, right: DataFrame, parts: int, run, schema: str) -> DataFrame:
+    """Run ``run(chunk, tile)`` per pair of groups; a fixed partition count keeps the heavy work spread out."""
+    by = ["chunk", "tile"]
+    return (left.repartition(parts, *by).groupBy(*by).cogroup(right.repartition(parts, *by).groupBy(*by))
+            .applyInPandas(run, schema))
+
+
 def _letter_counts(texts: list[str]) -> np.ndarray:
     counts = np.zeros((len(texts), 96), dtype=np.int32)
     for row, text in enumerate(texts):
@@ -69,7 +81,7 @@ def _word_flags(texts: list[str]) -> np.ndarray:
 
 
 def nearest_names(texts: DataFrame, names: DataFrame, *, fold: str = "lower", boost: bool = False,
-                  by_brand: bool = False, tile_rows: int = TILE_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                  by_brand: bool = False, tile_rows: int = TILE_ROWS) -> DataFrame:
     """Exact best name per text under the block-matching ratio.
 
     ``texts(text[, brand])`` and ``names(name, position[, name_brand])`` hold distinct rows. With
@@ -77,7 +89,7 @@ def nearest_names(texts: DataFrame, names: DataFrame, *, fold: str = "lower", bo
     brand fits no name at all is compared with every name. Letter counts bound each ratio from
     above, so most names are never aligned. Result: ``text[, brand], name, position, score``.
     """
-    chunks = max(1, math.ceil(texts.count() / chunk_rows))
+    chunks = _chunks(texts)
     tiles = max(1, math.ceil(names.count() / tile_rows))
     keys = ["text", "brand"] if by_brand else ["text"]
     change = str.lower if fold == "lower" else str.upper
@@ -139,22 +151,22 @@ def nearest_names(texts: DataFrame, names: DataFrame, *, fold: str = "lower", bo
 
     schema = ("text string, " + ("brand string, " if by_brand else "")
               + "fits boolean, score double, name string, position long")
-    scored = left.groupBy("chunk", "tile").cogroup(right.groupBy("chunk", "tile")).applyInPandas(search, schema)
+    scored = _cogrouped(left, right, chunks * min(tiles, 8), search, schema)
     scored = scored.filter(F.col("text").isNotNull())
     order = F.struct((~F.col("fits")).alias("a"), (-F.col("score")).alias("b"), F.col("position").alias("c"))
     best = scored.groupBy(*keys).agg(F.min_by(F.struct("name", "position", "score"), order).alias("m"))
     return best.select(*keys, "m.*")
 
 
-def nearest_vectors(items: DataFrame, names: DataFrame, *, blocked: bool = False, tile_rows: int = TILE_ROWS,
-                    chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def nearest_vectors(items: DataFrame, names: DataFrame, *, blocked: bool = False,
+                    tile_rows: int = TILE_ROWS) -> DataFrame:
     """Exact highest-cosine name per item: ``items(id, vector[, block])``, ``names(position, vector[, block])``.
 
     One matrix product per chunk and tile; with ``blocked`` only names of the item's block count.
     Result: ``id, position, similarity``; ties go to the lowest position, and only positive
     similarities match.
     """
-    chunks = max(1, math.ceil(items.count() / chunk_rows))
+    chunks = _chunks(items)
     tiles = max(1, math.ceil(names.count() / tile_rows))
     left = (items.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)))
             .withColumn("tile", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))))
@@ -181,8 +193,7 @@ def nearest_vectors(items: DataFrame, names: DataFrame, *, blocked: bool = False
                             "similarity": found})
         return out[out["similarity"] > 0]
 
-    scored = left.groupBy("chunk", "tile").cogroup(right.groupBy("chunk", "tile")).applyInPandas(
-        search, "id long, position long, similarity double")
+    scored = _cogrouped(left, right, chunks * min(tiles, 8), search, "id long, position long, similarity double")
     order = F.struct((-F.col("similarity")).alias("s"), F.col("position").alias("p"))
     return (scored.groupBy("id").agg(F.min_by(F.struct("position", "similarity"), order).alias("m"))
             .select("id", "m.*"))

@@ -115,7 +115,8 @@ LINES = ["S U M M I T   X", "what''s new".replace("''", "'"), "PACKAGE HIGHLIGHT
          "liquid-cooled two-stroke", "82.0 x 80.4 mm", "displacement 800 - 849.7 cc",
          "fuel system E-TEC direct injection", "premium unleaded", "fuel tank 36 L",
          "R A V E   R E   W I T H   E N D U R O   P A C K A G E", "900 ACE TURBO", "600R E-TEC",
-         "Cobra 137 x 15 x 1.6", "dry weight 219 kg", "Rotax cylinders"]
+         "Cobra 137 x 15 x 1.6", "dry weight 219 kg", "Rotax cylinders", "M X Z   S P O R T",
+         "E X P E D I T I O N   S E", "A D V E N T U R E   L X", "F R E E R I D E"]
 
 # Twelve lines per page: each takes its own arm, so pages differ in content and order.
 PAGE_TEXT = f"""
