@@ -95,7 +95,7 @@ def field_text(text: Column) -> Column:
 def engine_name(text: Column) -> Column:
     """Spelling-free engine name used to spot duplicates."""
     name = F.regexp_replace(F.upper(F.coalesce(text, F.lit(""))), "[®™℠©•�]", "")
-    for shape, instead in fixed.ENGINE_REWRITES:
+    for shape, instead in fixed.ENGINE_WORDS:
         name = F.regexp_replace(name, shape, instead)
     name = F.regexp_replace(name, r"[^A-Z0-9\s]", "")
     return F.regexp_replace(squeeze(name), r"\s*(\d+)\s*", "$1")
@@ -272,3 +272,32 @@ def standard_entry(code: Column, text: Column, starter: Column, display: Column,
         .when(price.contains("₽") | price.contains("RUB"), "RUB")
         .when(F.upper(market) == "RUSSIA", "RUB").otherwise("EUR"),
     }
+
+
+# --- document quality ------------------------------------------------------------------------------
+def document_quality(pages, doc: str, page: str, text: str, images: str, first: int = 3):
+    """Quality level, confidence and parser choice per document from its first pages.
+
+    ``pages`` has one row per page, numbered from 0; totals are conditional sums, so nothing is
+    gathered per document.
+    """
+    early = F.col(page) < first
+    shaped = pages.groupBy(doc).agg(
+        F.count("*").alias("page_count"), F.sum(F.when(early, F.length(text)).otherwise(0)).alias("_chars"),
+        F.coalesce(F.max(F.when(early, has_table_signs(F.col(text)))), F.lit(False)).alias("has_table_structure"),
+        F.sum(F.when(early, F.col(images)).otherwise(0)).alias("_images"))
+    checked = F.least(F.lit(first), F.col("page_count"))
+    selectable = F.col("_chars") > 100
+    tables, density = F.col("has_table_structure"), F.bround(F.col("_images") / checked, 2)
+    high = selectable & tables & (F.col("_chars") / checked > 1000)
+    medium = selectable & tables & (density < 0.6)
+    level = (F.when(high, "digital_high").when(medium, "digital_medium").when(selectable, "scanned_good").otherwise("scanned_poor"))
+    shaped = shaped.withColumns({"has_selectable_text": selectable, "image_density": density, "quality_level": level})
+    kind = F.col("quality_level")
+    digital = kind.isin("digital_high", "digital_medium")
+    return shaped.withColumns({
+        "confidence": F.when(kind == "digital_high", 0.95).when(kind == "digital_medium", 0.85).when(kind == "scanned_good", 0.75).otherwise(0.6),
+        "parser": F.when(digital, "pymupdf").when(kind == "scanned_good", "camelot").otherwise("ocr"),
+        "fallbacks": F.when(digital, "camelot|ocr").when(kind == "scanned_good", "ocr").otherwise(""),
+        "threshold": F.when(digital, 0.85).when(kind == "scanned_good", 0.75).otherwise(0.7),
+    }).drop("_chars", "_images")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalign.functions import fixed
-from catalign.functions.text import any_word, filled
+from catalign.functions.text import any_word, filled, let
 
 TEXTS = "array<string>"
 
@@ -223,96 +223,143 @@ def _pass(caution: str | None = None) -> Column:
     return _outcome(True, F.lit(None), F.lit(caution), F.lit(None))
 
 
-def listing_checks(value: Column, listed: Column, similar: Column, this_year: int) -> dict[str, Column]:
-    """Outcome struct (valid, error, warning, fix) per listing field, for a text ``value``."""
-    clean = F.regexp_replace(F.coalesce(value, F.lit("")), r"^\s+|\s+$", "")
-    blank = clean == ""
-    year = clean.try_cast("int")
+def _optional(clean: Column, note: str, rest: Column) -> Column:
+    return F.when(clean == "", _pass(note)).otherwise(rest)
+
+
+def _bounded(clean: Column, label: str, low: int, high: int, rest: Column) -> Column:
     size = F.length(clean)
+    return (F.when(clean == "", _fail(f"{label} is required"))
+            .when(size < low, _fail(f"{label} must be at least {low} characters long"))
+            .when(size > high, _fail(f"{label} must be no more than {high} characters long")).otherwise(rest))
+
+
+def _check_id(value: Column, clean: Column) -> Column:
+    return (F.when(clean == "", _fail("Id is required and cannot be empty"))
+            .when(F.length(clean) < 3, _fail("Id must be at least 3 characters long"))
+            .when(F.length(clean) > 50, _fail("Id must be no more than 50 characters long"))
+            .when(~clean.rlike("^[a-zA-Z0-9_-]+$"),
+                  _fail("Id should only contain letters, numbers, hyphens, and underscores",
+                        "Use format like: ARTICLE-CODE-123 or MODEL_YEAR_2025")).otherwise(_pass()))
+
+
+def _check_title(value: Column, clean: Column) -> Column:
+    return _bounded(clean, "Title", 10, 100, F.when(any_word(F.lower(clean), fixed.LISTING_TERMS), _pass()).otherwise(
+        _pass("Title should contain snowmobile-related terms for better visibility")))
+
+
+def _check_price(value: Column, clean: Column) -> Column:
+    return F.when(clean == "", _fail("Price is required")).otherwise(_number_field(
+        clean, "Price must contain only numbers (no currency symbols, commas, or spaces)",
+        "Use format: 2500000 (not 2,500,000 руб)", 100000, 5000000,
+        "Price seems too low for a snowmobile (minimum 100,000 rubles)",
+        "Price seems too high for a snowmobile (maximum 5,000,000 rubles)"))
+
+
+def _check_images(value: Column, clean: Column) -> Column:
+    return (F.when(clean == "", _fail("At least one image is required"))
+            .when(~(value.startswith("http://") | value.startswith("https://")), _fail("Image must be a valid HTTP/HTTPS URL"))
+            .when(any_word(F.lower(value), fixed.IMAGE_ENDINGS), _pass())
+            .otherwise(_pass("Image URL should end with .jpg, .png, or .webp")))
+
+
+def _number_check(note: str, text: str, fix: str | None, low: int, high: int, below: str, above: str):
+    return lambda value, clean: _optional(clean, note, _number_field(clean, text, fix, low, high, below, above))
+
+
+def _choice_check(label: str, note: str, allowed: Sequence[str]):
+    return lambda value, clean: _optional(clean, note, F.when(value.isin(*allowed), _pass()).otherwise(
+        _fail(f"{label} must be one of: " + ", ".join(allowed))))
+
+
+def _exact_check(label: str, expected: str, tail: str):
+    return lambda value, clean: F.when(F.coalesce(value, F.lit("")) == expected, _pass()).otherwise(
+        _fail(f"{label} must be '{expected}'{tail}"))
+
+
+def _date_check(note: str, day: str):
+    return lambda value, clean: _optional(clean, note, F.when(value.rlike(r"^\d{4}-\d{2}-\d{2}$"), _pass()).otherwise(
+        _fail("Date must be in YYYY-MM-DD format", f"Use format: {day}")))
+
+
+# field -> check of (value, trimmed value); Model and Year need more and are added by check_listings
+LISTING_CHECKS = {
+    "Id": _check_id,
+    "Title": _check_title,
+    "Price": _check_price,
+    "Power": _number_check(
+        "Power is recommended for better visibility", "Power must be a number (HP only, no units)", "Use format: 165 (not 165 hp)",
+        10, 300, "Power seems too low for a snowmobile (minimum 10 HP)", "Power seems too high for a snowmobile (maximum 300 HP)"),
+    "EngineCapacity": _number_check(
+        "Engine capacity is recommended", "Engine capacity must be a number (CC only, no units)", "Use format: 849 (not 849cc)",
+        200, 2000, "Engine capacity seems too low (minimum 200 CC)", "Engine capacity seems too high (maximum 2000 CC)"),
+    "PersonCapacity": _number_check(
+        "Person capacity is recommended", "Person capacity must be a number", None, 1, 3,
+        "Person capacity must be 1, 2, or 3", "Person capacity must be 1, 2, or 3"),
+    "TrackWidth": _number_check(
+        "Track width is recommended", "Track width must be a number (mm only, no units)", None, 300, 600,
+        "Track width must be between 300-600mm", "Track width must be between 300-600mm"),
+    "Description": lambda value, clean: _bounded(clean, "Description", 50, 5000, _pass()),
+    "Images": _check_images,
+    "Type": _choice_check("Type", "Type is recommended for better categorization", fixed.LISTING_TYPES),
+    "Availability": _choice_check("Availability", "Availability is recommended", fixed.LISTING_STOCK),
+    "DateBegin": _date_check("Date begin is optional", "2025-01-01"),
+    "DateEnd": _date_check("Date end is optional", "2025-12-31"),
+    **{name: _exact_check(name, expected, fixed.LISTING_EXACT_TAIL.get(name, "")) for name, expected in fixed.LISTING_EXACT.items()},
+}
+
+
+def _check_model(listed: Column, similar: Column):
+    return lambda value, clean: F.when(clean == "", _fail("Model is required")).when(listed, _pass()).otherwise(_fail(
+        F.concat(F.lit("Model '"), clean, F.lit("' not found in official BRP list")),
+        F.when(similar.isNotNull(), F.concat(F.lit("Did you mean: "), similar, F.lit("?"))).otherwise(
+            F.lit("Check official BRP model list for exact spelling"))))
+
+
+def _check_year(this_year: int):
+    def check(value: Column, clean: Column) -> Column:
+        year = clean.try_cast("int")
+        got = F.concat(F.lit(" (got "), year.cast("string"), F.lit(")"))
+        return (F.when(clean == "", _fail("Year is required"))
+                .when(~clean.rlike(r"^\d{4}$"), _fail("Year must be a 4-digit number", "Use format: 2025"))
+                .when(year < 2000, _fail(F.concat(F.lit("Year must be 2000 or later"), got)))
+                .when(year > this_year + 2, _fail(F.concat(F.lit("Year cannot be more than 2 years in the future"), got)))
+                .otherwise(_pass()))
+    return check
+
+
+def check_listings(listings: DataFrame, fields: Sequence[str], this_year: int) -> DataFrame:
+    """Add ``checks``: one outcome struct per listing field, read straight from the field's column.
+
+    ``listings`` is wide and carries ``listed`` and ``similar`` of its model; fields without a rule
+    pass through unjudged. Nothing is shuffled.
+    """
+    known = {**LISTING_CHECKS, "Model": _check_model(F.coalesce("listed", F.lit(False)), F.col("similar")),
+             "Year": _check_year(this_year)}
+
+    def outcome(name: str) -> Column:
+        clean = F.regexp_replace(F.coalesce(F.col(name), F.lit("")), r"^\s+|\s+$", "")
+        pair = F.struct(F.col(name).alias("value"), clean.alias("clean"))
+        return let(pair, lambda p: F.struct(F.lit(name).alias("field"), p["value"].alias("value"),
+                                            known[name](p["value"], p["clean"]).alias("outcome")))
+
+    return listings.withColumn("checks", F.array(*[outcome(name) for name in fields if name in known]))
+
 
-    def optional(note: str, rest: Column) -> Column:
-        return F.when(blank, _pass(note)).otherwise(rest)
-
-    def bounded(label: str, low: int, high: int, rest: Column) -> Column:
-        return (F.when(blank, _fail(f"{label} is required"))
-                .when(size < low, _fail(f"{label} must be at least {low} characters long"))
-                .when(size > high, _fail(f"{label} must be no more than {high} characters long")).otherwise(rest))
-
-    checks = {
-        "Id": F.when(blank, _fail("Id is required and cannot be empty"))
-        .when(size < 3, _fail("Id must be at least 3 characters long"))
-        .when(size > 50, _fail("Id must be no more than 50 characters long"))
-        .when(~clean.rlike("^[a-zA-Z0-9_-]+$"),
-              _fail("Id should only contain letters, numbers, hyphens, and underscores",
-                    "Use format like: ARTICLE-CODE-123 or MODEL_YEAR_2025")).otherwise(_pass()),
-        "Title": bounded("Title", 10, 100, F.when(any_word(F.lower(clean), fixed.LISTING_TERMS), _pass()).otherwise(
-            _pass("Title should contain snowmobile-related terms for better visibility"))),
-        "Model": F.when(blank, _fail("Model is required")).when(listed, _pass()).otherwise(_fail(
-            F.concat(F.lit("Model '"), clean, F.lit("' not found in official BRP list")),
-            F.when(similar.isNotNull(), F.concat(F.lit("Did you mean: "), similar, F.lit("?"))).otherwise(
-                F.lit("Check official BRP model list for exact spelling")))),
-        "Price": F.when(blank, _fail("Price is required")).otherwise(_number_field(
-            clean, "Price must contain only numbers (no currency symbols, commas, or spaces)",
-            "Use format: 2500000 (not 2,500,000 руб)", 100000, 5000000,
-            "Price seems too low for a snowmobile (minimum 100,000 rubles)",
-            "Price seems too high for a snowmobile (maximum 5,000,000 rubles)")),
-        "Year": F.when(blank, _fail("Year is required"))
-        .when(~clean.rlike(r"^\d{4}$"), _fail("Year must be a 4-digit number", "Use format: 2025"))
-        .when(year < 2000, _fail(F.concat(F.lit("Year must be 2000 or later (got "), year.cast("string"), F.lit(")"))))
-        .when(year > this_year + 2, _fail(F.concat(
-            F.lit("Year cannot be more than 2 years in the future (got "), year.cast("string"), F.lit(")"))))
-        .otherwise(_pass()),
-        "Power": optional("Power is recommended for better visibility", _number_field(
-            clean, "Power must be a number (HP only, no units)", "Use format: 165 (not 165 hp)", 10, 300,
-            "Power seems too low for a snowmobile (minimum 10 HP)",
-            "Power seems too high for a snowmobile (maximum 300 HP)")),
-        "EngineCapacity": optional("Engine capacity is recommended", _number_field(
-            clean, "Engine capacity must be a number (CC only, no units)", "Use format: 849 (not 849cc)", 200, 2000,
-            "Engine capacity seems too low (minimum 200 CC)", "Engine capacity seems too high (maximum 2000 CC)")),
-        "PersonCapacity": optional("Person capacity is recommended", _number_field(
-            clean, "Person capacity must be a number", None, 1, 3, "Person capacity must be 1, 2, or 3",
-            "Person capacity must be 1, 2, or 3")),
-        "TrackWidth": optional("Track width is recommended", _number_field(
-            clean, "Track width must be a number (mm only, no units)", None, 300, 600,
-            "Track width must be between 300-600mm", "Track width must be between 300-600mm")),
-        "Description": bounded("Description", 50, 5000, _pass()),
-        "Images": F.when(blank, _fail("At least one image is required"))
-        .when(~(value.startswith("http://") | value.startswith("https://")),
-              _fail("Image must be a valid HTTP/HTTPS URL"))
-        .when(any_word(F.lower(value), fixed.IMAGE_ENDINGS), _pass())
-        .otherwise(_pass("Image URL should end with .jpg, .png, or .webp")),
-        "Type": optional("Type is recommended for better categorization", F.when(
-            value.isin(*fixed.LISTING_TYPES), _pass()).otherwise(
-            _fail("Type must be one of: " + ", ".join(fixed.LISTING_TYPES)))),
-        "Availability": optional("Availability is recommended", F.when(
-            value.isin(*fixed.LISTING_STOCK), _pass()).otherwise(
-            _fail("Availability must be one of: " + ", ".join(fixed.LISTING_STOCK)))),
-    }
-    for name, expected in fixed.LISTING_EXACT.items():
-        tail = fixed.LISTING_EXACT_TAIL.get(name, "")
-        checks[name] = F.when(F.coalesce(value, F.lit("")) == expected, _pass()).otherwise(
-            _fail(f"{name} must be '{expected}'{tail}"))
-    for name, note, day in (("DateBegin", "Date begin is optional", "2025-01-01"),
-                            ("DateEnd", "Date end is optional", "2025-12-31")):
-        checks[name] = optional(note, F.when(value.rlike(r"^\d{4}-\d{2}-\d{2}$"), _pass()).otherwise(
-            _fail("Date must be in YYYY-MM-DD format", f"Use format: {day}")))
-    return checks
-
-
-def check_listing_fields(fields: DataFrame, this_year: int) -> DataFrame:
-    """Rows ``(listing_id, field, value, listed, similar)`` with their outcome; other fields pass through unjudged."""
-    checks = listing_checks(F.col("value"), F.coalesce("listed", F.lit(False)), F.col("similar"), this_year)
-    chain = reduce(lambda acc, item: acc.when(F.col("field") == item[0], item[1]),
-                   list(checks.items())[1:], F.when(F.col("field") == "Id", checks["Id"]))
-    return fields.withColumn("outcome", chain).filter(F.col("outcome").isNotNull()).select("*", "outcome.*").drop("outcome")
+def check_rows(checked: DataFrame, key: str = "listing_id") -> DataFrame:
+    """Long form: one row per listing and field."""
+    return checked.select(key, F.inline("checks")).select(key, "field", "value", "outcome.*")
 
 
 def listing_summary(checked: DataFrame) -> DataFrame:
-    """Passed and total checks per listing with a summary line."""
-    totals = checked.groupBy("listing_id").agg(
-        F.count("*").alias("total_checks"), F.count_if("valid").alias("passed_checks"),
-        F.count_if(~F.col("valid")).alias("n_errors"),
-        F.count_if(F.col("valid") & F.col("warning").isNotNull()).alias("n_warnings"))
+    """Passed and total checks per listing with a summary line, from its own array."""
+    def number(keep) -> Column:
+        return F.size(F.filter("checks", keep)).cast("long")
+
+    totals = checked.withColumns({
+        "total_checks": F.size("checks").cast("long"), "passed_checks": number(lambda c: c["outcome"]["valid"]),
+        "n_errors": number(lambda c: ~c["outcome"]["valid"]),
+        "n_warnings": number(lambda c: c["outcome"]["valid"] & c["outcome"]["warning"].isNotNull())})
     noted = F.when(F.col("n_warnings") > 0, F.concat(F.lit(" ("), F.col("n_warnings").cast("string"),
                                                      F.lit(" warnings)"))).otherwise(F.lit(""))
     good = F.concat(F.lit("VALIDATION PASSED: "), F.col("passed_checks").cast("string"), F.lit("/"),

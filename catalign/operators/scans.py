@@ -1,8 +1,8 @@
 """Ordered scans that no single key can overload.
 
 A plain running window puts a whole key into one task. These scans cut each key into blocks of
-positions, scan the blocks, scan the block totals the same way, and add the two. Every window
-partition then holds at most ``fan`` rows at each level, whatever the size of the key.
+positions, scan the blocks, scan the block totals the same way, and add the two. A window partition
+then holds at most ``fan`` rows of a key, and the last level one row per ``fan ** depth`` positions.
 """
 
 from __future__ import annotations
@@ -12,11 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-FAN = 4096
+FAN = 65536
 
 
 def exclusive_scan(df: DataFrame, part: Sequence[str], pos: str, value: str, out: str, how: str = "sum",
-                   fan: int = FAN, depth: int = 2) -> DataFrame:
+                   fan: int = FAN, depth: int = 1) -> DataFrame:
     """Add ``out``: the sum (or last non-null) of ``value`` over earlier positions of the same key.
 
     ``df`` has one row per key and integer position.
@@ -42,7 +42,7 @@ def exclusive_scan(df: DataFrame, part: Sequence[str], pos: str, value: str, out
 
 
 def ordinal(df: DataFrame, order: Sequence[str], out: str, part: Sequence[str] = (), fan: int = FAN,
-            depth: int = 2) -> DataFrame:
+            depth: int = 1) -> DataFrame:
     """Zero-based row number of each key over integer columns that together are unique."""
     *head, last = order
     block, before, lead = f"_{last}_block", f"_{last}_before", "_rows_before"

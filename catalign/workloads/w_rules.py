@@ -173,14 +173,10 @@ FIELDS = ["Id", "Title", "Model", "Price", "Year", "Power", "EngineCapacity", "P
           "Kilometrage", "Type", "Availability", "DateBegin", "DateEnd"]
 
 
-def listing_fields(t: Tables):
-    wide = t.select(LISTING.replace('"', "`"))
-    long = wide.unpivot("listing_id", FIELDS, "field", "value")
+def checked_listings(t: Tables):
     names = t.select(CATALOG).select(F.col("model_family").alias("name"), "position")
-    values = wide.select("Model").distinct()
-    found = matching.suggest_models(values, names, "Model").select(F.col("Model").alias("_value"), "listed", "similar")
-    keyed = found.withColumn("_field", F.lit("Model"))
-    return long.join(keyed, (F.col("field") == F.col("_field")) & F.col("value").eqNullSafe(F.col("_value")), "left")
+    wide = matching.suggest_models(t.select(LISTING.replace('"', "`")), names, "Model")
+    return rules.check_listings(wide, FIELDS, 2026)
 
 
 def _outcome_sql() -> str:
@@ -246,12 +242,12 @@ SELECT listing_id, field, NOT coalesce(starts_with(note, 'E:'), false) AS valid,
  CASE WHEN starts_with(note, 'E:') THEN substr(note, 3) END AS error,
  CASE WHEN starts_with(note, 'W:') THEN substr(note, 3) END AS warning FROM ({LISTING_OUTCOME}) o""")
 def _(t):
-    return rules.check_listing_fields(listing_fields(t), 2026).select("listing_id", "field", "valid", "error", "warning")
+    return rules.check_rows(checked_listings(t)).select("listing_id", "field", "valid", "error", "warning")
 
 
 @query("v07_listing_suggested_fix")
 def _(t):
-    return (rules.check_listing_fields(listing_fields(t), 2026).filter(F.col("fix").isNotNull())
+    return (rules.check_rows(checked_listings(t)).filter(F.col("fix").isNotNull())
             .groupBy("field", "fix").agg(F.count("*").alias("listings")))
 
 
@@ -267,8 +263,7 @@ SELECT listing_id, total_checks, passed_checks, n_errors = 0 AS is_valid, CASE W
   ELSE 'VALIDATION FAILED: ' || n_errors || ' errors, ' || n_warnings || ' warnings' END AS summary
 FROM ({LISTING_TOTALS}) s""")
 def _(t):
-    checked = rules.check_listing_fields(listing_fields(t), 2026)
-    return rules.listing_summary(checked).select("listing_id", "total_checks", "passed_checks", "is_valid", "summary")
+    return rules.listing_summary(checked_listings(t)).select("listing_id", "total_checks", "passed_checks", "is_valid", "summary")
 
 
 @query("v08_listing_required", """

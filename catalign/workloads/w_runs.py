@@ -243,7 +243,20 @@ def _(t):
     return run.select("file_name", "extraction_method", "articles_count", "status")
 
 
-@query("t11_documented_steps")
+_reg = " UNION ALL ".join(f"SELECT {i} AS position, '{n}' AS name, {'NULL' if b is None else repr(b)} AS b, {'NULL' if f is None else repr(f)} AS f" for i, n, b, f in REGISTRY)
+_steps = f"""
+WITH e AS (SELECT product_id, brand, malli AS family, moottori AS engine, coalesce(paketti, '') AS options, brand || '_' || replace(malli, ' ', '_') || '_' || model_year AS k FROM ({P}) p WHERE malli IS NOT NULL),
+ m AS (SELECT k, min(product_id) AS base_id FROM e GROUP BY 1 HAVING min(product_id) < 60),
+ o AS (SELECT DISTINCT options, brand, family FROM e WHERE trim(options) <> ''),
+ h AS (SELECT o.*, list(r.name ORDER BY position) FILTER (r.name IS NOT NULL) AS names FROM o LEFT JOIN ({_reg}) r ON (r.b IS NULL OR r.b = o.brand) AND (r.f IS NULL OR r.f = o.family) AND contains(lower(o.options), lower(r.name)) GROUP BY ALL),
+ r AS (SELECT options, brand, family, trim(regexp_replace(list_reduce(list_concat([lower(options)], coalesce(names, [])), lambda a, n: replace(a, lower(n), '')), '[\\s,;]+', ' ', 'g')) AS rest FROM h),
+ s AS (SELECT e.product_id, m.base_id, greatest(0.0, CASE WHEN m.base_id IS NULL THEN 0.0 ELSE 0.98 END - CASE WHEN m.base_id IS NOT NULL AND coalesce(e.engine, '') = '900 ACE' THEN 0 ELSE 0.1 END
+   - CASE WHEN coalesce(r.rest, '') <> '' THEN 0.05 ELSE 0 END)::DOUBLE AS score FROM e LEFT JOIN m ON m.k = e.k LEFT JOIN r ON r.options = e.options AND r.brand = e.brand AND r.family = e.family)
+SELECT product_id AS entry_id, CASE WHEN base_id IS NULL THEN 'semantic' ELSE 'exact_lookup' END AS processing_method, round(score, 6) AS final_score,
+ CASE WHEN base_id IS NULL THEN 'requires_review' WHEN score < 0.85 THEN 'failed' ELSE 'passed' END AS validation_status, base_id IS NOT NULL AND score >= 0.95 AS auto_accepted FROM s"""
+
+
+@query("t11_documented_steps", _steps)
 def _(t):
     rows = t.select(PRODUCTS).filter(F.col("malli").isNotNull()).select(
         F.col("product_id").alias("entry_id"), "brand", F.col("malli").alias("model_family"), "model_year", F.col("moottori").alias("engine"),
@@ -368,16 +381,19 @@ def _(t):
     return t.spark.read.parquet(path + "/rows").select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "attempts", "errors")
 
 
-@query("g03_health_alerts", """
-SELECT strftime(w, '%Y-%m-%d %H') AS window_start, event_type, count(*) AS attempts FROM (
- SELECT *, unnest([to_timestamp(floor(epoch(ts) / 43200) * 43200)::TIMESTAMP, to_timestamp(floor(epoch(ts) / 43200) * 43200 - 43200)::TIMESTAMP]) AS w FROM events) x
-GROUP BY 1, 2 HAVING count(*) FILTER (value < 60) / count(*) < 0.6""".replace("to_timestamp(", "make_timestamp(CAST(1000000 * (").replace(" * 43200)::TIMESTAMP", " * 43200) AS BIGINT))").replace(" - 43200)::TIMESTAMP", " - 43200) AS BIGINT))"))
+_slots = "unnest([make_timestamp(CAST(floor(epoch(ts) / 43200) * 43200 AS BIGINT) * 1000000), make_timestamp(CAST(floor(epoch(ts) / 43200) * 43200 - 43200 AS BIGINT) * 1000000)])"
+ALERTS = f"""
+SELECT strftime(w, '%Y-%m-%d %H') AS window_start, event_type, count(*) AS attempts FROM (SELECT *, {_slots} AS w FROM events) x
+GROUP BY w, 1, 2 HAVING count(*) FILTER (value < 60) / count(*) < 0.6"""
+
+
+@query("g03_health_alerts", ALERTS)
 def _(t):
     out = monitors.health_alerts(t.events, "ts", "event_type", F.col("value") < 60, 0.6)
     return out.select(F.date_format("window_start", "yyyy-MM-dd HH").alias("window_start"), "event_type", "attempts")
 
 
-@query("g03_health_alert_stream")
+@query("g03_health_alert_stream", ALERTS + " AND w + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR")
 def _(t):
     path = shared_dir(t.spark, "health")
     alerts = monitors.health_alerts(events_stream(t), "ts", "event_type", F.col("value") < 60, 0.6, late="1 hour")

@@ -89,9 +89,20 @@ NAMES = [*[e or "" for e in ENGINES], "850 E-TEC® Turbo R with WIS", "600R E TE
          "the 850/E-TEC and Turbo Charged", "998cc – Turbo"]
 
 
+# the long rule list, kept here to check the short one of the library
+ENGINE_REWRITES = [
+    (r"\bTURBO\s*R\b", "TURBOR"), (r"\bTURBO\s*CHARGED\b", "TURBO"), (r"\bTURBOCHARGED\b", "TURBO"),
+    (r"\bE-TEC\b", "ETEC"), (r"\bETEC\b", "ETEC"), (r"\bE\s*TEC\b", "ETEC"),
+    (r"\bACE\b", "ACE"), (r"\bA\.C\.E\.\b", "ACE"),
+    (r"\bEFI\b", "EFI"), (r"\bE\.F\.I\.\b", "EFI"), (r"\bFUEL\s*INJECTION\b", "EFI"),
+    (r"\bWITH\b", ""), (r"\bAND\b", ""), (r"\bOR\b", ""), (r"\bTHE\b", ""),
+    (r"[-–—_/\\]", ""), (r"[.:]", ""),
+]
+
+
 def rewrite_sql(c: str) -> str:
     x = f"regexp_replace(upper({c}), '[®™℠©•�]', '', 'g')"
-    for shape, instead in fixed.ENGINE_REWRITES:
+    for shape, instead in ENGINE_REWRITES:
         x = f"regexp_replace({x}, '{shape}', '{instead}', 'g')"
     x = squeeze(f"regexp_replace({x}, '[^A-Z0-9\\s]', '', 'g')")
     return f"regexp_replace({x}, '\\s*(\\d+)\\s*', '\\1', 'g')"
@@ -298,6 +309,21 @@ def _(t):
     return t.events.select("event_id", F.date_format(clock.expected_completion(F.col("ts")), "yyyy-MM-dd HH:mm").alias("expected"))
 
 
+_sign = "(" + " OR ".join(f"contains(text, {quote(w)})" for w in fixed.TABLE_SIGNS) + ")"
+
+
+@query("f42_document_quality", f"""
+WITH d AS (SELECT conv_id, count(*) AS page_count, sum(CASE WHEN turn < 3 THEN length(text) ELSE 0 END) AS chars, coalesce(max(CASE WHEN turn < 3 THEN {_sign} END), false) AS tables,
+  sum(CASE WHEN turn < 3 AND role = 'user' THEN 1 ELSE 0 END) AS images FROM conversations GROUP BY 1),
+ q AS (SELECT *, CASE WHEN chars > 100 AND tables AND chars / least(3, page_count) > 1000 THEN 'digital_high' WHEN chars > 100 AND tables AND round_even(images / least(3, page_count), 2) < 0.6 THEN 'digital_medium'
+  WHEN chars > 100 THEN 'scanned_good' ELSE 'scanned_poor' END AS quality_level FROM d)
+SELECT conv_id, page_count, quality_level, CASE WHEN quality_level LIKE 'digital%' THEN 'pymupdf' WHEN quality_level = 'scanned_good' THEN 'camelot' ELSE 'ocr' END AS parser,
+ CAST(CASE quality_level WHEN 'digital_high' THEN 0.95 WHEN 'digital_medium' THEN 0.85 WHEN 'scanned_good' THEN 0.75 ELSE 0.6 END AS DOUBLE) AS confidence FROM q""")
+def _(t):
+    paged = t.conversations.withColumn("images", F.when(F.col("role") == "user", 1).otherwise(0))
+    return text.document_quality(paged, "conv_id", "turn", "text", "images").select("conv_id", "page_count", "quality_level", "parser", "confidence")
+
+
 @query("f43_lookup_key", "SELECT p_partkey, p_brand || '_' || replace(p_name, ' ', '_') || '_' || p_size AS lookup_key FROM part")
 def _(t):
     return t.part.select("p_partkey", text.lookup_key(F.col("p_brand"), F.col("p_name"), F.col("p_size")).alias("lookup_key"))
