@@ -24,6 +24,13 @@ def reject_reason(length: Column, limit: int = MAX_BYTES) -> Column:
     return F.when(length == 0, "empty file").when(length > limit, "file too large")
 
 
-def checked(files: DataFrame, limit: int = MAX_BYTES) -> DataFrame:
-    """Files with the reason they are rejected, null for valid ones."""
-    return files.withColumn("reject_reason", reject_reason(F.col("length"), limit))
+def checked(files: DataFrame, limit: int = MAX_BYTES, expected: DataFrame | None = None) -> DataFrame:
+    """Files with the reason they are rejected, null for valid ones.
+
+    Spark lists no empty files; with ``expected(name)`` a named file that was not found is reported.
+    """
+    done = files.withColumn("reject_reason", reject_reason(F.col("length"), limit))
+    if expected is None:
+        return done
+    absent = expected.join(files.select("name"), "name", "left_anti").withColumn("reject_reason", F.lit("missing or empty file"))
+    return done.unionByName(absent, allowMissingColumns=True)
