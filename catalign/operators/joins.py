@@ -18,12 +18,18 @@ def product_360(products: DataFrame, mappings: DataFrame, entries: DataFrame, mo
             .join(models, "base_model_id", "left"))
 
 
-def with_children(parents: DataFrame, models: DataFrame, on: Column, children: DataFrame, key: str, order: Sequence[str],
-                  out: str) -> DataFrame:
-    """Parents left joined to a model, each with its ordered child rows as an array.
+def child_rows(parents: DataFrame, models: DataFrame, on: Column, children: DataFrame, key: str) -> DataFrame:
+    """Parents left joined to a model and to their child rows, one row per child."""
+    return parents.join(models, on, "left").join(children, key, "left")
 
-    The array is the parent's own child list, as the result shows it.
+
+def child_document(parents: DataFrame, models: DataFrame, on: Column, children: DataFrame, key: str, order: Sequence[str],
+                   out: str) -> DataFrame:
+    """The document form for a few chosen parents: child rows as an ordered array.
+
+    Filter ``parents`` first; only their children are gathered.
     """
+    children = children.join(parents.select(key), key, "left_semi")
     packed = children.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*order, *[
         c for c in children.columns if c != key and c not in order]))).alias(out))
     return parents.join(models, on, "left").join(packed, key, "left")
@@ -122,6 +128,13 @@ def new_registry_rows(found: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.min(keys[0]).alias("first_seen"), F.count("*").alias("times_seen")).withColumn("validated", F.lit(False))
 
 
+def unknown_fields(rows: DataFrame, fields: str, known: Sequence[str]) -> DataFrame:
+    """Filled fields of a map column that no mapping knows, with how often each occurs."""
+    filled = F.map_keys(F.map_filter(fields, lambda _, v: F.coalesce(v, F.lit("")) != ""))
+    unknown = F.array_except(filled, F.array(*[F.lit(k) for k in known]))
+    return rows.select(F.explode(unknown).alias("field")).groupBy("field").agg(F.count("*").alias("occurrences"))
+
+
 def per_language(rows: DataFrame, languages: Sequence[str] = ("fi", "en")) -> DataFrame:
     """One row per row and language, with currency and market."""
     wanted = [x for x in fixed.LANGUAGES if x[0] in languages]

@@ -138,7 +138,8 @@ def recent_runs(runs: DataFrame, order: Sequence[str], n: int = 10) -> DataFrame
                         (F.sum(share) / F.count("*")).alias("average_validation_rate"),
                         F.count("*").alias("recent_executions"))
     overall = runs.agg(F.count("*").alias("total_executions"), F.count_if("success").alias("successful_executions"))
-    return overall.join(recent, F.lit(True)).withColumn(
+    both = overall.unionByName(recent, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns]).withColumn(
         "success_rate", F.col("successful_executions") / F.col("total_executions") * 100)
 
 

@@ -20,16 +20,23 @@ from pyspark.sql import functions as F
 from catalign.functions import fixed
 
 TILE_ROWS = 2000
+BROADCAST_CHARS = 4_000_000
 MIN_CHUNKS = 32
 
 
 def tiled(names: DataFrame, fields: Sequence[str], tile_rows: int = TILE_ROWS) -> tuple[DataFrame, int]:
-    """Rows of ``names`` as arrays of structs, one array per tile, each sorted by its first field."""
-    count = max(1, math.ceil(names.count() / tile_rows))
+    """Rows of ``names`` as arrays of structs, one array per tile, each sorted by its first field.
+
+    Rows and characters are counted first: they set the number of tiles, and only a list that is
+    measured to be small is broadcast; a longer one joins on the tile number.
+    """
+    chars = F.sum(sum((F.coalesce(F.length(F.col(f).cast("string")), F.lit(0)) for f in fields), F.lit(16)))
+    rows, size = names.agg(F.count("*"), F.coalesce(chars, F.lit(0))).first()
+    count = max(1, math.ceil(rows / tile_rows))
     tile = F.pmod(F.xxhash64(*fields), F.lit(count)).cast("int")
     packed = (names.select(tile.alias("tile"), F.struct(*fields).alias("s"))
               .groupBy("tile").agg(F.array_sort(F.collect_list("s")).alias("names")))
-    return packed, count
+    return (F.broadcast(packed) if size <= BROADCAST_CHARS else packed), count
 
 
 def first_hit(texts: DataFrame, keys: Sequence[str], names: DataFrame, fields: Sequence[str],
@@ -67,14 +74,79 @@ def _cogrouped(left: DataFrame, right: DataFrame, parts: int, run, schema: str)
             .applyInPandas(run, schema))
 
 
+LETTERS = 96
+ALIGNED = 200  # from this length on the matcher drops frequent letters, so block bounds do not hold
+
+
 def _letter_counts(texts: list[str]) -> np.ndarray:
-    counts = np.zeros((len(texts), 96), dtype=np.int32)
+    counts = np.zeros((len(texts), LETTERS), dtype=np.int32)
     for row, text in enumerate(texts):
         for letter in text:
-            counts[row, ord(letter) % 96] += 1
+            counts[row, ord(letter) % LETTERS] += 1
     return counts
 
 
+def _letter_prefixes(codes: np.ndarray) -> np.ndarray:
+    """Letter counts of every prefix of each padded row (padding is -1)."""
+    rows, width = codes.shape
+    steps = np.zeros((rows, width + 1, LETTERS), dtype=np.uint8)
+    at = np.nonzero(codes >= 0)
+    steps[at[0], at[1] + 1, codes[at] % LETTERS] = 1
+    return np.cumsum(steps, axis=1, dtype=np.uint8)
+
+
+class _Names:
+    """Letters of one tile, laid out so that bounds for a text come from whole-array operations."""
+
+    def __init__(self, entries: list[str]) -> None:
+        self.sizes = np.array([len(e) for e in entries])
+        self.counts = _letter_counts(entries)
+        short = [e if len(e) < ALIGNED else "" for e in entries]
+        self.short = self.sizes < ALIGNED
+        width = max([len(e) for e in short], default=0)
+        self.codes = np.full((len(entries), width), -1, dtype=np.int32)
+        for row, e in enumerate(short):
+            self.codes[row, :len(e)] = [ord(c) for c in e]
+        self.prefixes = _letter_prefixes(self.codes)
+
+    def letter_bound(self, own: str, rows: np.ndarray) -> np.ndarray:
+        """Ratio if all shared letters were aligned."""
+        shared = np.minimum(self.counts[rows], _letter_counts([own])[0]).sum(axis=1)
+        return 2.0 * shared / np.maximum(1, self.sizes[rows] + len(own))
+
+    def block_bound(self, own: str, rows: np.ndarray) -> np.ndarray:
+        """Ratio if the longest common block were followed by all shared letters on each side of it.
+
+        The block is the one the matcher takes first: longest, then earliest in the text, then in the
+        name. Names of 200 letters and more keep the letter bound.
+        """
+        codes, places = self.codes[rows], np.arange(len(rows))
+        run = np.zeros((len(rows), codes.shape[1] + 1), dtype=np.uint8)
+        length = np.zeros(len(rows), dtype=np.int64)
+        end_own, end_name = np.zeros(len(rows), dtype=np.int64), np.zeros(len(rows), dtype=np.int64)
+        for i, letter in enumerate(own):
+            fresh = np.zeros_like(run)
+            np.multiply(run[:, :-1] + 1, codes == ord(letter), out=fresh[:, 1:])
+            run = fresh
+            longest = run.max(axis=1)
+            better = np.flatnonzero(longest > length)
+            if len(better):
+                length[better] = longest[better]
+                end_own[better] = i + 1
+                end_name[better] = run[better].argmax(axis=1)
+        mine = _letter_prefixes(np.array([[ord(c) for c in own]], dtype=np.int32))[0].astype(np.int32)
+        theirs = self.prefixes[rows]
+
+        def name_prefix(ends: np.ndarray) -> np.ndarray:
+            return theirs[places, ends].astype(np.int32)
+
+        left = np.minimum(mine[end_own - length], name_prefix(end_name - length)).sum(axis=1)
+        whole = theirs[:, -1].astype(np.int32)
+        right = np.minimum(mine[-1] - mine[end_own], whole - name_prefix(end_name)).sum(axis=1)
+        bound = 2.0 * np.where(length > 0, length + left + right, 0) / np.maximum(1, self.sizes[rows] + len(own))
+        return np.where(self.short[rows], bound, self.letter_bound(own, rows))
+
+
 def _word_flags(texts: list[str]) -> np.ndarray:
     words = [w for _, group in fixed.BOOST_WORDS for w in group]
     return np.array([[w in t for w in words] for t in texts], dtype=bool).reshape(len(texts), len(words))
@@ -86,8 +158,8 @@ def nearest_names(texts: DataFrame, names: DataFrame, *, fold: str = "lower", bo
 
     ``texts(text[, brand])`` and ``names(name, position[, name_brand])`` hold distinct rows. With
     ``by_brand`` a name counts when its brand contains the text's brand or the reverse; a text whose
-    brand fits no name at all is compared with every name. Letter counts bound each ratio from
-    above, so most names are never aligned. Result: ``text[, brand], name, position, score``.
+    brand fits no name at all is compared with every name. Letter counts and the longest common block
+    bound each ratio from above, so most names are never aligned. Result: ``text[, brand], name, position, score``.
     """
     chunks = _chunks(texts)
     tiles = max(1, math.ceil(names.count() / tile_rows))
@@ -104,7 +176,7 @@ def nearest_names(texts: DataFrame, names: DataFrame, *, fold: str = "lower", bo
     def search(chunk: pd.DataFrame, tile: pd.DataFrame) -> pd.DataFrame:
         tile = tile.sort_values("position").reset_index(drop=True)
         entries = [change(x or "") for x in tile["name"]]
-        counts, sizes = _letter_counts(entries), np.array([len(e) for e in entries])
+        laid = _Names(entries)
         flags = _word_flags([e.lower() for e in entries])
         brands = [(b or "").upper() for b in tile["name_brand"]] if by_brand else []
         masks: dict[str, np.ndarray] = {}
@@ -122,27 +194,39 @@ def nearest_names(texts: DataFrame, names: DataFrame, *, fold: str = "lower", bo
                 picked = picked[masks[brand]] if fits else picked
             best, place = 0.0, -1
             if own and len(picked):
-                shared = np.minimum(counts[picked], _letter_counts([own])[0]).sum(axis=1)
-                bound = 2.0 * shared / np.maximum(1, sizes[picked] + len(own))
-                extra = np.zeros(len(picked))
+                extra = np.zeros(len(entries))
                 if boost:
-                    both = flags[picked] & _word_flags([own.lower()])[0]
+                    both = flags & _word_flags([own.lower()])[0]
                     extra = np.minimum(cap, (both * weights).sum(axis=1))
-                    bound = np.minimum(1.0, bound + extra)
-                for k in np.lexsort((picked, -bound)):
-                    if bound[k] < best - 1e-9:
-                        break
-                    entry = entries[picked[k]]
-                    if not entry:
-                        continue
-                    if picked[k] not in aligners:
-                        aligners[picked[k]] = SequenceMatcher(None, "", entry)
-                    aligners[picked[k]].set_seq1(own)
-                    score = aligners[picked[k]].ratio()
-                    if boost:
-                        score = min(1.0, score + float(extra[k]))
-                    if score > best or (score == best and score > 0 and picked[k] < place):
-                        best, place = score, int(picked[k])
+
+                def bounded(ratios: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                    most = np.minimum(1.0, ratios + extra[rows])
+                    order = np.lexsort((rows, -most))
+                    return rows[order], most[order]
+
+                def align(rows: np.ndarray, most: np.ndarray) -> None:
+                    nonlocal best, place
+                    for k, limit in zip(rows, most):
+                        if limit < best - 1e-9:
+                            return
+                        if not entries[k]:
+                            continue
+                        if k not in aligners:
+                            aligners[k] = SequenceMatcher(None, "", entries[k])
+                        aligners[k].set_seq1(own)
+                        score = aligners[k].ratio()
+                        if boost:
+                            score = min(1.0, score + float(extra[k]))
+                        if score > best or (score == best and score > 0 and k < place):
+                            best, place = score, int(k)
+
+                rows, most = bounded(laid.letter_bound(own, picked), picked)
+                align(rows[:4], most[:4])
+                rest = rows[4:][most[4:] >= best - 1e-9]
+                if len(rest) and len(own) < ALIGNED:
+                    align(*bounded(laid.block_bound(own, rest), rest))
+                elif len(rest):
+                    align(rest, most[4:][most[4:] >= best - 1e-9])
             found = place >= 0
             key = (row.text, row.brand) if by_brand else (row.text,)
             out.append((*key, fits, best, tile["name"][place] if found else None,

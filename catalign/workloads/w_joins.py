@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 
 from catalign.operators import history, joins, keep, search
+from catalign.operators.matching import mutual_containment
 from catalign.workloads import query
 from catalign.workloads.standins import BASE_MODELS, ENTRIES, PRODUCTS, RUN_LOG, pick, plain
 from catalign.workloads.w_text import rewrite_sql
@@ -70,12 +71,10 @@ def _(t):
     return search.page(hits, [F.desc("n_chars"), F.col("doc_id")], 50).select("doc_id")
 
 
-@query("p05_mutual_containment", "SELECT p_partkey, contains(upper(p_name), upper(p_type)) OR contains(upper(p_type), upper(substr(p_name, 1, 5))) AS same FROM part")
+@query("p05_mutual_containment", """
+SELECT p_partkey, contains(upper(substr(p_name, 1, 5)), upper(p_type)) OR contains(upper(p_type), upper(substr(p_name, 1, 5))) AS same FROM part""")
 def _(t):
-    from catalign.operators.matching import mutual_containment
-    head = F.substring("p_name", 1, 5)
-    both = F.upper(F.col("p_name")).contains(F.upper("p_type")) | (mutual_containment(head, F.col("p_type")) & F.upper(F.col("p_type")).contains(F.upper(head)))
-    return t.part.select("p_partkey", both.alias("same"))
+    return t.part.select("p_partkey", mutual_containment(F.substring("p_name", 1, 5), F.col("p_type")).alias("same"))
 
 
 @query("p06_review_queue", f"SELECT run_id FROM ({R}) r WHERE event_type = 'error' ORDER BY ts DESC, run_id DESC LIMIT 100 OFFSET 20")
@@ -240,17 +239,13 @@ def _(t):
     return out.select("o_orderkey", "c_name", "n_name", "r_name")
 
 
-@query("j08_with_children", """
-SELECT o_orderkey, c_name, lines, n_lines FROM orders LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN (
- SELECT l_orderkey, string_agg(l_linenumber || ':' || l_partkey, ',' ORDER BY l_linenumber, l_partkey, l_suppkey) AS lines, CAST(count(*) AS INT) AS n_lines FROM lineitem GROUP BY 1) l ON l_orderkey = o_orderkey""")
+@query("j08_child_rows", """
+SELECT o_orderkey, c_name, l_linenumber, l_partkey FROM orders LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN lineitem ON l_orderkey = o_orderkey""")
 def _(t):
     parents = t.orders.withColumnRenamed("o_orderkey", "order_id")
-    children = t.lineitem.select(F.col("l_orderkey").alias("order_id"), "l_linenumber", "l_partkey", "l_suppkey")
-    out = joins.with_children(parents, t.customer, F.col("o_custkey") == F.col("c_custkey"), children, "order_id",
-                              ["l_linenumber", "l_partkey", "l_suppkey"], "lines")
-    text = F.array_join(F.transform("lines", lambda x: F.concat_ws(":", x["l_linenumber"], x["l_partkey"])), ",")
-    return out.select(F.col("order_id").alias("o_orderkey"), "c_name", text.alias("lines"),
-                      F.when(F.col("lines").isNotNull(), F.size("lines")).alias("n_lines"))
+    children = t.lineitem.withColumnRenamed("l_orderkey", "order_id")
+    out = joins.child_rows(parents, t.customer, F.col("o_custkey") == F.col("c_custkey"), children, "order_id")
+    return out.select(F.col("order_id").alias("o_orderkey"), "c_name", "l_linenumber", "l_partkey")
 
 
 @query("j09_update_by_key", """
@@ -324,10 +319,10 @@ def _(t):
 
 
 @query("u06_unknown_fields", """
-SELECT l_orderkey, string_agg(DISTINCT k, '|' ORDER BY k) AS unknown FROM (SELECT l_orderkey, unnest([l_returnflag, l_linestatus, 'N' || l_linenumber]) AS k FROM lineitem) x
+SELECT k AS field, count(*) AS occurrences FROM (SELECT unnest([l_returnflag, l_linestatus, 'N' || l_linenumber]) AS k FROM lineitem) x
 WHERE k NOT IN ('A', 'N', 'O', 'N1') GROUP BY 1""")
 def _(t):
-    names = t.lineitem.groupBy("l_orderkey").agg(F.flatten(F.collect_set(F.array(
-        "l_returnflag", "l_linestatus", F.concat(F.lit("N"), F.col("l_linenumber").cast("string"))))).alias("names"))
-    unknown = F.array_sort(F.array_except("names", F.array(*[F.lit(x) for x in ("A", "N", "O", "N1")])))
-    return names.select("l_orderkey", F.array_join(unknown, "|").alias("unknown")).filter(F.col("unknown") != "")
+    named = F.map_from_arrays(F.array_distinct(F.array("l_returnflag", F.concat(F.lit("N"), F.col("l_linenumber").cast("string")))),
+                              F.array(F.lit("x"), F.lit("y")))
+    both = F.map_concat(named, F.create_map("l_linestatus", F.lit("z")))
+    return joins.unknown_fields(t.lineitem.select(both.alias("fields")), "fields", ["A", "N", "O", "N1"])

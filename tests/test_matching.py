@@ -47,6 +47,21 @@ def test_nearest_names_is_exact_for_any_tile_size(spark):
             assert abs(r.score - score) < 1e-12 and r.position == position
 
 
+def test_long_and_odd_texts_are_exact_too(spark):
+    rng = random.Random(8)
+
+    def made(n):
+        return "".join(rng.choice("abcde é-") for _ in range(n)).strip() or "a"
+
+    names = [(t, i, "") for i, t in enumerate(sorted({made(rng.choice([5, 30, 90, 250, 320])) for _ in range(50)}))]
+    asked = sorted({made(rng.choice([4, 25, 60, 240])) for _ in range(30)})
+    out = tiles.nearest_names(spark.createDataFrame([(t,) for t in asked], "text string"),
+                              spark.createDataFrame(names, "name string, position long, name_brand string").drop("name_brand"), tile_rows=20)
+    for r in out.collect():
+        scores = [(SequenceMatcher(None, r.text.lower(), n.lower()).ratio(), -i) for n, i, _ in names]
+        assert (r.score, -r.position) == max(scores)
+
+
 def test_a_brand_without_any_name_falls_back_to_all(spark):
     catalog = spark.createDataFrame([("Summit X", 1, "SKI-DOO"), ("Ranger", 2, "LYNX")], "name string, position long, name_brand string")
     asked = spark.createDataFrame([("ranger", "ARCTIC")], "text string, brand string")
@@ -139,6 +154,14 @@ def test_known_options_remainder(spark):
     assert fresh == {"gold", "ice ripper"}
 
 
+def test_child_document_of_a_chosen_parent(spark):
+    parents = spark.createDataFrame([(1, "m"), (2, "n")], "id long, model string")
+    models = spark.createDataFrame([("m", "Summit")], "name string, platform string")
+    children = spark.createDataFrame([(1, 2, "b"), (1, 1, "a"), (2, 1, "z")], "id long, pos int, engine string")
+    row = joins.child_document(parents.filter("id = 1"), models, F.col("model") == F.col("name"), children, "id", ["pos"], "engines").collect()
+    assert len(row) == 1 and row[0].platform == "Summit" and [e.engine for e in row[0].engines] == ["a", "b"]
+
+
 def test_strict_mode_keeps_filler_words(spark):
     row = spark.sql("SELECT 'Expert package with WIS' AS p, '850 E-TEC turbo r' AS e").select(
         text.package_text(F.col("p")), text.package_text(F.col("p"), True), text.engine_text(F.col("e")), text.engine_text(F.col("e"), True)).first()
