@@ -19,25 +19,28 @@ def _clean(value: Column) -> Column:
     return F.when(text.filled(value) & (value != "nan"), value)
 
 
-def _cell(cells: Column, columns: Column, field: str) -> Column:
-    """Cell of the last column mapped to ``field``."""
-    at = F.size(columns) - F.array_position(F.reverse(columns), field)
-    return F.when(F.array_contains(columns, field), F.get(cells, at.cast("int")))
-
-
-def _headers(cells: DataFrame, keys: Sequence[str], within: int, is_header, fields) -> DataFrame:
-    """Header row and column fields of each table, read from its first rows only.
+def _headers(cells: DataFrame, keys: Sequence[str], within: int, names: Sequence[str], is_header, fields) -> DataFrame:
+    """Header row of each table and the column of each field, read from the table's first rows only.
 
     ``is_header(joined text)`` finds the row; ``fields(row cells, next row cells)`` names the columns.
+    Of several columns with one field the last counts.
     """
     first = cells.filter(F.col("row_no") < HEAD_ROWS).groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("row_no", "cells"))).alias("_rows"))
     hits = F.filter("_rows", lambda r: (r["row_no"] < within) & is_header(F.array_join(F.filter(
         r["cells"], lambda c: c.isNotNull()), " ")))
-    head = F.get(hits, F.lit(0))
-    following = F.get(F.filter("_rows", lambda r: r["row_no"] == head["row_no"] + 1), F.lit(0))
-    return (first.filter(head.isNotNull())
-            .select(*keys, head["row_no"].alias("_head"), fields(head["cells"], following["cells"]).alias("_fields")))
+
+    def places(columns: Column) -> Column:
+        return F.struct(*[F.when(F.array_contains(columns, n), F.size(columns) - F.array_position(F.reverse(columns), n))
+                          .cast("int").alias(n) for n in names])
+
+    def read(head: Column) -> Column:
+        following = F.get(F.filter("_rows", lambda r: r["row_no"] == head["row_no"] + 1), F.lit(0))["cells"]
+        columns = text.let(following, lambda below: fields(head["cells"], below))
+        return F.struct(head["row_no"].alias("head"), text.let(columns, places).alias("at"))
+
+    found = first.select(*keys, text.let(F.get(hits, F.lit(0)), read).alias("_h"))
+    return found.select(*keys, F.col("_h.head").alias("_head"), F.col("_h.at").alias("_at")).filter(F.col("_head").isNotNull())
 
 
 def raw_records(cells: DataFrame, keys: Sequence[str] = ("doc", "table_no")) -> DataFrame:
@@ -49,13 +52,13 @@ def raw_records(cells: DataFrame, keys: Sequence[str] = ("doc", "table_no")) ->
         def label(cell: Column, i: Column) -> Column:
             below = F.get(following, i)
             both = F.concat_ws(" ", F.when(cell != "nan", cell), F.when(below != "nan", below))
-            return F.coalesce(text.header_field(F.trim(both), fixed.TABLE_HEADERS), F.lit(""))
+            return text.let(F.trim(both), lambda t: F.coalesce(text.header_field(t, fixed.TABLE_HEADERS), F.lit("")))
         return F.transform(head, label)
 
-    heads = _headers(cells, keys, 10, lambda t: t.contains("Malli") & t.contains("Paketti"), fields)
-    rows = cells.join(heads, list(keys)).filter(F.col("row_no") >= F.col("_head") + 2)
     names = [name for _, name in fixed.TABLE_HEADERS]
-    rows = rows.select(*keys, "page", "row_no", *[_clean(_cell(F.col("cells"), F.col("_fields"), n)).alias(n) for n in names])
+    heads = _headers(cells, keys, 10, names, lambda t: t.contains("Malli") & t.contains("Paketti"), fields)
+    rows = cells.join(heads, list(keys)).filter(F.col("row_no") >= F.col("_head") + 2)
+    rows = rows.select(*keys, "page", "row_no", *[_clean(F.get("cells", F.col(f"_at.{n}"))).alias(n) for n in names])
     present = F.coalesce(*names).isNotNull()
     normal = {f"normalized_{n}": text.field_text(F.col(n)) for n in ("malli", "paketti", "moottori", "telamatto", "mittaristo")}
     return rows.filter(present).withColumns({**normal, "price_value": price_digits(F.col("price"))})
@@ -64,17 +67,16 @@ def raw_records(cells: DataFrame, keys: Sequence[str] = ("doc", "table_no")) ->
 def keyword_records(cells: DataFrame, keys: Sequence[str] = ("doc", "table_no"), min_keywords: int = 3) -> DataFrame:
     """One record per row below a header with at least ``min_keywords`` known words; rows without code drop."""
     def is_header(row: Column) -> Column:
-        return text.keyword_hits(text.squeeze(F.lower(row)), fixed.HEADER_KEYWORDS) >= min_keywords
+        return text.let(text.squeeze(F.lower(row)), lambda t: text.keyword_hits(t, fixed.HEADER_KEYWORDS)) >= min_keywords
 
     def fields(head: Column, _following: Column) -> Column:
         return F.transform(head, lambda c: F.coalesce(text.header_field(F.lower(F.trim(c)), fixed.KEYWORD_HEADERS), F.lit("")))
 
-    heads = _headers(cells, keys, 5, is_header, fields)
-    rows = cells.join(heads, list(keys)).filter(F.col("row_no") > F.col("_head"))
     names = [name for _, name in fixed.KEYWORD_HEADERS]
+    heads = _headers(cells, keys, 5, names, is_header, fields)
+    rows = cells.join(heads, list(keys)).filter(F.col("row_no") > F.col("_head"))
     rows = rows.select(*keys, "page", "row_no", *[
-        F.when(F.array_contains("_fields", n), F.coalesce(F.trim(_cell(F.col("cells"), F.col("_fields"), n)), F.lit(""))).alias(n)
-        for n in names])
+        F.when(F.col(f"_at.{n}").isNotNull(), F.coalesce(F.trim(F.get("cells", F.col(f"_at.{n}"))), F.lit(""))).alias(n) for n in names])
     return rows.filter(text.filled(F.col("model_code")))
 
 
