@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalign.functions import fixed, text
 from catalign.functions.prices import price_digits
-from catalign.operators.scans import exclusive_scan
+from catalign.operators.scans import exclusive_sum
 
 HEAD_ROWS = 12
 
@@ -81,17 +81,11 @@ def keyword_records(cells: DataFrame, keys: Sequence[str] = ("doc", "table_no"),
 
 
 def number_products(rows: DataFrame, doc: str = "doc", page: str = "page", row: str = "row_no", code: str = "model_code") -> DataFrame:
-    """Number of the product a row belongs to: starts counted in page and row order, 0 before the first.
-
-    Pages are scanned one by one and page totals by blocks, so a huge document is no single task.
-    """
+    """Number of the product a row belongs to: starts counted in page and row order, 0 before the first."""
     start = F.length(F.trim(F.coalesce(F.col(code), F.lit("")))) == 4
     rows = rows.withColumn("is_start", start)
-    pages = rows.groupBy(doc, page).agg(F.count_if("is_start").alias("_starts"))
-    before = exclusive_scan(pages, [doc], page, "_starts", "_before").drop("_starts")
-    inside = Window.partitionBy(doc, page).orderBy(row).rowsBetween(Window.unboundedPreceding, 0)
-    return (rows.join(before, [doc, page], "left")
-            .withColumn("product_no", F.col("_before") + F.sum(F.col("is_start").cast("int")).over(inside)).drop("_before"))
+    counted = exclusive_sum(rows, [doc], [page, row], F.col("is_start").cast("int"), "_before")
+    return counted.withColumn("product_no", F.col("_before") + F.col("is_start").cast("int")).drop("_before")
 
 
 def fold_text(values: Column) -> Column:

@@ -48,9 +48,10 @@ def created_audit(products: DataFrame, key: str, user: str = "system") -> DataFr
 
 
 def confidence_changes(audit: DataFrame, key: str, order: Sequence[str], value: str, ts: str, block_seconds: int = 3600) -> DataFrame:
-    """Change against the key's previous value in time; keys are scanned in time blocks."""
-    block = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / block_seconds)
-    out = previous_value(audit, [key], order, value, "_previous", block)
+    """Change against the key's previous value in time; keys are scanned in time blocks, crowded ones by instant."""
+    instant = clock.micros(F.col(ts))
+    span = block_seconds * 1_000_000
+    out = previous_value(audit, [key], order, value, "_previous", F.floor(instant / span) * span, instant)
     return out.withColumn("confidence_change", F.col(value) - F.col("_previous")).drop("_previous")
 
 

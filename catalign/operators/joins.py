@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from catalign.functions import fixed
 from catalign.functions.text import engine_name
 from catalign.operators import tiles
+from catalign.operators.keep import spread_nulls
 
 
 def product_360(products: DataFrame, mappings: DataFrame, entries: DataFrame, models: DataFrame) -> DataFrame:
@@ -119,7 +120,9 @@ def known_options(entries: DataFrame, registry: DataFrame, keys: Sequence[str])
     rest = F.aggregate(names, F.lower("text"), lambda left, name: F.replace(left, F.lower(name), F.lit("")))
     found = fits.select("text", "brand", "family", names.alias("known"),
                         F.trim(F.regexp_replace(rest, r"[\s,;]+", " ")).alias("remainder"))
-    return entries.join(found, ["text", "brand", "family"], "left").select(*keys, "known", "remainder")
+    keyed = entries.withColumn("text", spread_nulls(F.nullif(F.trim("text"), F.lit("")), *keys))
+    found = found.withColumn("text", F.trim("text")).dropDuplicates(["text", "brand", "family"])
+    return keyed.join(found, ["text", "brand", "family"], "left").select(*keys, "known", "remainder")
 
 
 def new_registry_rows(found: DataFrame, keys: Sequence[str]) -> DataFrame:

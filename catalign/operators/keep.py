@@ -33,6 +33,14 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     return top_per_key(df, keys, [F.col(c).desc() for c in order])
 
 
+def spread_nulls(key: Column, *row: str) -> Column:
+    """A join key whose nulls are spread over many values that match nothing.
+
+    In an outer join all null keys would meet in one partition.
+    """
+    return F.coalesce(key, F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*row), F.lit(1009)).cast("string")))
+
+
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Merge ``new`` into ``old`` by key: new rows win, and later new rows beat earlier ones."""
     tagged = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))

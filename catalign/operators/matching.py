@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from catalign.functions import fixed, text
 from catalign.functions.similarity import letter_similarity
 from catalign.operators import tiles
-from catalign.operators.keep import best_match, top_per_key
+from catalign.operators.keep import best_match, spread_nulls, top_per_key
 
 Matcher = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -70,19 +70,23 @@ def find_candidates(requests: DataFrame, base_models: DataFrame) -> DataFrame:
         F.col("model_brand")))
 
 
-def match_base_models(entries: DataFrame, base_models: DataFrame, accept: float = 0.7,
-                      use: float = 0.8) -> DataFrame:
+def match_base_models(entries: DataFrame, base_models: DataFrame, accept: float = 0.7, use: float = 0.8,
+                      attach: Sequence[str] = ()) -> DataFrame:
     """Stage-1 match of every entry: best candidate, its confidence and the outcome.
 
     Scores depend on code, brand and year only, so each distinct combination is matched once and
-    joined back; a popular code costs no more than a rare one.
+    joined back; a popular code costs no more than a rare one. Columns of the model to ``attach`` come
+    along in the same join, null where the match is not accepted.
     """
     keys = ["code", "brand", "model_year"]
     requests = entries.select(F.col("model_code").alias("code"), "brand", "model_year").distinct()
     ranked = best_match(find_candidates(requests, base_models), keys, "score",
                         ["candidate", "model_brand", "model_name", "position"])
     best = ranked.select(*keys, "candidate", F.col("base_model_id").alias("best_id"),
-                         F.col("model_name").alias("best_name"), F.col("position").alias("best_position"), "score")
+                         F.col("model_name").alias("best_name"), "position", "score")
+    if attach:
+        best = best.join(base_models.select("position", *attach), "position", "left")
+    best = best.drop("position")
     joined = entries.withColumnRenamed("model_code", "code").join(best, keys, "left").withColumnRenamed(
         "code", "model_code")
     known = F.size(text.code_candidates(F.col("model_code"), F.col("brand"))) > 0
@@ -92,6 +96,7 @@ def match_base_models(entries: DataFrame, base_models: DataFrame, accept: float
             .withColumn("matched_base_model_id", F.when(accepted, F.col("best_id")))
             .withColumn("matched_model_name", F.when(accepted, F.col("best_name")))
             .withColumn("match_confidence", score)
+            .withColumns({c: F.when(accepted, F.col(c)) for c in attach})
             .withColumn("structured", score >= use)
             .withColumn("match_reason", F.when(~known, "No base model candidates extracted from code")
                         .when(~accepted, F.concat(F.lit("Best match confidence "), F.format_string("%.2f", score),
@@ -178,8 +183,10 @@ def first_containing(products: DataFrame, catalog: DataFrame, model: str = "mall
     models = products.select(model).filter(text.filled(F.col(model))).distinct()
     hits = tiles.first_hit(models, [model], families, ["position", "model_family", "entry_position"],
                            lambda n: mutual_containment(F.col(model), n["model_family"]))
-    return products.join(hits.select(model, F.col("hit.model_family").alias("model_family"),
-                                     F.col("hit.entry_position").alias("catalog_position")), model, "left")
+    found = hits.select(F.col(model).alias("_model"), F.col("hit.model_family").alias("model_family"),
+                        F.col("hit.entry_position").alias("catalog_position"))
+    keyed = products.withColumn("_model", spread_nulls(F.col(model), *products.columns))
+    return keyed.join(found, "_model", "left").drop("_model")
 
 
 def whitelist_match(products: DataFrame, whitelist: DataFrame, brand: str = "brand", model: str = "malli",
@@ -205,7 +212,8 @@ def whitelist_match(products: DataFrame, whitelist: DataFrame, brand: str = "bra
              .when(fuzzy, "fuzzy").otherwise("none"))
     resolved = tiered.select("model_text", "pattern", kinds.alias("match_type"), "score",
                              F.when(F.col("score") > 0.6, F.col("_best")).alias("suggestion"))
-    return products.join(resolved, "model_text", "left")
+    keyed = products.withColumn("_text", spread_nulls(F.col("model_text"), *products.columns))
+    return keyed.join(resolved.withColumnRenamed("model_text", "_text"), "_text", "left").drop("_text")
 
 
 def suggest_models(values: DataFrame, whitelist: DataFrame, value: str) -> DataFrame:
@@ -219,7 +227,8 @@ def suggest_models(values: DataFrame, whitelist: DataFrame, value: str) -> DataF
         lambda n: F.lower("_clean").contains(F.lower(n["name"])) | F.lower(n["name"]).contains(F.lower("_clean")))
     texts = texts.join(similar, "_clean", "left").select(
         "_clean", F.coalesce("_listed", F.lit(False)).alias("listed"), F.col("hit.name").alias("similar"))
-    return (values.withColumn("_clean", clean).join(texts, "_clean", "left").drop("_clean")
+    keyed = values.withColumn("_clean", spread_nulls(F.nullif(clean, F.lit("")), *values.columns))
+    return (keyed.join(texts, "_clean", "left").drop("_clean")
             .withColumn("listed", F.coalesce("listed", F.lit(False))))
 
 

@@ -41,27 +41,37 @@ def exclusive_scan(df: DataFrame, part: Sequence[str], pos: str, value: str, out
     return joined.withColumn(out, result).drop(block, carried)
 
 
-def ordinal(df: DataFrame, order: Sequence[str], out: str, part: Sequence[str] = (), fan: int = FAN,
-            depth: int = 1) -> DataFrame:
-    """Zero-based row number of each key over integer columns that together are unique."""
+def exclusive_sum(df: DataFrame, part: Sequence[str], order: Sequence[str], value: Column, out: str, fan: int = FAN,
+                  depth: int = 1) -> DataFrame:
+    """Sum of ``value`` over the earlier rows of a key, in the order of integer columns that together are unique.
+
+    The last column is cut into blocks; totals of each leading column are scanned the same way, so neither
+    a hot key nor a hot leading value (one document, one page, one conversation) fills a task.
+    """
     *head, last = order
-    block, before, lead = f"_{last}_block", f"_{last}_before", "_rows_before"
+    block, before, lead, total = f"_{last}_block", f"_{last}_before", "_lead_before", "_block_total"
     scope = [*part, *head]
-    placed = df.withColumn(block, F.floor(F.col(last) / fan))
-    counts = placed.groupBy(*scope, block).agg(F.count("*").alias("_rows"))
-    blocks = exclusive_scan(counts, scope, block, "_rows", before, "sum", fan, depth).drop("_rows")
-    window = Window.partitionBy(*scope, block).orderBy(last)
-    inner = (F.row_number().over(window) - 1).cast("long")
+    placed = df.withColumns({"_value": value.cast("long"), block: F.floor(F.col(last) / fan)})
+    counts = placed.groupBy(*scope, block).agg(F.sum("_value").alias(total))
+    blocks = exclusive_scan(counts, scope, block, total, before, "sum", fan, depth).drop(total)
+    window = Window.partitionBy(*scope, block).orderBy(last).rowsBetween(Window.unboundedPreceding, -1)
+    inner = F.coalesce(F.sum("_value").over(window), F.lit(0))
     joined = (placed.join(blocks, [*scope, block], "left")
               .withColumn(out, inner + F.coalesce(F.col(before), F.lit(0))).drop(block, before))
     while head:
         *rest, last = head
-        counts = df.groupBy(*part, *head).agg(F.count("*").alias("_rows"))
-        totals = exclusive_scan(counts, [*part, *rest], last, "_rows", lead, "sum", fan, depth)
-        joined = (joined.join(totals.drop("_rows"), [*part, *head], "left")
+        sums = placed.groupBy(*part, *head).agg(F.sum("_value").alias(total))
+        totals = exclusive_scan(sums, [*part, *rest], last, total, lead, "sum", fan, depth).drop(total)
+        joined = (joined.join(totals, [*part, *head], "left")
                   .withColumn(out, F.col(out) + F.coalesce(F.col(lead), F.lit(0))).drop(lead))
         head = rest
-    return joined
+    return joined.drop("_value")
+
+
+def ordinal(df: DataFrame, order: Sequence[str], out: str, part: Sequence[str] = (), fan: int = FAN,
+            depth: int = 1) -> DataFrame:
+    """Zero-based row number over integer columns that together are unique."""
+    return exclusive_sum(df, part, order, F.lit(1), out, fan, depth)
 
 
 def batches(df: DataFrame, order: Sequence[str], size: int, out: str = "batch_no") -> DataFrame:
@@ -70,9 +80,18 @@ def batches(df: DataFrame, order: Sequence[str], size: int, out: str = "batch_no
 
 
 def previous_value(df: DataFrame, part: Sequence[str], order: Sequence[str], value: str, out: str,
-                   block: Column) -> DataFrame:
-    """``lag(value)`` of a key, with the key cut into blocks (an integer that grows with ``order``)."""
-    placed = df.withColumn("_block", block)
+                   coarse: Column, fine: Column | None = None, hot_rows: int = 100_000) -> DataFrame:
+    """``lag(value)`` of a key, with the key cut into blocks.
+
+    ``coarse`` and ``fine`` are integers on one scale that never fall along ``order`` (the start of an hour
+    and the instant, say). Blocks of a key with more than ``hot_rows`` rows are cut again by ``fine``.
+    """
+    placed = df.withColumn("_block", coarse)
+    if fine is not None:
+        hot = (placed.groupBy(*part, "_block").agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
+               .withColumn("_hot", F.lit(True)).drop("_n"))
+        placed = placed.join(hot, [*part, "_block"], "left").withColumn(
+            "_block", F.when(F.col("_hot"), fine).otherwise(F.col("_block"))).drop("_hot")
     marker = F.struct(*order)
     lasts = placed.groupBy(*part, "_block").agg(F.max_by(F.struct(F.col(value).alias("v")), marker).alias("_last"))
     lasts = exclusive_scan(lasts, part, "_block", "_last", "_carried", "last").drop("_last")

@@ -221,19 +221,12 @@ def validate(df: DataFrame) -> DataFrame:
 
 # --- whole batch -----------------------------------------------------------------------------------
 def match_stage(base_models: DataFrame) -> Stage:
-    """Match entries and attach the specification groups of the matched model.
-
-    Only the matched position travels with the entries; the groups join on it once.
-    """
+    """Match entries and take the specification groups of the matched model along in the same join."""
     def stage(entries: DataFrame) -> DataFrame:
-        matched = matching.match_base_models(entries, base_models)
-        wanted = F.when(F.col("matched_base_model_id").isNotNull(), F.col("best_position"))
-        groups = base_models.select(F.col("position").alias("_position"), F.col("base_specs").alias("_specs"),
-                                    F.col("inheritance_base").alias("_base"))
-        joined = matched.withColumn("_wanted", wanted).join(groups, F.col("_wanted") == F.col("_position"), "left")
-        return joined.withColumns({
-            "base_specs": F.coalesce("_specs", maps.literal_map({})), "inheritance_base": F.coalesce("_base", F.lit(0.0)),
-        }).drop("_position", "_wanted", "_specs", "_base", "best_position", "candidate")
+        matched = matching.match_base_models(entries, base_models, attach=["base_specs", "inheritance_base"])
+        return matched.withColumns({
+            "base_specs": F.coalesce("base_specs", maps.literal_map({})),
+            "inheritance_base": F.coalesce("inheritance_base", F.lit(0.0))}).drop("candidate")
 
     return stage
 
