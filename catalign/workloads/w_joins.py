@@ -204,8 +204,8 @@ def _(t):
 
 
 @query("u05_unmatched_both_sides", f"""{PAIRS}
-SELECT 'spec' AS side, count(*) AS n FROM (SELECT DISTINCT spec_id FROM v WHERE spec_id NOT IN (SELECT spec_id FROM j)) a
-UNION ALL SELECT 'price', count(*) FROM p WHERE sku NOT IN (SELECT sku FROM j)""")
+SELECT side, n FROM (SELECT 'spec' AS side, count(*) AS n FROM (SELECT DISTINCT spec_id FROM v WHERE spec_id NOT IN (SELECT spec_id FROM j)) a
+UNION ALL SELECT 'price', count(*) FROM p WHERE sku NOT IN (SELECT sku FROM j)) b WHERE n > 0""")
 def _(t):
     out = joins.spec_price_join(*spec_frames(t))
     sides = (out["unmatched_specs"].select(F.lit("spec").alias("side")).unionByName(out["unmatched_pricing"].select(F.lit("price").alias("side"))))
@@ -289,7 +289,12 @@ def _(t):
     return found.select("product_id", F.when(F.size("known") > 0, F.array_join("known", "|")).alias("known"))
 
 
-@query("j17_new_options")
+@query("j17_new_options", f"""
+WITH e AS (SELECT product_id, brand, coalesce(malli, '') AS family, trim(paketti) AS options FROM ({P}) p WHERE trim(coalesce(paketti, '')) <> ''),
+ o AS (SELECT DISTINCT options, brand, family FROM e),
+ h AS (SELECT o.*, list(r.name ORDER BY position) FILTER (r.name IS NOT NULL) AS names FROM o LEFT JOIN ({_reg}) r ON (r.b IS NULL OR r.b = o.brand) AND (r.f IS NULL OR r.f = o.family) AND contains(lower(o.options), lower(r.name)) GROUP BY ALL),
+ x AS (SELECT options, brand, family, trim(regexp_replace(list_reduce(list_concat([lower(options)], coalesce(names, [])), lambda a, n: replace(a, lower(n), '')), '[\\s,;]+', ' ', 'g')) AS rest FROM h)
+SELECT rest AS name, min(product_id) AS first_seen, count(*) AS times_seen, false AS validated FROM e JOIN x ON x.options = e.options AND x.brand = e.brand AND x.family = e.family WHERE rest <> '' GROUP BY 1""")
 def _(t):
     registry = t.spark.createDataFrame(REGISTRY, "position long, name string, brand string, family string")
     rows = t.select(PRODUCTS).select("product_id", F.col("paketti").alias("text"), "brand", F.coalesce("malli", F.lit("")).alias("family"))

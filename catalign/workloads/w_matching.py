@@ -267,6 +267,18 @@ def _(t):
         "product_id", "match_type", "pattern", "suggestion", F.round("score", 6).alias("score"))
 
 
+_shape = "CASE " + " ".join(f"WHEN regexp_matches(upper(model_text), '^{s}') THEN '{s}'" for s in fixed.WHITELIST_SHAPES) + " END"
+
+
+@query("j14_exact_and_pattern_tiers", f"""
+SELECT product_id, CASE WHEN listed THEN 'exact' ELSE 'pattern' END AS match_type, CASE WHEN NOT listed THEN pattern END AS pattern FROM (
+ SELECT product_id, upper(model_text) IN (SELECT upper('BRP ' || model_family) FROM ({C}) c) AS listed, {_shape} AS pattern
+ FROM (SELECT product_id, trim('BRP ' || brand || ' ' || malli) AS model_text FROM ({P}) p WHERE coalesce(malli, '') <> '') q) r WHERE listed OR pattern IS NOT NULL""")
+def _(t):
+    found = matching.whitelist_match(t.select(PRODUCTS), whitelist(t))
+    return found.filter(F.col("match_type").isin("exact", "pattern")).select("product_id", "match_type", "pattern")
+
+
 @query("v02_whitelist_layer")
 def _(t):
     from catalign.operators import rules
