@@ -7,13 +7,18 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EMPTY = "map<string,string>"
+def sql_text(value: str | None) -> str:
+    """SQL literal of a text."""
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def literal_map(values: Mapping[str, str]) -> Column:
+    """Constant map, written as one SQL literal so that building a plan stays quick."""
     if not values:
-        return F.create_map().cast(EMPTY)
-    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+        return F.expr("CAST(map() AS MAP<STRING, STRING>)")
+    return F.expr("map(" + ", ".join(sql_text(x) for pair in values.items() for x in pair) + ")")
 
 
 def known_map(**values: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalign.functions import fixed
+from catalign.functions.maps import sql_text
 from catalign.functions.text import any_word, filled, let
 
 TEXTS = "array<string>"
@@ -209,18 +210,20 @@ def _number_field(value: Column, text: str, fix: str | None, low: int, high: int
             .when(number > high, _fail(above)).otherwise(_pass()))
 
 
-def _outcome(valid: bool, message: Column, caution: Column, fix: Column) -> Column:
-    return F.struct(F.lit(valid).alias("valid"), message.cast("string").alias("error"),
-                    caution.cast("string").alias("warning"), fix.cast("string").alias("fix"))
+def _constant(valid: bool, message: str | None, caution: str | None, fix: str | None) -> Column:
+    return F.expr(f"named_struct('valid', {str(valid).lower()}, 'error', {sql_text(message)}, 'warning', {sql_text(caution)}, "
+                  f"'fix', {sql_text(fix)})")
 
 
 def _fail(message: Column | str, fix: Column | str | None = None) -> Column:
-    return _outcome(False, F.lit(message) if isinstance(message, str) else message, F.lit(None),
-                    fix if isinstance(fix, Column) else F.lit(fix))
+    if isinstance(message, str):
+        return _constant(False, message, None, fix)
+    return F.struct(F.lit(False).alias("valid"), message.alias("error"), F.lit(None).cast("string").alias("warning"),
+                    (fix if isinstance(fix, Column) else F.lit(fix)).cast("string").alias("fix"))
 
 
 def _pass(caution: str | None = None) -> Column:
-    return _outcome(True, F.lit(None), F.lit(caution), F.lit(None))
+    return _constant(True, None, caution, None)
 
 
 def _optional(clean: Column, note: str, rest: Column) -> Column:

@@ -102,8 +102,9 @@ def customize(df: DataFrame) -> DataFrame:
 
 # --- options ---------------------------------------------------------------------------------------
 def option(kind: str, description: str, confidence: float, method: str) -> Column:
-    return F.struct(F.lit(kind).alias("type"), F.lit(description).alias("description"),
-                    F.lit(confidence).alias("confidence"), F.lit(method).alias("method"))
+    text = maps.sql_text
+    return F.expr(f"named_struct('type', {text(kind)}, 'description', {text(description)}, "
+                  f"'confidence', {confidence}D, 'method', {text(method)})")
 
 
 def detect_options(code: Column, custom: Column, price: Column) -> Column:

@@ -16,6 +16,8 @@ def build_session(app: str = "catalign", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # row rules after a shuffle are heavy on the CPU, so small shuffles keep several partitions
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if master:
