@@ -36,7 +36,19 @@ def active_window(ts: Column) -> Column:
 
 
 def micros(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp"))
+    """Microseconds since 1970 of a wall-clock time, whatever the session's time zone."""
+    whole = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("long") * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60
+    return whole * 1000000 + (F.extract(F.lit("SECOND"), ts) * 1000000).cast("long")
+
+
+def utc_instant(ts: Column) -> Column:
+    """A wall-clock time read as UTC, for event time in streams."""
+    return F.timestamp_micros(micros(ts))
+
+
+def utc_wall(instant: Column) -> Column:
+    """The UTC wall-clock time of an instant."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
 
 
 def minutes_between(start: Column, end: Column) -> Column:

@@ -35,7 +35,7 @@ def euro_amount(line: Column) -> Column:
     found = F.regexp_extract(line, fixed.EURO_PRICE, 1)
     text = F.replace(F.regexp_replace(found, r"\x{a0}", ""), F.lit(","), F.lit("."))
     tail = F.substring(text, -3, 3)
-    cut = F.concat(F.expr("''"), F.left(text, F.length(text) - 2), F.lit("."), F.right(text, F.lit(2)))
+    cut = F.concat(F.left(text, F.length(text) - 2), F.lit("."), F.right(text, F.lit(2)))
     text = F.when(~tail.contains(".") & (F.length(text) > 3), cut).otherwise(text)
     value = number(text)
     return F.when(value > 15000, value)

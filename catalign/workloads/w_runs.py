@@ -341,7 +341,7 @@ def _(t):
 
 # --- streams -------------------------------------------------------------------------------------------
 def events_stream(t):
-    return monitors.file_stream(t.spark, t.folder, EVENTS, glob="events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    return monitors.file_stream(t.spark, t.folder, EVENTS, glob="events.parquet").withColumn("ts", clock.utc_instant(F.col("ts")))
 
 
 @query("g01_incremental_ingest", """
@@ -378,7 +378,8 @@ def _(t):
     path = shared_dir(t.spark, "monitor")
     rates = monitors.error_rates(events_stream(t), "ts", F.col("event_type") == "error", late="1 hour")
     monitors.to_table(rates, path + "/rows", path + "/checkpoint")
-    return t.spark.read.parquet(path + "/rows").select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "attempts", "errors")
+    day = F.date_format(clock.utc_wall(F.col("window_start")), "yyyy-MM-dd")
+    return t.spark.read.parquet(path + "/rows").select(day.alias("day"), "attempts", "errors")
 
 
 _slots = "unnest([make_timestamp(CAST(floor(epoch(ts) / 43200) * 43200 AS BIGINT) * 1000000), make_timestamp(CAST(floor(epoch(ts) / 43200) * 43200 - 43200 AS BIGINT) * 1000000)])"
@@ -398,7 +399,8 @@ def _(t):
     path = shared_dir(t.spark, "health")
     alerts = monitors.health_alerts(events_stream(t), "ts", "event_type", F.col("value") < 60, 0.6, late="1 hour")
     monitors.to_table(alerts, path + "/rows", path + "/checkpoint")
-    return t.spark.read.parquet(path + "/rows").select(F.date_format("window_start", "yyyy-MM-dd HH").alias("window_start"), "event_type", "attempts")
+    start = F.date_format(clock.utc_wall(F.col("window_start")), "yyyy-MM-dd HH")
+    return t.spark.read.parquet(path + "/rows").select(start.alias("window_start"), "event_type", "attempts")
 
 
 @query("g04_audit_stream", "SELECT event_id, 'product_created' AS action FROM events")

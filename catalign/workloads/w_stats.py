@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalign.functions import bands, fixed, prices, text
+from catalign.functions import bands, clock, fixed, prices, text
 from catalign.operators import stats
 from catalign.workloads import query
 from catalign.workloads.standins import BASE_MODELS, ENTRIES, PRODUCTS, RUN_LOG, plain
@@ -135,7 +135,7 @@ SELECT count(*) AS total_jobs, count(*) FILTER (o_orderstatus = 'F') AS complete
 FROM (SELECT o_orderstatus, o_orderkey, count(l_orderkey) AS n, count(*) FILTER (l_linestatus = 'F') AS good,
  max(epoch(l_shipdate) - epoch(o_orderdate)) AS days FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2) j""")
 def _(t):
-    seconds = (F.unix_seconds(F.col("l_shipdate").cast("timestamp")) - F.unix_seconds(F.col("o_orderdate").cast("timestamp")))
+    seconds = (clock.micros(F.col("l_shipdate")) - clock.micros(F.col("o_orderdate"))) / 1000000
     jobs = t.orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey"), "left").groupBy("o_orderkey", "o_orderstatus").agg(
         F.count("l_orderkey").alias("n"), F.count_if(F.col("l_linestatus") == "F").alias("good"), F.max(seconds).alias("seconds"))
     state = F.when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderstatus") == "P", "failed").otherwise("processing")
