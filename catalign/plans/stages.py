@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalign.functions import bands, fixed, maps
+from catalign.functions import fixed, maps
 from catalign.operators import matching, stats
 from catalign.operators.rules import Rule, error, messages, warning
 

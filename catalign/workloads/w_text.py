@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalign.functions import clock, fixed, prices, text
-from catalign.tables import Tables
 from catalign.workloads import query
 from catalign.workloads.standins import CATALOG, ENGINES, ENTRIES, PAGE_TEXT, PRODUCTS, pick, plain, quote
 
