@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalign.llm import chat_format, common, exact_dedup, extract_html, mixing, simhash, warc
+from catalign.llm import chat_format, class_lm, common, exact_dedup, extract_html, mixing, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -90,3 +90,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_html_text")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_html.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op6_class_lm")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.score(table(spark, sf_dir, "documents"))
