@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalign.llm import chat_format, class_lm, common, exact_dedup, extract_html, mixing, simhash, warc
+from catalign.llm import chat_format, class_lm, common, decontaminate, exact_dedup, extract_html, mixing, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -95,3 +95,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_class_lm")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return class_lm.score(table(spark, sf_dir, "documents"))
+
+
+@query("op8_decontaminate")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
