@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalign.llm import chat_format, class_lm, common, decontaminate, exact_dedup, extract_html, mixing, simhash, warc
+from catalign.llm import chat_format, class_lm, common, decontaminate, exact_dedup, extract_html, mixing, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -100,3 +100,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_decontaminate")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
