@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalign.llm import chat_format, class_lm, common, decontaminate, exact_dedup, extract_html, mixing, simhash, toxicity, warc
+from catalign.llm import chat_format, class_lm, common, decontaminate, exact_dedup, extract_html, mixing, simhash, suffix_dedup, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -105,3 +105,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_toxicity")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op5_suffix_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.strip(table(spark, sf_dir, "documents")).drop("kept")
