@@ -35,11 +35,12 @@ GRAMS = (32, 128, WINDOW)
 HOT_RUNS = 1024
 CHUNK_BYTES = 1 << 18
 MAX_BITS = 1 << 27
-#: Window starts of a run, and of a piece of a long text, at most.
-RUN_STARTS, PIECE_STARTS = 1024, 1 << 18
+#: Window starts of a piece of a long text, at most.
+PIECE_STARTS = 1 << 18
 
 _BYTE_VALUES = np.random.default_rng(7).integers(1, 1 << 62, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
+_PLACE = np.uint64((1 << 20) - 1)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -63,21 +64,19 @@ def runs(data: bytes, gram: int):
         n = len(piece)
         prefix = np.zeros(n + 1, np.uint64)
         np.cumsum(_BYTE_VALUES[piece] * _UP[:n], out=prefix[1:])
-        least = _mixed((prefix[gram:] - prefix[:-gram]) * _DOWN[:n - gram + 1])
+        hashes = _mixed((prefix[gram:] - prefix[:-gram]) * _DOWN[:n - gram + 1])
+        # the low bits hold the place, so a window's anchor is one place: the leftmost of equal ones
+        least = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
         width, have = WINDOW - gram + 1, 1
         while have < width:
             step = min(have, width - have)
             least = np.minimum(least[:-step], least[step:])
             have += step
-        change = np.r_[True, least[1:] != least[:-1]]
-        begin = np.flatnonzero(change)
+        begin = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
         size = np.diff(np.r_[begin, len(least)])
-        if size.max() > RUN_STARTS:  # periodic text: cut at multiples from the run's own start
-            change[np.concatenate([np.arange(b, b + s, RUN_STARTS) for b, s in zip(begin[size > RUN_STARTS], size[size > RUN_STARTS], strict=True)])] = True
-            begin = np.flatnonzero(change)
-            size = np.diff(np.r_[begin, len(least)])
+        anchor = hashes[(least[begin] & _PLACE).astype(np.int64)]
         whole = (prefix[begin + size - 1 + WINDOW] - prefix[begin]) * _DOWN[begin]
-        yield at + begin, size, least[begin], _mixed(whole + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        yield at + begin, size, anchor, _mixed(whole + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
 def suffix_array(codes: np.ndarray, depth: int = WINDOW) -> np.ndarray:
