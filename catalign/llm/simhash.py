@@ -186,7 +186,7 @@ def links(points: DataFrame, radius: int = RADIUS, shard_size: int = SHARD_SIZE)
         width = radius + 1
         shells = F.when(away % width < radius, F.array((away / width).cast("int"), (away / width).cast("int") - 1)).otherwise(F.array((away / width).cast("int")))
         parted = open_shards.join(large, "shard").select("fp", "shard", F.explode(shells).alias("shell"))
-        open_shards = common.saved(open_shards.join(large, "shard", "left_anti").union(
+        open_shards = common.saved(open_shards.join(large, "shard", "left_anti").select("fp", "shard").union(
             parted.select("fp", F.xxhash64("shard", F.lit(level), "shell").alias("shard"))), "shards")
 
     def search(batches):
