@@ -27,7 +27,7 @@ from catalign.llm import common
 # Fixed value: a word is a run of anything but these.
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Documents of one block of a source, about: one rounding task holds so many sizes.
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 1024
 MOST_COPIES = 3
 WEIGHTS = (1, 2, 3)
 
@@ -117,9 +117,12 @@ def mix_report(docs: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame, source: str = "source", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The mix itself: every document as often as its copies say, with `copy` from 1; documents with no copy are left out."""
+    """The mix itself: every document as often as its copies say, with `copy` from 1; documents with no copy are left out.
+
+    A column named `copy` in the input is replaced."""
     chosen = balanced(docs, source, text, doc_id).filter("copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash"), "copies")
+        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash"), F.col("copies").alias("_copies"))
     found = docs.withColumn("_key", F.xxhash64(text)).join(
         chosen, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash")) & F.col(source).eqNullSafe(F.col("_source")))
-    return found.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    kept = [c for c in docs.columns if c != "copy"]
+    return found.select(*kept, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("copy"))

@@ -156,7 +156,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
             rows = [selected(t.as_py(), slot_b.value).astype(np.int32) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int32()))], names=["label", "slots"])
 
-    table = chosen.mapInArrow(pick, "label int, slots array<int>").toArrow()
+    # at most MAX_ROWS short lists, in an order of their own so that the fit does not depend on how the rows were dealt out
+    table = chosen.mapInArrow(pick, "label int, slots array<int>").orderBy("label", "slots").toArrow()
     lists = table.column("slots").combine_chunks()
     rows = np.split(lists.flatten().to_numpy(), np.asarray(lists.offsets)[1:-1] - lists.offsets[0].as_py()) if table.num_rows else []
     weights, intercept = _fit(rows, table.column("label").to_numpy().astype(float), ratio)
