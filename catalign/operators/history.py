@@ -47,11 +47,9 @@ def created_audit(products: DataFrame, key: str, user: str = "system") -> DataFr
                            F.to_json(F.struct(*products.columns)).alias("after_data"), F.lit(user).alias("user_id"))
 
 
-def confidence_changes(audit: DataFrame, key: str, order: Sequence[str], value: str, ts: str, block_seconds: int = 3600) -> DataFrame:
-    """Change against the key's previous value in time; keys are scanned in time blocks, crowded ones by instant."""
-    instant = clock.micros(F.col(ts))
-    span = block_seconds * 1_000_000
-    out = previous_value(audit, [key], order, value, "_previous", F.floor(instant / span) * span, instant)
+def confidence_changes(audit: DataFrame, key: str, order: Sequence[str], value: str, ts: str, block_seconds: int = 60) -> DataFrame:
+    """Change against the key's previous value in time; keys are scanned in blocks of time."""
+    out = previous_value(audit, [key], order, value, "_previous", F.floor(clock.micros(F.col(ts)) / (block_seconds * 1_000_000)))
     return out.withColumn("confidence_change", F.col(value) - F.col("_previous")).drop("_previous")
 
 

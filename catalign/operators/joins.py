@@ -91,11 +91,14 @@ def inherit_engine(pricing: DataFrame, specs: DataFrame) -> DataFrame:
                          F.col("spec.weight").alias("dry_weight"), notes.alias("highlights")).drop("spec")
 
 
-def option_usage_in_text(options: DataFrame, texts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """How many texts contain each option name; ``_`` and ``%`` in a name are wildcards.
+def option_usage_in_text(options: DataFrame, texts: DataFrame, keys: Sequence[str], as_of: Column, days: int = 30) -> DataFrame:
+    """How many texts of the last ``days`` contain each option name; ``_`` and ``%`` in a name are wildcards.
 
-    ``options(option_id, name)``; texts are scanned against tiles of names, so no pairs are built.
+    ``options(option_id, name, deleted_at, ...)`` keeps its other registry columns; deleted options are left out.
+    ``texts(text, created_at)`` are scanned against tiles of names, so no pairs are built.
     """
+    options = options.filter(F.col("deleted_at").isNull()).drop("deleted_at")
+    texts = texts.filter(F.col("created_at") >= F.date_sub(as_of, days))
     plain = lambda n: ~n["name"].rlike("[_%]") & F.col("text").contains(n["name"])
     wild = lambda n: n["name"].rlike("[_%]") & F.like(F.col("text"), F.concat(F.lit("%"), n["name"], F.lit("%")))
     hits = tiles.all_hits(texts, list(keys), options, ["option_id", "name"], lambda n: plain(n) | wild(n))
@@ -110,8 +113,7 @@ def known_options(entries: DataFrame, registry: DataFrame, keys: Sequence[str])
     ``text``, ``brand`` and ``family``; equal combinations are scanned once.
     """
     asked = entries.select("text", "brand", "family").filter(F.trim("text") != "").distinct()
-    packed, count = tiles.tiled(registry, ["position", "name", "brand", "family"])
-    spread = asked.withColumn("tile", F.explode(F.sequence(F.lit(0), F.lit(count - 1)))).join(packed, "tile", "left")
+    spread, _ = tiles.meet(asked, ["text", "brand", "family"], registry, ["position", "name", "brand", "family"])
     fits = spread.select("text", F.col("brand"), "family", F.filter("names", lambda n: (
         F.coalesce(n["brand"] == F.col("brand"), F.lit(True)) & F.coalesce(n["family"] == F.col("family"), F.lit(True))
         & F.lower("text").contains(F.lower(n["name"])))).alias("hits"))

@@ -42,20 +42,23 @@ def spread_nulls(key: Column, *row: str) -> Column:
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Merge ``new`` into ``old`` by key: new rows win, and later new rows beat earlier ones."""
-    tagged = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
-    return keep_last(tagged, keys, ["_new", *order]).drop("_new")
+    """Merge ``new`` into ``old``, a table with one row per key: new rows win, and later new rows beat earlier ones.
+
+    Old rows are only checked against the new keys; they are neither ranked nor sorted.
+    """
+    return delete_keys(old, new, keys).unionByName(keep_last(new, keys, order))
 
 
 def delete_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.join(keys.select(*on).distinct(), list(on), "left_anti")
 
 
-def dedup_first(df: DataFrame, group: Sequence[str], value: str, position: str, normal: Column) -> DataFrame:
-    """Ordered dedup inside a group: the first spelling of each normal form stays."""
+def dedup_first(df: DataFrame, group: Sequence[str], value: str, position: str, normal: Column, times: str | None = None) -> DataFrame:
+    """Ordered dedup inside a group: the first spelling of each normal form stays; ``times`` names a column for its count."""
+    counts = [F.count("*").alias(times)] if times else []
     return (df.withColumn("_normal", normal)
             .groupBy(*group, "_normal")
-            .agg(F.min_by(value, position).alias(value), F.min(position).alias(position))
+            .agg(F.min_by(value, position).alias(value), F.min(position).alias(position), *counts)
             .drop("_normal"))
 
 

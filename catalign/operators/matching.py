@@ -100,15 +100,15 @@ def match_base_models(entries: DataFrame, base_models: DataFrame, accept: float
             .withColumn("structured", score >= use)
             .withColumn("match_reason", F.when(~known, "No base model candidates extracted from code")
                         .when(~accepted, F.concat(F.lit("Best match confidence "), F.format_string("%.2f", score),
-                                                  F.lit(" below threshold 0.7"))))
+                                                  F.lit(f" below threshold {accept:g}"))))
             .drop("best_id", "best_name", "score"))
 
 
-def with_fallback(matched: DataFrame, suggestions: DataFrame, base_models: DataFrame) -> DataFrame:
+def with_fallback(matched: DataFrame, suggestions: DataFrame, base_models: DataFrame, attach: Sequence[str] = ()) -> DataFrame:
     """Structured match, else a suggestion that the catalog confirms, else a failed row.
 
     ``suggestions(entry_id, suggested_id, suggested_confidence)`` come from outside; only rows
-    without a structured match are looked up.
+    without a structured match are looked up. Columns to ``attach`` come from the model that won.
     """
     open_rows = matched.filter(~F.col("structured")).select("entry_id", "brand", "model_year")
     asked = open_rows.join(suggestions, "entry_id")
@@ -117,10 +117,10 @@ def with_fallback(matched: DataFrame, suggestions: DataFrame, base_models: DataF
         index, (F.upper("a.suggested_id") == F.col("m.key")) & (F.col("a.model_year") == F.col("m.model_year"))
         & F.ilike(F.col("m.brand"), F.concat(F.lit("%"), F.col("a.brand"), F.lit("%"))))
     first = top_per_key(hits.select("a.entry_id", "a.suggested_confidence", "m.base_model_id", "m.model_name",
-                                    "m.brand", "m.position"),
+                                    "m.brand", "m.position", *[f"m.{c}" for c in attach]),
                         ["entry_id"], [F.col("brand"), F.col("model_name"), F.col("position")])
-    first = first.select("entry_id", F.col("base_model_id").alias("verified_id"),
-                         F.col("model_name").alias("verified_name"), "suggested_confidence")
+    first = first.select("entry_id", F.col("base_model_id").alias("verified_id"), F.col("model_name").alias("verified_name"),
+                         "suggested_confidence", *[F.col(c).alias(f"_verified_{c}") for c in attach])
     joined = matched.join(first, "entry_id", "left")
     verified = F.col("verified_id").isNotNull()
     return (joined
@@ -132,21 +132,37 @@ def with_fallback(matched: DataFrame, suggestions: DataFrame, base_models: DataF
                         .otherwise(F.col("verified_name")))
             .withColumn("match_confidence", F.when(F.col("structured"), F.col("match_confidence"))
                         .when(verified, F.col("suggested_confidence")).otherwise(0.0))
-            .drop("verified_id", "verified_name", "suggested_confidence"))
+            .withColumns({c: F.when(F.col("structured"), F.col(c)).otherwise(F.col(f"_verified_{c}")) for c in attach})
+            .drop("verified_id", "verified_name", "suggested_confidence", *[f"_verified_{c}" for c in attach]))
 
 
 def match_by_key(entries: DataFrame, models: DataFrame, confidence: float = 0.98) -> DataFrame:
-    """Exact lookup on ``brand_family_year``; misses go to the semantic tier."""
+    """Exact lookup on ``brand_family_year``, the smallest model id where a key occurs twice; misses go to the semantic tier."""
     keyed = entries.withColumn("lookup_key", text.lookup_key(F.col("brand"), F.col("model_family"), F.col("model_year")))
-    found = models.select("lookup_key", F.col("base_model_id").alias("matched_base_model_id")).dropDuplicates(["lookup_key"])
+    found = models.groupBy("lookup_key").agg(F.min("base_model_id").alias("matched_base_model_id"))
     hit = F.col("matched_base_model_id").isNotNull()
     return (keyed.join(found, "lookup_key", "left")
             .withColumn("processing_method", F.when(hit, "exact_lookup").otherwise("semantic"))
             .withColumn("confidence_score", F.when(hit, F.lit(confidence))))
 
 
-def match_texts(products: DataFrame, catalog: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """Best catalog entry of every product by search-text ratio plus domain boost.
+def _nearest_by(texts: DataFrame, names: DataFrame, similarity: Callable[[Column, Column], Column]) -> DataFrame:
+    """Best name per text under a column similarity; a brand that fits no name is compared with all of them."""
+    brand = F.trim(F.upper(F.coalesce("brand", F.lit(""))))
+
+    def rank(n: Column) -> Column:
+        other = F.upper(F.coalesce(n["name_brand"], F.lit("")))
+        return F.struct((other.contains(brand) | brand.contains(other)).alias("fits"), similarity(F.col("text"), n["name"]).alias("score"),
+                        (-n["position"]).alias("after"))
+
+    found = tiles.best_hit(texts, ["text", "brand"], names, ["position", "name", "name_brand"], rank)
+    score = F.col("hit.score")
+    return found.select("text", "brand", F.when(score > 0, -F.col("hit.after")).alias("position"), F.greatest(score, F.lit(0.0)).alias("score"))
+
+
+def match_texts(products: DataFrame, catalog: DataFrame, threshold: float = 0.7,
+                similarity: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+    """Best catalog entry of every product by search-text ratio plus domain boost, or by ``similarity`` of the two texts.
 
     ``products`` needs ``search_text`` and ``brand``; ``catalog`` needs ``search_text``, ``position``
     and ``brand``. Equal texts are compared once.
@@ -154,7 +170,7 @@ def match_texts(products: DataFrame, catalog: DataFrame, threshold: float = 0.7)
     texts = products.select(F.col("search_text").alias("text"), "brand").distinct()
     names = catalog.select(F.col("search_text").alias("name"), F.col("brand").alias("name_brand"), "position")
     names = names.groupBy("name", "name_brand").agg(F.min("position").alias("position"))
-    best = tiles.nearest_names(texts, names, boost=True, by_brand=True)
+    best = tiles.nearest_names(texts, names, boost=True, by_brand=True) if similarity is None else _nearest_by(texts, names, similarity)
     best = best.select(F.col("text").alias("search_text"), "brand", F.col("position").alias("best_position"), "score")
     joined = (products.withColumn("_brand", F.col("brand"))
               .join(best.withColumnRenamed("brand", "_best_brand"),

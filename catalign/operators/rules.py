@@ -205,7 +205,8 @@ def listing_required(df: DataFrame, fields: Sequence[str], price: str = "price",
 
 
 def _number_field(value: Column, text: str, fix: str | None, low: int, high: int, below: str, above: str) -> Column:
-    number = value.try_cast("long")
+    # digits that no long can hold are above every limit
+    number = F.coalesce(F.ltrim(value, F.lit("0")).try_cast("long"), F.when(F.ltrim(value, F.lit("0")) == "", F.lit(0)), F.lit(2**63 - 1))
     return (F.when(~value.rlike(r"^\d+$"), _fail(text, fix)).when(number < low, _fail(below))
             .when(number > high, _fail(above)).otherwise(_pass()))
 
@@ -331,13 +332,13 @@ def _check_year(this_year: int):
     return check
 
 
-def check_listings(listings: DataFrame, fields: Sequence[str], this_year: int) -> DataFrame:
+def check_listings(listings: DataFrame, fields: Sequence[str], this_year: int, begin: str = "DateBegin", end: str = "DateEnd") -> DataFrame:
     """Add ``checks``: one outcome struct per listing field, read straight from the field's column.
 
     ``listings`` is wide and carries ``listed`` and ``similar`` of its model; fields without a rule
-    pass through unjudged. Nothing is shuffled.
+    pass through unjudged. ``begin`` and ``end`` name the date fields as the feed spells them. Nothing is shuffled.
     """
-    known = {**LISTING_CHECKS, "Model": _check_model(F.coalesce("listed", F.lit(False)), F.col("similar")),
+    known = {**LISTING_CHECKS, begin: LISTING_CHECKS["DateBegin"], end: LISTING_CHECKS["DateEnd"], "Model": _check_model(F.coalesce("listed", F.lit(False)), F.col("similar")),
              "Year": _check_year(this_year)}
 
     def outcome(name: str) -> Column:

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from catalign.session import shared_dir
+
 FAN = 65536
 
 
@@ -70,8 +72,24 @@ def exclusive_sum(df: DataFrame, part: Sequence[str], order: Sequence[str], valu
 
 def ordinal(df: DataFrame, order: Sequence[str], out: str, part: Sequence[str] = (), fan: int = FAN,
             depth: int = 1) -> DataFrame:
-    """Zero-based row number over integer columns that together are unique."""
-    return exclusive_sum(df, part, order, F.lit(1), out, fan, depth)
+    """Zero-based row number over integer columns that together are unique.
+
+    Without a key the rows are sorted by range once and written to the shared folder with their place in
+    their partition; row numbers are that place plus the rows of the partitions before, one number each.
+    """
+    if part:
+        return exclusive_sum(df, part, order, F.lit(1), out, fan, depth)
+    spark = df.sparkSession
+    path = shared_dir(spark, "ordinal")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
+    placed = spark.read.parquet(path).withColumn("_part", F.shiftrightunsigned("_id", 33))
+    counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    # one row per partition of the sort
+    offsets = counts.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.join(F.broadcast(offsets), "_part").withColumn(out, F.col("_before") + place).select(*df.columns, out)
 
 
 def batches(df: DataFrame, order: Sequence[str], size: int, out: str = "batch_no") -> DataFrame:
@@ -80,18 +98,13 @@ def batches(df: DataFrame, order: Sequence[str], size: int, out: str = "batch_no
 
 
 def previous_value(df: DataFrame, part: Sequence[str], order: Sequence[str], value: str, out: str,
-                   coarse: Column, fine: Column | None = None, hot_rows: int = 100_000) -> DataFrame:
-    """``lag(value)`` of a key, with the key cut into blocks.
+                   block: Column) -> DataFrame:
+    """``lag(value)`` of a key, with every key cut into the same blocks.
 
-    ``coarse`` and ``fine`` are integers on one scale that never fall along ``order`` (the start of an hour
-    and the instant, say). Blocks of a key with more than ``hot_rows`` rows are cut again by ``fine``.
+    ``block`` is an integer that never falls along ``order``, fine enough for a block of one key to fit a task
+    (the minute of a time, say).
     """
-    placed = df.withColumn("_block", coarse)
-    if fine is not None:
-        hot = (placed.groupBy(*part, "_block").agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
-               .withColumn("_hot", F.lit(True)).drop("_n"))
-        placed = placed.join(hot, [*part, "_block"], "left").withColumn(
-            "_block", F.when(F.col("_hot"), fine).otherwise(F.col("_block"))).drop("_hot")
+    placed = df.withColumn("_block", block)
     marker = F.struct(*order)
     lasts = placed.groupBy(*part, "_block").agg(F.max_by(F.struct(F.col(value).alias("v")), marker).alias("_last"))
     lasts = exclusive_scan(lasts, part, "_block", "_last", "_carried", "last").drop("_last")

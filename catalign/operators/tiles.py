@@ -22,13 +22,15 @@ from catalign.functions import fixed
 TILE_ROWS = 2000
 BROADCAST_CHARS = 4_000_000
 MIN_CHUNKS = 32
+CHUNK_ROWS = 2000
 
 
-def tiled(names: DataFrame, fields: Sequence[str], tile_rows: int = TILE_ROWS) -> tuple[DataFrame, int]:
-    """Rows of ``names`` as arrays of structs, one array per tile, each sorted by its first field.
+def meet(texts: DataFrame, keys: Sequence[str], names: DataFrame, fields: Sequence[str],
+         tile_rows: int = TILE_ROWS) -> tuple[DataFrame, int]:
+    """Texts joined to ``names`` as arrays of structs, one row per text and tile, each array sorted by its first field.
 
     Rows and characters are counted first: they set the number of tiles, and only a list that is
-    measured to be small is broadcast; a longer one joins on the tile number.
+    measured to be small is broadcast; a longer one joins on tile and chunk, so no key carries all texts.
     """
     chars = F.sum(sum((F.coalesce(F.length(F.col(f).cast("string")), F.lit(0)) for f in fields), F.lit(16)))
     rows, size = names.agg(F.count("*"), F.coalesce(chars, F.lit(0))).first()
@@ -36,7 +38,13 @@ def tiled(names: DataFrame, fields: Sequence[str], tile_rows: int = TILE_ROWS) -
     tile = F.pmod(F.xxhash64(*fields), F.lit(count)).cast("int")
     packed = (names.select(tile.alias("tile"), F.struct(*fields).alias("s"))
               .groupBy("tile").agg(F.array_sort(F.collect_list("s")).alias("names")))
-    return (F.broadcast(packed) if size <= BROADCAST_CHARS else packed), count
+    spread = texts.withColumn("tile", F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
+    if size <= BROADCAST_CHARS:
+        return spread.join(F.broadcast(packed), "tile", "left"), count
+    chunks = _chunks(texts)
+    dealt = spread.withColumn("chunk", F.pmod(F.xxhash64(*keys), F.lit(chunks)).cast("int"))
+    packed = packed.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    return dealt.join(packed, ["tile", "chunk"], "left").drop("chunk"), count
 
 
 def first_hit(texts: DataFrame, keys: Sequence[str], names: DataFrame, fields: Sequence[str],
@@ -45,26 +53,31 @@ def first_hit(texts: DataFrame, keys: Sequence[str], names: DataFrame, fields: S
 
     ``texts`` is unique on ``keys``; ``test`` gets the text row's columns and a name struct.
     """
-    packed, count = tiled(names, fields, tile_rows)
-    spread = texts.withColumn("tile", F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
-    hits = spread.join(packed, "tile", "left").select(
-        *keys, F.get(F.filter("names", test), F.lit(0)).alias(out))
+    met, count = meet(texts, keys, names, fields, tile_rows)
+    hits = met.select(*keys, F.get(F.filter("names", test), F.lit(0)).alias(out))
     return hits if count == 1 else hits.groupBy(*keys).agg(F.min(out).alias(out))
 
 
+def best_hit(texts: DataFrame, keys: Sequence[str], names: DataFrame, fields: Sequence[str],
+             rank, out: str = "hit", tile_rows: int = TILE_ROWS) -> DataFrame:
+    """The largest ``rank(row, name)`` struct of every text over all names."""
+    met, count = meet(texts, keys, names, fields, tile_rows)
+    hits = met.select(*keys, F.array_max(F.transform("names", rank)).alias(out))
+    return hits if count == 1 else hits.groupBy(*keys).agg(F.max(out).alias(out))
+
+
 def all_hits(texts: DataFrame, keys: Sequence[str], names: DataFrame, fields: Sequence[str],
              test, tile_rows: int = TILE_ROWS) -> DataFrame:
     """One row per text and name that passes ``test``."""
-    packed, count = tiled(names, fields, tile_rows)
-    spread = texts.withColumn("tile", F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
-    return (spread.join(packed, "tile", "left")
+    met, _ = meet(texts, keys, names, fields, tile_rows)
+    return (met
             .select(*keys, F.explode(F.filter("names", test)).alias("hit"))
             .select(*keys, "hit.*"))
 
 
 def _chunks(df: DataFrame) -> int:
-    """One chunk per shuffle partition: a share of the distinct texts no larger than any other shuffle's."""
-    return max(MIN_CHUNKS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """Chunks of at most about CHUNK_ROWS counted texts, so what a task holds does not grow with the data."""
+    return max(MIN_CHUNKS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(df.count() / CHUNK_ROWS))
 
 
 def _cogrouped(left: DataFrame, right: DataFrame, parts: int, run, schema: str) -> DataFrame:
@@ -235,7 +248,7 @@ def nearest_names(texts: DataFrame, names: DataFrame, *, fold: str = "lower", bo
 
     schema = ("text string, " + ("brand string, " if by_brand else "")
               + "fits boolean, score double, name string, position long")
-    scored = _cogrouped(left, right, chunks * min(tiles, 8), search, schema)
+    scored = _cogrouped(left, right, chunks * tiles, search, schema)
     scored = scored.filter(F.col("text").isNotNull())
     order = F.struct((~F.col("fits")).alias("a"), (-F.col("score")).alias("b"), F.col("position").alias("c"))
     best = scored.groupBy(*keys).agg(F.min_by(F.struct("name", "position", "score"), order).alias("m"))
@@ -277,7 +290,7 @@ def nearest_vectors(items: DataFrame, names: DataFrame, *, blocked: bool = False
                             "similarity": found})
         return out[out["similarity"] > 0]
 
-    scored = _cogrouped(left, right, chunks * min(tiles, 8), search, "id long, position long, similarity double")
+    scored = _cogrouped(left, right, chunks * tiles, search, "id long, position long, similarity double")
     order = F.struct((-F.col("similarity")).alias("s"), F.col("position").alias("p"))
     return (scored.groupBy("id").agg(F.min_by(F.struct("position", "similarity"), order).alias("m"))
             .select("id", "m.*"))

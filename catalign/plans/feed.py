@@ -48,10 +48,14 @@ def listings(products: DataFrame) -> DataFrame:
     return shaped.withColumn("xml", xml)
 
 
-def feed(cells: DataFrame, catalog: DataFrame, brand: Column, year: Column) -> DataFrame:
-    """Cells through assembly, text match, validation (roubles) and listing; invalid rows are left out."""
-    products = with_search_text(products_from_cells(cells, brand, year))
-    return listings(validate_products(matching.match_texts(products, catalog), "rub"))
+def matched_listings(products: DataFrame, catalog: DataFrame, matcher: matching.Matcher = matching.match_texts) -> DataFrame:
+    """Products through a matcher, validation (roubles) and listing; invalid rows are left out."""
+    return listings(validate_products(matcher(with_search_text(products), catalog), "rub"))
+
+
+def feed(cells: DataFrame, catalog: DataFrame, brand: Column, year: Column, matcher: matching.Matcher = matching.match_texts) -> DataFrame:
+    """Cells through assembly, match, validation and listing."""
+    return matched_listings(products_from_cells(cells, brand, year), catalog, matcher)
 
 
 def extraction_run(files: DataFrame, log: DataFrame, methods: Sequence[tuple[str, DataFrame]]) -> tuple[DataFrame, DataFrame]:

@@ -7,6 +7,7 @@ match shuffles, everything after it is a projection.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,13 +20,38 @@ Stage = Callable[[DataFrame], DataFrame]
 OPTION = "array<struct<type:string,description:string,confidence:double,method:string>>"
 
 
-def run_stages(df: DataFrame, stages: Sequence[tuple[str, Stage, Sequence[str]]]) -> DataFrame:
-    """Apply named stages in order; each must leave its required columns behind."""
-    for name, stage, required in stages:
+def stage_success(required: Sequence[str]) -> Column:
+    """Default success of a stage: all its required columns have a value."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required], F.lit(True))
+
+
+def stage_confidence(success: Column, required: Sequence[str]) -> Column:
+    """Default confidence of a stage: 0 without success, else the share of required columns with a value, 0.8 if there are none."""
+    if not required:
+        return F.when(success, 0.8).otherwise(0.0)
+    share = reduce(lambda a, b: a + b, [F.col(c).isNotNull().cast("double") for c in required]) / len(required)
+    return F.when(success, share).otherwise(0.0)
+
+
+def run_stages(df: DataFrame, stages: Sequence[tuple]) -> DataFrame:
+    """Apply named stages ``(name, stage, required[, hooks])`` in order; each must leave its required columns behind.
+
+    ``hooks`` may hold ``success`` and ``confidence``, each a Column or True for the default; they add ``<name>_success`` and
+    ``<name>_confidence`` (clamped to 0..1).
+    """
+    for name, stage, required, *rest in stages:
         df = df.transform(stage)
         missing = [c for c in required if c not in df.columns]
         if missing:
             raise ValueError(f"stage {name} left out {missing}")
+        hooks = rest[0] if rest else {}
+        if "success" in hooks or "confidence" in hooks:
+            success = hooks.get("success", True)
+            df = df.withColumn(f"{name}_success", stage_success(required) if success is True else success)
+        if "confidence" in hooks:
+            value = hooks["confidence"]
+            value = stage_confidence(F.col(f"{name}_success"), required) if value is True else value
+            df = df.withColumn(f"{name}_confidence", F.greatest(F.lit(0.0), F.least(F.lit(1.0), value)))
     return df
 
 
@@ -221,10 +247,21 @@ def validate(df: DataFrame) -> DataFrame:
 
 
 # --- whole batch -----------------------------------------------------------------------------------
-def match_stage(base_models: DataFrame) -> Stage:
-    """Match entries and take the specification groups of the matched model along in the same join."""
+def match_stage(base_models: DataFrame, suggestions: DataFrame | None = None, use: float = 0.8) -> Stage:
+    """The matching cascade: a structured match of ``use`` or more, else a suggestion that the catalog confirms, else failed.
+
+    The specification groups of the model that won come along; ``matching_method`` tells how it was found.
+    """
+    groups = ["base_specs", "inheritance_base"]
+
     def stage(entries: DataFrame) -> DataFrame:
-        matched = matching.match_base_models(entries, base_models, attach=["base_specs", "inheritance_base"])
+        matched = matching.match_base_models(entries, base_models, accept=use, use=use, attach=groups)
+        if suggestions is None:
+            matched = matched.withColumns({
+                "matching_method": F.when(F.col("structured"), "structured").otherwise("failed"),
+                "match_confidence": F.when(F.col("structured"), F.col("match_confidence")).otherwise(0.0)})
+        else:
+            matched = matching.with_fallback(matched, suggestions, base_models, groups)
         return matched.withColumns({
             "base_specs": F.coalesce("base_specs", maps.literal_map({})),
             "inheritance_base": F.coalesce("inheritance_base", F.lit(0.0))}).drop("candidate")
@@ -232,13 +269,14 @@ def match_stage(base_models: DataFrame) -> Stage:
     return stage
 
 
-def reconcile(entries: DataFrame, base_models: DataFrame, high: float = 0.9, medium: float = 0.7) -> DataFrame:
+def reconcile(entries: DataFrame, base_models: DataFrame, high: float = 0.9, medium: float = 0.7,
+              suggestions: DataFrame | None = None) -> DataFrame:
     """Entries through all five stages, with stage results, weighted confidence, level and error rows.
 
     An entry without a base model fails at the first stage and carries its error; nothing is dropped.
     """
     done = run_stages(entries, [
-        ("base_model_matching", match_stage(base_models), ["matched_base_model_id", "match_confidence", "base_specs"]),
+        ("base_model_matching", match_stage(base_models, suggestions), ["matched_base_model_id", "match_confidence", "base_specs"]),
         ("specification_inheritance", inherit, ["inherited_specs", "inheritance_confidence"]),
         ("customization_processing", customize, ["customizations", "customization_confidence"]),
         ("spring_options_enhancement", enhance_options, ["spring_options", "options_confidence"]),

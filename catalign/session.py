@@ -28,8 +28,10 @@ def build_session(app: str = "catalign", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under ``spark.checkpoint.dir``; a local one only where that is unset (tests)."""
+    """A fresh folder under ``spark.checkpoint.dir``; where that is unset, a temporary one for a local master and an error elsewhere."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="spark-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

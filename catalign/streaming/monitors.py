@@ -49,6 +49,15 @@ def ingested(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return keep.keep_last(spark.read.parquet(path), keys, ["batch_id"]).drop("batch_id")
 
 
+def compact(spark: SparkSession, path: str, target: str, keys: list[str]) -> None:
+    """Write the current rows of an ingested table to ``target``, under its last batch number, so reads stay short.
+
+    The old folder stays as it is; ingest goes on in ``target`` with the same checkpoint once readers have moved.
+    """
+    last = spark.read.parquet(path).agg(F.max("batch_id")).first()[0]
+    ingested(spark, path, keys).write.mode("errorifexists").parquet(f"{target}/batch_id={last}")
+
+
 def audit_batches(stream: DataFrame, path: str, checkpoint: str, shape: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
     """Audit rows of every micro-batch, one folder per batch."""
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -72,9 +72,9 @@ def _(t):
 
 
 @query("p05_mutual_containment", """
-SELECT p_partkey, contains(upper(substr(p_name, 1, 5)), upper(p_type)) OR contains(upper(p_type), upper(substr(p_name, 1, 5))) AS same FROM part""")
+SELECT p_partkey, contains(upper(p_name), upper(p_type)) OR contains(upper(p_type), upper(p_name)) AS same FROM part WHERE p_name <> ''""")
 def _(t):
-    return t.part.select("p_partkey", mutual_containment(F.substring("p_name", 1, 5), F.col("p_type")).alias("same"))
+    return t.part.filter("p_name <> ''").select("p_partkey", mutual_containment(F.col("p_name"), F.col("p_type")).alias("same"))
 
 
 @query("p06_review_queue", f"SELECT run_id FROM ({R}) r WHERE event_type = 'error' ORDER BY ts DESC, run_id DESC LIMIT 100 OFFSET 20")
@@ -157,13 +157,12 @@ def _(t):
     lines = t.documents.select("doc_id", "source", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     placed = lines.withColumn("position", F.struct("doc_id", "pos"))
     normal = F.trim(F.regexp_replace(F.lower("line"), r"\s+", " "))
-    firsts = placed.withColumn("_n", normal).groupBy("source", "_n").agg(F.min_by("line", "position").alias("line"), F.count("*").alias("times"))
-    return firsts.select("source", "line", "times")
+    return keep.dedup_first(placed, ["source"], "line", "position", normal, times="times").select("source", "line", "times")
 
 
 @query("u04_set_overlap", """
 SELECT doc_id, CAST(len(list_intersect(a, b)) AS INT) AS shared, CAST(len(list_distinct(list_concat(a, b))) AS INT) AS joint FROM (
- SELECT doc_id, list_distinct(string_split(substr(lower(text), 1, 1000000), ' ')) AS a, list_distinct(string_split(lower(source || ' the and le la der'), ' ')) AS b FROM documents) x""")
+ SELECT doc_id, list_distinct(string_split(lower(text), ' ')) AS a, list_distinct(string_split(lower(source || ' the and le la der'), ' ')) AS b FROM documents) x""")
 def _(t):
     a = F.array_distinct(F.split(F.lower("text"), " "))
     b = F.array_distinct(F.split(F.lower(F.concat("source", F.lit(" the and le la der"))), " "))
@@ -268,11 +267,15 @@ def _(t):
 
 
 @query("j16_option_usage_in_text", """
-SELECT o.option_id, o.name, count(d.doc_id) AS recent_usage_count FROM (SELECT item_id AS option_id, regexp_extract(text, '[A-Za-z]+') AS name FROM benchmark) o
-LEFT JOIN documents d ON d.text LIKE '%' || o.name || '%' GROUP BY 1, 2""")
-def _(t):
-    options = t.benchmark.select(F.col("item_id").alias("option_id"), F.regexp_extract("text", "[A-Za-z]+", 0).alias("name"))
-    return joins.option_usage_in_text(options, t.documents.select("doc_id", "text"), ["doc_id"])
+SELECT o.option_id, o.name, o.option_type, count(d.doc_id) AS recent_usage_count
+FROM (SELECT item_id AS option_id, text AS name, CASE WHEN length(text) > 250 THEN 'long' ELSE 'short' END AS option_type FROM benchmark WHERE text NOT LIKE 'The %') o
+LEFT JOIN documents d ON d.text LIKE '%' || o.name || '%' AND DATE '2025-01-01' + CAST(d.n_chars % 90 AS INT) >= DATE '2025-03-01' - 30 GROUP BY 1, 2, 3""")
+def _(t):
+    options = t.benchmark.select(
+        F.col("item_id").alias("option_id"), F.col("text").alias("name"), F.when(F.length("text") > 250, "long").otherwise("short").alias("option_type"),
+        F.when(F.col("text").startswith("The "), F.lit("2025-02-01").cast("date")).alias("deleted_at"))
+    texts = t.documents.select("doc_id", "text", F.date_add(F.lit("2025-01-01").cast("date"), (F.col("n_chars") % 90).cast("int")).alias("created_at"))
+    return joins.option_usage_in_text(options, texts, ["doc_id"], F.lit("2025-03-01").cast("date"))
 
 
 REGISTRY = [(1, "Standard", None, None), (2, "Expert Package", "SKI-DOO", None), (3, "Competition", None, "Ranger"), (4, "with WIS", "LYNX", None), (5, "X", "BRP", "Summit X")]

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalign.functions import bands, fixed, similarity, text
 from catalign.operators import keep, matching, tiles
+from catalign.plans import feed
 from catalign.tables import Tables
 from catalign.workloads import query
 from catalign.workloads.standins import BASE_MODELS, CATALOG, ENTRIES, PRODUCTS, plain, quote
@@ -85,20 +86,18 @@ def _(t):
 
 _w1 = "list_distinct(list_filter(regexp_split_to_array(lower(trim(d.text)), '\\s+'), lambda x: x <> ''))"
 _w2 = "list_distinct(list_filter(regexp_split_to_array(lower(trim(b.text)), '\\s+'), lambda x: x <> ''))"
+WORD_OVERLAP = f"""CASE WHEN coalesce(d.text, '') = '' OR coalesce(b.text, '') = '' THEN 0.0 WHEN lower(trim(d.text)) = lower(trim(b.text)) THEN 1.0
+ WHEN len({_w1}) = 0 OR len({_w2}) = 0 THEN 0.0 ELSE CAST(len(list_intersect({_w1}, {_w2})) AS DOUBLE) / len(list_distinct(list_concat({_w1}, {_w2}))) END"""
 
 
 @query("f04_word_similarity", f"""
-SELECT doc_id, item_id, round(CASE WHEN lower(trim(d.text)) = lower(trim(b.text)) THEN 1.0 ELSE
- CAST(len(list_intersect({_w1}, {_w2})) AS DOUBLE) / len(list_distinct(list_concat({_w1}, {_w2}))) END, 6) AS similarity
-FROM documents d JOIN benchmark b
- ON regexp_extract(lower(d.text), '^[^ ]+') = regexp_extract(lower(b.text), '^[^ ]+')""")
+SELECT d.conv_id, d.turn, round({WORD_OVERLAP}, 6) AS similarity
+FROM conversations d JOIN conversations b ON b.conv_id = d.conv_id AND b.turn = d.turn + 1""")
 def _(t):
-    head = r"^[^ ]+"
-    docs = t.documents.select("doc_id", "text", F.regexp_extract(F.lower("text"), head, 0).alias("head"))
-    items = t.benchmark.select("item_id", F.col("text").alias("other"),
-                               F.regexp_extract(F.lower("text"), head, 0).alias("head"))
-    return docs.join(items, "head").select(
-        "doc_id", "item_id", F.round(similarity.word_similarity(F.col("text"), F.col("other")), 6).alias("similarity"))
+    """Every turn against the turn that answers it."""
+    answers = t.conversations.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("other"))
+    return t.conversations.join(answers, ["conv_id", "turn"]).select(
+        "conv_id", "turn", F.round(similarity.word_similarity(F.col("text"), F.col("other")), 6).alias("similarity"))
 
 
 @query("f05_block_ratio")
@@ -164,26 +163,29 @@ def _(t):
             .agg(F.count("*").alias("entries"), F.countDistinct("model_code").alias("codes")))
 
 
-SUGGESTED = f"""
-SELECT entry_id, brand, model_year, upper(substr(model_code, 1, 4)) AS sid, 0.75 AS conf FROM ({E}) e"""
+# the catalog row that confirms the suggestion of an entry
+VERIFIED = f"""
+SELECT entry_id, base_model_id, position FROM (
+ SELECT m.entry_id, b.base_model_id, b.position, row_number() OVER (PARTITION BY m.entry_id ORDER BY b.brand, b.model_name, b.position) AS rn
+ FROM ({MATCHED}) m JOIN ({B}) b ON upper(b.base_model_id) = CASE WHEN m.entry_id % 2 = 0 THEN 'RENEGADE_X' ELSE 'SUMMIT' END
+  AND b.model_year = m.model_year AND b.brand ILIKE '%' || m.brand || '%'
+ WHERE m.score < 0.8) WHERE rn = 1"""
+
+
+def suggestions(t: Tables):
+    return entries(t).select(
+        "entry_id", F.when(F.col("entry_id") % 2 == 0, "renegade_x").otherwise("summit").alias("suggested_id"),
+        F.lit(0.75).alias("suggested_confidence"))
 
 
 @query("j06_fallback_cascade", f"""
-WITH m AS ({MATCHED}), v AS (
- SELECT entry_id, base_model_id FROM (
-  SELECT m.entry_id, b.base_model_id, row_number() OVER (PARTITION BY m.entry_id ORDER BY b.brand, b.model_name, b.position) AS rn
-  FROM m JOIN ({B}) b ON upper(b.base_model_id) = CASE WHEN m.entry_id % 2 = 0 THEN 'RENEGADE_X' ELSE 'SUMMIT' END
-   AND b.model_year = m.model_year AND b.brand ILIKE '%' || m.brand || '%'
-  WHERE m.score < 0.8) WHERE rn = 1)
+WITH m AS ({MATCHED}), v AS ({VERIFIED})
 SELECT m.entry_id, CASE WHEN m.score >= 0.8 THEN 'structured' WHEN v.base_model_id IS NOT NULL THEN 'semantic' ELSE 'failed' END AS method,
  CASE WHEN m.score >= 0.8 THEN m.best_id ELSE v.base_model_id END AS base_model_id,
  round(CASE WHEN m.score >= 0.8 THEN m.score WHEN v.base_model_id IS NOT NULL THEN 0.75 ELSE 0.0 END, 6) AS confidence
 FROM m LEFT JOIN v ON v.entry_id = m.entry_id""")
 def _(t):
-    suggested = entries(t).select(
-        "entry_id", F.when(F.col("entry_id") % 2 == 0, "renegade_x").otherwise("summit").alias("suggested_id"),
-        F.lit(0.75).alias("suggested_confidence"))
-    done = matching.with_fallback(matched_entries(t), suggested, base_models(t))
+    done = matching.with_fallback(matched_entries(t), suggestions(t), base_models(t))
     return done.select("entry_id", F.col("matching_method").alias("method"),
                        F.col("matched_base_model_id").alias("base_model_id"),
                        F.round("match_confidence", 6).alias("confidence"))
@@ -329,11 +331,25 @@ def _(t):
 
 
 @query("x02_matcher_plugin", f"""
-SELECT product_id, min(c.position) AS catalog_position FROM ({P}) p LEFT JOIN ({C}) c ON c.engine = p.moottori GROUP BY 1""")
+SELECT product_id, brand || '_' || model_code || '_' || model_year AS listing_id, f.catalog_position FROM ({P}) p
+LEFT JOIN (SELECT engine, min(position) AS catalog_position FROM ({C}) c GROUP BY 1) f ON f.engine = p.moottori
+WHERE regexp_matches(model_code, '^[A-Z]{{4}}$') AND brand IN ('BRP', 'LYNX', 'SKI-DOO') AND model_year BETWEEN 2015 AND 2030
+ AND (price IS NULL OR (currency IN ('EUR', 'RUB') AND price <= 10000000 AND price > 0 AND CASE WHEN currency = 'EUR' THEN price * 100 ELSE price END BETWEEN 100000 AND 10000000))""")
 def _(t):
     def by_engine(products, catalog):
         firsts = catalog.groupBy(F.col("engine").alias("moottori")).agg(F.min("position").alias("catalog_position"))
         return products.join(firsts, "moottori", "left")
 
-    matcher: matching.Matcher = by_engine
-    return matcher(t.select(PRODUCTS), t.select(CATALOG)).select("product_id", "catalog_position")
+    made = feed.matched_listings(t.select(PRODUCTS), t.select(CATALOG), by_engine)
+    return made.select("product_id", "listing_id", "catalog_position")
+
+
+@query("x01_similarity_argument", f"""
+SELECT conv_id, turn, score >= 0.1 AS matched, CASE WHEN score >= 0.1 THEN item_id END AS catalog_position, round(score, 6) AS score FROM (
+ SELECT d.conv_id, d.turn, b.item_id, {WORD_OVERLAP} AS score,
+  row_number() OVER (PARTITION BY d.conv_id, d.turn ORDER BY {WORD_OVERLAP} DESC, b.item_id) AS rn FROM conversations d CROSS JOIN benchmark b) s WHERE rn = 1""")
+def _(t):
+    asked = t.conversations.select("conv_id", "turn", F.col("text").alias("search_text"), F.lit("").alias("brand"))
+    known = t.benchmark.select(F.col("text").alias("search_text"), F.lit("").alias("brand"), F.col("item_id").alias("position"))
+    found = matching.match_texts(asked, known, 0.1, similarity.word_similarity)
+    return found.select("conv_id", "turn", "matched", "catalog_position", F.round("score", 6).alias("score"))

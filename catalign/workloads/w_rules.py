@@ -180,7 +180,7 @@ def checked_listings(t: Tables):
 
 def _outcome_sql() -> str:
     v, s = "trim(coalesce(value, ''))", "length(trim(coalesce(value, '')))"
-    n = f"TRY_CAST({v} AS BIGINT)"
+    n = f"TRY_CAST({v} AS HUGEINT)"
 
     def arms(pairs):
         return "CASE " + " ".join(f"WHEN {c} THEN {m}" for c, m in pairs) + " END"
@@ -188,7 +188,7 @@ def _outcome_sql() -> str:
     def num(bad, low, high, below, above, blank=None):
         first = [(f"{v} = ''", blank or "NULL")]
         return first + [(f"NOT regexp_matches({v}, '^[0-9]+$')", quote("E:" + bad)), (f"{n} < {low}", quote("E:" + below)),
-                        (f"{n} > {high}", quote("E:" + above))]
+                        (f"coalesce({n}, 1e30) > {high}", quote("E:" + above))]
 
     per = {
         "Id": [(f"{v} = ''", "'E:Id is required and cannot be empty'"), (f"{s} < 3", "'E:Id must be at least 3 characters long'"),
@@ -244,7 +244,23 @@ def _(t):
     return rules.check_rows(checked_listings(t)).select("listing_id", "field", "valid", "error", "warning")
 
 
-@query("v07_listing_suggested_fix")
+_models = f"(SELECT model_family AS name, min(position) AS position FROM ({C}) c GROUP BY 1)"
+
+
+@query("v07_listing_suggested_fix", f"""
+WITH o AS (SELECT *, trim(coalesce(value, '')) AS clean FROM ({LISTING_OUTCOME}) x),
+ s AS (SELECT clean, min_by(name, position) AS near FROM (SELECT DISTINCT clean FROM o WHERE field = 'Model' AND clean <> '') k
+  JOIN {_models} m ON contains(lower(k.clean), lower(m.name)) OR contains(lower(m.name), lower(k.clean)) GROUP BY 1),
+ f AS (SELECT field, CASE
+   WHEN field = 'Id' AND starts_with(note, 'E:Id should only') THEN 'Use format like: ARTICLE-CODE-123 or MODEL_YEAR_2025'
+   WHEN field = 'Price' AND starts_with(note, 'E:Price must contain') THEN 'Use format: 2500000 (not 2,500,000 руб)'
+   WHEN field = 'Power' AND starts_with(note, 'E:Power must be') THEN 'Use format: 165 (not 165 hp)'
+   WHEN field = 'EngineCapacity' AND starts_with(note, 'E:Engine capacity must be') THEN 'Use format: 849 (not 849cc)'
+   WHEN field = 'Year' AND starts_with(note, 'E:Year must be a 4-digit') THEN 'Use format: 2025'
+   WHEN field = 'DateBegin' AND starts_with(note, 'E:') THEN 'Use format: 2025-01-01' WHEN field = 'DateEnd' AND starts_with(note, 'E:') THEN 'Use format: 2025-12-31'
+   WHEN field = 'Model' AND contains(note, 'not found') THEN coalesce('Did you mean: ' || near || '?', 'Check official BRP model list for exact spelling') END AS fix
+  FROM o LEFT JOIN s ON s.clean = o.clean AND o.field = 'Model')
+SELECT field, fix, count(*) AS listings FROM f WHERE fix IS NOT NULL GROUP BY 1, 2""")
 def _(t):
     return (rules.check_rows(checked_listings(t)).filter(F.col("fix").isNotNull())
             .groupBy("field", "fix").agg(F.count("*").alias("listings")))

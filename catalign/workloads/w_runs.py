@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalign.functions import clock, registered, similarity, text
+from catalign.functions import clock, registered, text
 from catalign.operators import history, keep, scans
 from catalign.plans import enrichment, feed, training
 from catalign.session import shared_dir
@@ -100,7 +100,7 @@ def _(t):
     rows = t.events.select("user_id", "event_id", "event_type")
     new = F.col("event_type") == "purchase"
     path = shared_dir(t.spark, "upsert")
-    sinks.append_rows(rows.filter(~new), path)
+    sinks.append_rows(keep.keep_last(rows.filter(~new), ["user_id"], ["event_id"]), path)
     sinks.upsert_table(rows.filter(new), path, path + "-next", ["user_id"], ["event_id"])
     return t.spark.read.parquet(path + "-next")
 
@@ -246,7 +246,7 @@ def _(t):
 _reg = " UNION ALL ".join(f"SELECT {i} AS position, '{n}' AS name, {'NULL' if b is None else repr(b)} AS b, {'NULL' if f is None else repr(f)} AS f" for i, n, b, f in REGISTRY)
 _steps = f"""
 WITH e AS (SELECT product_id, brand, malli AS family, moottori AS engine, coalesce(paketti, '') AS options, brand || '_' || replace(malli, ' ', '_') || '_' || model_year AS k FROM ({P}) p WHERE malli IS NOT NULL),
- m AS (SELECT k, min(product_id) AS base_id FROM e GROUP BY 1 HAVING min(product_id) < 60),
+ m AS (SELECT k, min(product_id) AS base_id FROM e WHERE trim(options) = '' GROUP BY 1),
  o AS (SELECT DISTINCT options, brand, family FROM e WHERE trim(options) <> ''),
  h AS (SELECT o.*, list(r.name ORDER BY position) FILTER (r.name IS NOT NULL) AS names FROM o LEFT JOIN ({_reg}) r ON (r.b IS NULL OR r.b = o.brand) AND (r.f IS NULL OR r.f = o.family) AND contains(lower(o.options), lower(r.name)) GROUP BY ALL),
  r AS (SELECT options, brand, family, trim(regexp_replace(list_reduce(list_concat([lower(options)], coalesce(names, [])), lambda a, n: replace(a, lower(n), '')), '[\\s,;]+', ' ', 'g')) AS rest FROM h),
@@ -261,8 +261,8 @@ def _(t):
     rows = t.select(PRODUCTS).filter(F.col("malli").isNotNull()).select(
         F.col("product_id").alias("entry_id"), "brand", F.col("malli").alias("model_family"), "model_year", F.col("moottori").alias("engine"),
         F.coalesce("paketti", F.lit("")).alias("options_text"))
-    models = rows.groupBy(text.lookup_key(F.col("brand"), F.col("model_family"), F.col("model_year")).alias("lookup_key")).agg(
-        F.min("entry_id").alias("base_model_id")).filter(F.col("base_model_id") < 60)
+    models = rows.filter(F.trim("options_text") == "").groupBy(text.lookup_key(F.col("brand"), F.col("model_family"), F.col("model_year")).alias("lookup_key")).agg(
+        F.min("entry_id").alias("base_model_id"))
     engines = models.select("base_model_id", F.lit("900 ACE").alias("engine"), F.lit(899).alias("displacement"))
     registry = t.spark.createDataFrame(REGISTRY, "position long, name string, brand string, family string")
     done = feed.documented_steps(rows, models, engines, registry)
@@ -424,14 +424,6 @@ def _(t):
 
 
 # --- extension points ----------------------------------------------------------------------------------
-@query("x01_similarity_argument", """
-SELECT p_partkey, CASE WHEN p_type = 'SMALL' THEN 1.0 ELSE 0.0 END::DOUBLE AS score FROM part""")
-def _(t):
-    def scored(df, left, right, measure):
-        return df.withColumn("score", measure(left, right))
-    return scored(t.part, F.col("p_type"), F.lit("small"), similarity.word_similarity).select("p_partkey", "score")
-
-
 @query("x05_user_extractor", r"SELECT doc_id, CAST(length(text) - length(replace(text, chr(10), '')) + 1 AS BIGINT) AS n_lines FROM documents")
 def _(t):
     def parser(batch):

@@ -10,7 +10,7 @@ from catalign.plans import stages
 from catalign.tables import Tables
 from catalign.workloads import query
 from catalign.workloads.standins import BASE_MODELS, ENTRIES, plain, quote
-from catalign.workloads.w_matching import MATCHED
+from catalign.workloads.w_matching import MATCHED, VERIFIED, suggestions
 
 E, B = plain(ENTRIES), plain(BASE_MODELS)
 
@@ -51,15 +51,17 @@ GROUPS = f"""
 SELECT *, map_from_entries(list_filter([{{'k': 'displacement', 'v': displacement}}, {{'k': 'engine_type', 'v': engine_type}},
   {{'k': 'suspension', 'v': suspension}}, {{'k': 'track_type', 'v': track_type}}, {{'k': 'connectivity', 'v': connectivity}}], lambda x: x.v IS NOT NULL)) AS base_specs FROM ({B}) b"""
 _brand = first([(f"brand = '{b}'", v) for b, v in fixed.BRAND_DEFAULTS.items()])
+WITH_MATCH = f"WITH matched_entries AS MATERIALIZED ({MATCHED}), verified AS MATERIALIZED ({VERIFIED.replace(MATCHED, 'SELECT * FROM matched_entries')})\n"
 INHERITED = f"""
 SELECT *, {defaults('s3', first([('price >= 18000', fixed.PRICE_TIERS['premium']), ('price >= 12000', fixed.PRICE_TIERS['mid']), ('true', fixed.PRICE_TIERS['entry'])]))} AS inherited FROM (
 SELECT *, CASE WHEN model_year <= 2020 THEN {over("map_from_entries(list_filter(map_entries(s2), lambda e: e.key <> 'connectivity'))", m({'display': 'analog_gauge'}))} ELSE s2 END AS s3 FROM (
 SELECT *, {defaults(defaults('s1', when('model_year >= 2023', {'display': 'digital_gauge', 'connectivity': 'bluetooth'})), when('model_year >= 2024', {'starting': 'electric_start', 'warranty': '3_year_extended'}))} AS s2 FROM (
 SELECT *, {defaults('base_specs', _brand)} AS s1 FROM (
- SELECT e.*, CASE WHEN e.score >= 0.7 THEN e.best_id END AS matched_id, e.score AS match_confidence,
-  coalesce(CASE WHEN e.score >= 0.7 THEN g.base_specs END, {EMPTY}) AS base_specs,
-  CASE WHEN e.score >= 0.7 THEN CAST(0.9 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS base_conf
- FROM ({MATCHED}) e LEFT JOIN ({GROUPS}) g ON g.position = e.best_position) j) a) b) c"""
+ SELECT e.*, CASE WHEN e.score >= 0.8 THEN e.best_id ELSE v.base_model_id END AS matched_id,
+  CASE WHEN e.score >= 0.8 THEN e.score WHEN v.base_model_id IS NOT NULL THEN 0.75 ELSE 0.0 END AS match_confidence,
+  coalesce(g.base_specs, {EMPTY}) AS base_specs, CASE WHEN g.position IS NOT NULL THEN CAST(0.9 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS base_conf
+ FROM matched_entries e LEFT JOIN verified v ON v.entry_id = e.entry_id
+ LEFT JOIN ({GROUPS}) g ON g.position = CASE WHEN e.score >= 0.8 THEN e.best_position ELSE v.position END) j) a) b) c"""
 _n = "cardinality(inherited)"
 INHERITED = f"""
 SELECT *, greatest(0.0, least(0.95, base_conf + CASE WHEN {_n} < 5 THEN -0.1 ELSE least(0.2, {_n} * 0.02) END)) AS inherit_conf FROM ({INHERITED}) i"""
@@ -135,68 +137,68 @@ def models_with_specs(t: Tables):
 
 
 def reconciled(t: Tables):
-    return stages.reconcile(t.select(ENTRIES), models_with_specs(t))
+    return stages.reconcile(t.select(ENTRIES), models_with_specs(t), suggestions=suggestions(t))
 
 
-@query("t02_specification_inheritance", f"SELECT entry_id, {shown('inherited')} AS specs, round(inherit_conf, 6) AS confidence FROM ({INHERITED}) i")
+@query("t02_specification_inheritance", f"{WITH_MATCH}SELECT entry_id, {shown('inherited')} AS specs, round(inherit_conf, 6) AS confidence FROM ({INHERITED}) i")
 def _(t):
-    df = stages.inherit(stages.match_stage(models_with_specs(t))(t.select(ENTRIES)))
+    df = stages.inherit(stages.match_stage(models_with_specs(t), suggestions(t))(t.select(ENTRIES)))
     return df.select("entry_id", maps.map_text(F.col("inherited_specs")).alias("specs"),
                      F.round("inheritance_confidence", 6).alias("confidence"))
 
 
-@query("t03_customization", f"SELECT entry_id, {shown('custom')} AS custom, round(CAST(custom_conf AS DOUBLE), 6) AS confidence FROM ({CUSTOM}) c")
+@query("t03_customization", f"{WITH_MATCH}SELECT entry_id, {shown('custom')} AS custom, round(CAST(custom_conf AS DOUBLE), 6) AS confidence FROM ({CUSTOM}) c")
 def _(t):
-    df = stages.customize(stages.inherit(stages.match_stage(models_with_specs(t))(t.select(ENTRIES))))
+    df = stages.customize(stages.inherit(stages.match_stage(models_with_specs(t), suggestions(t))(t.select(ENTRIES))))
     return df.select("entry_id", maps.map_text(F.col("customizations")).alias("custom"),
                      F.round("customization_confidence", 6).alias("confidence"))
 
 
-@query("t04_options", f"""
+@query("t04_options", f"""{WITH_MATCH}
 SELECT entry_id, array_to_string(list_transform(opts, lambda o: o.t || ':' || o.d || ':' || o.m), '; ') AS options, round(CAST(opt_conf AS DOUBLE), 6) AS confidence FROM ({OPTIONS}) op""")
 def _(t):
     shown_options = F.array_join(F.transform("spring_options", lambda o: F.concat_ws(":", o["type"], o["description"], o["method"])), "; ")
     return reconciled(t).select("entry_id", shown_options.alias("options"), F.round("options_confidence", 6).alias("confidence"))
 
 
-@query("t05_final_validation", f"""
+@query("t05_final_validation", f"""{WITH_MATCH}
 SELECT entry_id, array_to_string(warns, '; ') AS warnings, round(quality, 6) AS quality, round(final_conf, 6) AS confidence FROM ({FINAL}) f""")
 def _(t):
     return reconciled(t).select("entry_id", F.array_join("warnings", "; ").alias("warnings"), F.round("quality_score", 6).alias("quality"),
                                 F.round("final_confidence", 6).alias("confidence"))
 
 
-@query("t06_reconciled_batch", f"""
+@query("t06_reconciled_batch", f"""{WITH_MATCH}
 SELECT entry_id, success, round(overall, 6) AS overall, CASE WHEN matched_id IS NULL THEN 'base_model_matching' WHEN n_err > 0 THEN 'final_validation' END AS failed_stage FROM ({DONE}) d""")
 def _(t):
     return reconciled(t).select("entry_id", "success", F.round("overall_confidence", 6).alias("overall"), "failed_stage")
 
 
-@query("t06_batch_totals", f"""
-SELECT count(*) AS total, count(*) FILTER (success) AS successful, count(*) FILTER (NOT success) AS failed, round(avg(overall), 6) AS avg_confidence FROM ({DONE}) d""")
+@query("t06_batch_totals", f"""{WITH_MATCH.rstrip()}, d AS MATERIALIZED (SELECT entry_id, success, overall FROM ({DONE}) x)
+SELECT count(*) AS total, count(*) FILTER (success) AS successful, count(*) FILTER (NOT success) AS failed, round(avg(overall), 6) AS avg_confidence FROM d""")
 def _(t):
     return stages.batch_totals(reconciled(t)).withColumn("avg_confidence", F.round("avg_confidence", 6))
 
 
-@query("t07_auto_approved", f"""
-SELECT CASE WHEN success AND overall >= 0.8 THEN 'auto_approved' WHEN success THEN 'pending_review' END AS review_status, count(*) AS entries FROM ({DONE}) d GROUP BY 1""")
+@query("t07_auto_approved", f"""{WITH_MATCH.rstrip()}, d AS MATERIALIZED (SELECT entry_id, success, overall FROM ({DONE}) x)
+SELECT CASE WHEN success AND overall >= 0.8 THEN 'auto_approved' WHEN success THEN 'pending_review' END AS review_status, count(*) AS entries FROM d GROUP BY 1""")
 def _(t):
     return stages.auto_approve(reconciled(t), 0.8).groupBy("review_status").agg(F.count("*").alias("entries"))
 
 
-@query("v09_final_checks", f"SELECT entry_id, CAST(n_err AS INT) AS n_errors, CAST(n_warn AS INT) AS n_warnings FROM ({FINAL}) f")
+@query("v09_final_checks", f"{WITH_MATCH}SELECT entry_id, CAST(n_err AS INT) AS n_errors, CAST(n_warn AS INT) AS n_warnings FROM ({FINAL}) f")
 def _(t):
     return reconciled(t).select("entry_id", F.size("errors").alias("n_errors"), F.size("warnings").alias("n_warnings"))
 
 
-@query("v10_final_confidence", f"""
-SELECT entry_id, round(final_conf, 6) AS confidence, CASE WHEN final_conf >= 0.9 THEN 'high' WHEN final_conf >= 0.7 THEN 'medium' ELSE 'low' END AS level FROM ({FINAL}) f""")
+@query("v10_final_confidence", f"""{WITH_MATCH}
+SELECT entry_id, round(final_conf, 6) AS confidence, CASE WHEN round(final_conf, 9) >= 0.9 THEN 'high' WHEN round(final_conf, 9) >= 0.7 THEN 'medium' ELSE 'low' END AS level FROM ({FINAL}) f""")
 def _(t):
     score = F.col("final_confidence")
-    return reconciled(t).select("entry_id", F.round(score, 6).alias("confidence"), bands.level3(score).alias("level"))
+    return reconciled(t).select("entry_id", F.round(score, 6).alias("confidence"), bands.level3(F.round(score, 9)).alias("level"))
 
 
-@query("a18_options_confidence", f"""
+@query("a18_options_confidence", f"""{WITH_MATCH}
 SELECT entry_id, CAST(len(opts) AS INT) AS n_options, CAST(len(list_distinct(list_transform(opts, lambda o: o.t))) AS INT) AS n_types, round(CAST(opt_conf AS DOUBLE), 6) AS confidence FROM ({OPTIONS}) op""")
 def _(t):
     kinds = F.size(F.array_distinct(F.transform("spring_options", lambda o: o["type"])))
@@ -204,7 +206,7 @@ def _(t):
                                 F.round("options_confidence", 6).alias("confidence"))
 
 
-@query("u01_concat_lists", f"""
+@query("u01_concat_lists", f"""{WITH_MATCH}
 SELECT entry_id, CAST(len(opts) AS INT) + CAST(n_warn AS INT) AS n FROM ({FINAL}) f""")
 def _(t):
     joined = F.concat(F.transform("spring_options", lambda o: o["description"]), F.col("warnings"))
@@ -219,9 +221,9 @@ def _(t):
     return ranked.select("l_orderkey", "option", F.col("l_discount").alias("confidence"), F.col("l_linenumber").alias("first_line"))
 
 
-@query("f23_map_overlay", f"SELECT entry_id, {shown(over('base_specs', _code))} AS specs FROM ({INHERITED}) i")
+@query("f23_map_overlay", f"{WITH_MATCH}SELECT entry_id, {shown(over('base_specs', _code))} AS specs FROM ({INHERITED}) i")
 def _(t):
-    df = stages.match_stage(models_with_specs(t))(t.select(ENTRIES))
+    df = stages.match_stage(models_with_specs(t), suggestions(t))(t.select(ENTRIES))
     return df.select("entry_id", maps.map_text(maps.overlay(F.col("base_specs"), stages.code_customizations(F.col("model_code")))).alias("specs"))
 
 
@@ -262,8 +264,15 @@ def _(t):
     return t.events.select("event_id", bands.clamp(raw).alias("confidence"))
 
 
-@query("x04_stage_hooks", f"SELECT entry_id, {shown(_code)} AS custom FROM ({E}) e")
+@query("x04_stage_hooks", f"""
+SELECT entry_id, {shown(_code)} AS custom, cardinality({_code}) > 0 AS codes_success, least(1.0, CAST(cardinality({_code}) AS DOUBLE) / 3) AS codes_confidence,
+ price > 8000 AS priced_success, CASE WHEN price > 8000 THEN 0.5 ELSE 0.0 END::DOUBLE AS priced_confidence FROM ({E}) e""")
 def _(t):
+    found = F.size("code_specs")
     hooked = stages.run_stages(t.select(ENTRIES), [
-        ("codes", lambda df: df.withColumn("code_specs", stages.code_customizations(F.col("model_code"))), ["code_specs"])])
-    return hooked.select("entry_id", maps.map_text(F.col("code_specs")).alias("custom"))
+        ("codes", lambda df: df.withColumn("code_specs", stages.code_customizations(F.col("model_code"))), ["code_specs"],
+         {"success": found > 0, "confidence": found.cast("double") / 3}),
+        ("priced", lambda df: df.withColumns({"dear": F.when(F.col("price") > 8000, F.col("price")), "cheap": F.when(F.col("price") <= 8000, F.col("price"))}),
+         ["dear", "cheap"], {"success": F.col("price") > 8000, "confidence": True})])
+    return hooked.select("entry_id", maps.map_text(F.col("code_specs")).alias("custom"), "codes_success", "codes_confidence",
+                         "priced_success", "priced_confidence")

@@ -114,3 +114,26 @@ def test_duplicates_are_suppressed_across_batches(spark, tmp_path):
         stream = monitors.file_stream(spark, source, schema)
         monitors.to_table(monitors.first_uploads(stream, "h", "ts", "5 days"), target, mark)
     assert sorted(r.h for r in spark.read.parquet(target).collect()) == ["2024-01-01", "2024-01-02", "x"]
+
+
+def test_ingest_of_several_batches_and_compaction(spark, tmp_path):
+    for day in range(3):
+        spark.createDataFrame([(k, day * 10 + k) for k in range(day, day + 3)], "k long, n long").coalesce(1).write.parquet(str(tmp_path / f"in/day{day}"))
+    stream = lambda: monitors.file_stream(spark, str(tmp_path / "in/*"), "k long, n long", per_trigger=1)
+    monitors.ingest(stream(), str(tmp_path / "rows"), str(tmp_path / "checkpoint"), ["k"], ["n"])
+    assert len(list((tmp_path / "rows").glob("batch_id=*"))) == 3
+    want = {(0, 0), (1, 11), (2, 22), (3, 23), (4, 24)}
+    assert {(r.k, r.n) for r in monitors.ingested(spark, str(tmp_path / "rows"), ["k"]).collect()} == want
+    monitors.compact(spark, str(tmp_path / "rows"), str(tmp_path / "next"), ["k"])
+    assert [p.name for p in (tmp_path / "next").glob("batch_id=*")] == ["batch_id=2"]
+    spark.createDataFrame([(0, 99)], "k long, n long").coalesce(1).write.parquet(str(tmp_path / "in/day9"))
+    monitors.ingest(stream(), str(tmp_path / "next"), str(tmp_path / "checkpoint"), ["k"], ["n"])
+    assert {(r.k, r.n) for r in monitors.ingested(spark, str(tmp_path / "next"), ["k"]).collect()} == (want - {(0, 0)}) | {(0, 99)}
+
+
+def test_option_usage_counts_recent_texts_of_live_options(spark):
+    from catalign.operators import joins
+    options = spark.sql("SELECT * FROM VALUES (1L, 'gold', 'a', CAST(NULL AS DATE)), (2L, 'x_z', 'a', NULL), (3L, 'gold', 'b', DATE '2024-01-01') AS t(option_id, name, brand, deleted_at)")
+    texts = spark.sql("SELECT * FROM VALUES (1L, 'old gold', DATE '2025-01-01'), (2L, 'a gold xyz', DATE '2025-02-20'), (3L, 'gold', DATE '2025-01-30') AS t(id, text, created_at)")
+    out = joins.option_usage_in_text(options, texts, ["id"], F.lit("2025-03-01").cast("date"))
+    assert sorted((r.option_id, r.brand, r.recent_usage_count) for r in out.collect()) == [(1, "a", 2), (2, "a", 1)]

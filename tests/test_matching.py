@@ -135,9 +135,10 @@ def test_whitelist_tiers(spark):
 
 
 def test_option_names_with_wildcards(spark):
-    options = spark.createDataFrame([(1, "POWER_CLAW"), (2, "cobra"), (3, "a%z"), (4, "none")], "option_id long, name string")
-    texts = spark.createDataFrame([(1, "POWER CLAW and cobra"), (2, "cobra a-z"), (3, "")], "id long, text string")
-    got = {r.option_id: r.recent_usage_count for r in joins.option_usage_in_text(options, texts, ["id"]).collect()}
+    options = spark.createDataFrame([(1, "POWER_CLAW"), (2, "cobra"), (3, "a%z"), (4, "none")], "option_id long, name string").withColumn(
+        "deleted_at", F.lit(None).cast("date"))
+    texts = spark.createDataFrame([(1, "POWER CLAW and cobra"), (2, "cobra a-z"), (3, "")], "id long, text string").withColumn("created_at", F.current_date())
+    got = {r.option_id: r.recent_usage_count for r in joins.option_usage_in_text(options, texts, ["id"], F.current_date()).collect()}
     assert got == {1: 1, 2: 2, 3: 1, 4: 0}
 
 
@@ -166,3 +167,22 @@ def test_strict_mode_keeps_filler_words(spark):
     row = spark.sql("SELECT 'Expert package with WIS' AS p, '850 E-TEC turbo r' AS e").select(
         text.package_text(F.col("p")), text.package_text(F.col("p"), True), text.engine_text(F.col("e")), text.engine_text(F.col("e"), True)).first()
     assert list(row) == ["EXPERT WIS", "EXPERT PACKAGE WITH WIS", "850 ETEC TURBO R", "850 E-TEC TURBO R"]
+
+
+def test_similarity_argument_and_tiles_beyond_the_broadcast(spark, monkeypatch):
+    from catalign.functions import similarity
+    from catalign.operators import tiles
+    products = spark.createDataFrame([(1, "red fast sled", "LYNX"), (2, "blue sled", "OTHER"), (3, "nothing", "LYNX")], "id long, search_text string, brand string")
+    catalog = spark.createDataFrame([(1, "red sled", "SKI-DOO"), (2, "fast sled", "LYNX"), (3, "blue sled", "LYNX")], "position long, search_text string, brand string")
+    want = [(1, 2, 2 / 3), (2, 3, 1.0), (3, None, 0.0)]
+    for rows, chars in ((2000, 4_000_000), (1, 4_000_000), (1, 0)):
+        monkeypatch.setattr(tiles, "BROADCAST_CHARS", chars)
+        monkeypatch.setattr(tiles.best_hit, "__defaults__", ("hit", rows))
+        got = matching.match_texts(products, catalog, 0.5, similarity.word_similarity).orderBy("id").collect()
+        assert [(r.id, r.catalog_position, round(r.score, 9)) for r in got] == [(i, p, round(s, 9)) for i, p, s in want]
+
+
+def test_lookup_keeps_the_smallest_model(spark):
+    models = spark.createDataFrame([("A_B_2024", 7), ("A_B_2024", 3)], "lookup_key string, base_model_id long")
+    entries = spark.createDataFrame([("A", "B", 2024)], "brand string, model_family string, model_year int")
+    assert matching.match_by_key(entries, models).first().matched_base_model_id == 3

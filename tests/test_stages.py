@@ -117,3 +117,47 @@ def test_broken_responses_give_nothing(spark):
     texts = ['[{"a":"1"}]', '```json\n[{"a":"1"},{"a":"2"}]\n```', '{"articles":[{"a":"1"}]}', 'text [{"a":"1"}] text', '[{"a":', 'none']
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert [r[0] for r in df.select(F.size(jsons.response_items(F.col("t")))).collect()] == [1, 2, 1, 1, 0, 0]
+
+
+def test_scores_below_use_go_to_the_suggestion_or_fail(spark):
+    """0.5 for the equal id, 0.1 for the brand in the code, 0.1 for equal letters: 0.7 is no structured match."""
+    models = spark.createDataFrame([("LTTA", "Nordic", "LT", 2024, 1), ("OTHER", "Other", "LT", 2024, 2)],
+                                   "base_model_id string, model_name string, brand string, model_year int, position long").withColumns(
+        {"base_specs": F.when(F.col("base_model_id") == "OTHER", maps.literal_map({"track_type": "trail"})).otherwise(maps.literal_map({"track_type": "sport"})),
+         "inheritance_base": F.lit(0.9)})
+    rows = entry(spark, "LTTA", 12000, brand="LT")
+    alone = stages.reconcile(rows, models).first()
+    assert (alone.matching_method, alone.matched_base_model_id, alone.match_confidence, alone.failed_stage) == ("failed", None, 0.0, "base_model_matching")
+    assert alone.match_reason == "Best match confidence 0.70 below threshold 0.8"
+    suggested = spark.createDataFrame([(1, "other", 0.9), (2, "LTTA", 1.0)], "entry_id long, suggested_id string, suggested_confidence double")
+    helped = stages.reconcile(rows, models, suggestions=suggested).first()
+    assert (helped.matching_method, helped.matched_base_model_id, helped.match_confidence) == ("semantic", "OTHER", 0.9)
+    assert helped.inherited_specs["track_type"] == "trail" and helped.failed_stage is None
+    wrong = spark.createDataFrame([(1, "nowhere", 0.9)], "entry_id long, suggested_id string, suggested_confidence double")
+    assert stages.reconcile(rows, models, suggestions=wrong).first().matching_method == "failed"
+
+
+def test_stage_hooks(spark):
+    rows = spark.createDataFrame([(1, "x"), (None, "x")], "a int, b string")
+    out = stages.run_stages(rows, [
+        ("one", lambda df: df, ["a", "b"], {"success": True, "confidence": True}),
+        ("two", lambda df: df, [], {"confidence": F.lit(7.0)}),
+        ("three", lambda df: df, [], {"confidence": True})]).orderBy("a").collect()
+    assert [(r.one_success, r.one_confidence, r.two_confidence, r.three_confidence) for r in out] == [(False, 0.0, 1.0, 0.8), (True, 1.0, 1.0, 0.8)]
+
+
+def test_long_numbers_are_above_the_limit(spark):
+    values = ["99999999999999999999", "2500000", "00000000000000000002500000", "000", "9" * 400, "25e5", ""]
+    rows = spark.createDataFrame([(v,) * 5 for v in values], "Price string, Power string, EngineCapacity string, PersonCapacity string, TrackWidth string")
+    checks = rules.check_listings(rows, ["Price", "Power", "EngineCapacity", "PersonCapacity", "TrackWidth"], 2026).collect()
+    price = [next(c.outcome.error for c in r.checks if c.field == "Price") for r in checks]
+    high, low = "Price seems too high for a snowmobile (maximum 5,000,000 rubles)", "Price seems too low for a snowmobile (minimum 100,000 rubles)"
+    assert price == [high, None, None, low, high, "Price must contain only numbers (no currency symbols, commas, or spaces)", "Price is required"]
+    for r in (checks[0], checks[4]):
+        assert not any(c.outcome.valid for c in r.checks)
+
+
+def test_date_fields_by_the_feeds_own_names(spark):
+    rows = spark.createDataFrame([("junk", "2025-01-01")], "ShopDateBegin string, ShopDateEnd string")
+    checks = rules.check_listings(rows, ["ShopDateBegin", "ShopDateEnd"], 2026, "ShopDateBegin", "ShopDateEnd").first().checks
+    assert [(c.field, c.outcome.valid) for c in checks] == [("ShopDateBegin", False), ("ShopDateEnd", True)]
