@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextvars import ContextVar
 from functools import reduce
 from typing import NamedTuple
 
@@ -211,14 +212,21 @@ def _number_field(value: Column, text: str, fix: str | None, low: int, high: int
             .when(number > high, _fail(above)).otherwise(_pass()))
 
 
+# outcomes of a listing check as numbers, for totals that need no texts
+PASSED, CAUTION, FAILED = 0, 1, 2
+_as_codes: ContextVar[bool] = ContextVar("as_codes", default=False)
+
+
 def _constant(valid: bool, message: str | None, caution: str | None, fix: str | None) -> Column:
+    if _as_codes.get():
+        return F.lit(FAILED if not valid else PASSED if caution is None else CAUTION)
     return F.expr(f"named_struct('valid', {str(valid).lower()}, 'error', {sql_text(message)}, 'warning', {sql_text(caution)}, "
                   f"'fix', {sql_text(fix)})")
 
 
 def _fail(message: Column | str, fix: Column | str | None = None) -> Column:
-    if isinstance(message, str):
-        return _constant(False, message, None, fix)
+    if isinstance(message, str) or _as_codes.get():
+        return _constant(False, message if isinstance(message, str) else "", None, fix if isinstance(fix, str) else None)
     return F.struct(F.lit(False).alias("valid"), message.alias("error"), F.lit(None).cast("string").alias("warning"),
                     (fix if isinstance(fix, Column) else F.lit(fix)).cast("string").alias("fix"))
 
@@ -332,17 +340,25 @@ def _check_year(this_year: int):
     return check
 
 
+def _trimmed(name: str) -> Column:
+    return F.regexp_replace(F.coalesce(F.col(name), F.lit("")), r"^\s+|\s+$", "")
+
+
+def _listing_checks(this_year: int, begin: str, end: str) -> dict:
+    return {**LISTING_CHECKS, begin: LISTING_CHECKS["DateBegin"], end: LISTING_CHECKS["DateEnd"],
+            "Model": _check_model(F.coalesce("listed", F.lit(False)), F.col("similar")), "Year": _check_year(this_year)}
+
+
 def check_listings(listings: DataFrame, fields: Sequence[str], this_year: int, begin: str = "DateBegin", end: str = "DateEnd") -> DataFrame:
     """Add ``checks``: one outcome struct per listing field, read straight from the field's column.
 
     ``listings`` is wide and carries ``listed`` and ``similar`` of its model; fields without a rule
     pass through unjudged. ``begin`` and ``end`` name the date fields as the feed spells them. Nothing is shuffled.
     """
-    known = {**LISTING_CHECKS, begin: LISTING_CHECKS["DateBegin"], end: LISTING_CHECKS["DateEnd"], "Model": _check_model(F.coalesce("listed", F.lit(False)), F.col("similar")),
-             "Year": _check_year(this_year)}
+    known = _listing_checks(this_year, begin, end)
 
     def outcome(name: str) -> Column:
-        clean = F.regexp_replace(F.coalesce(F.col(name), F.lit("")), r"^\s+|\s+$", "")
+        clean = _trimmed(name)
         pair = F.struct(F.col(name).alias("value"), clean.alias("clean"))
         return let(pair, lambda p: F.struct(F.lit(name).alias("field"), p["value"].alias("value"),
                                             known[name](p["value"], p["clean"]).alias("outcome")))
@@ -360,10 +376,36 @@ def listing_summary(checked: DataFrame) -> DataFrame:
     def number(keep) -> Column:
         return F.size(F.filter("checks", keep)).cast("long")
 
-    totals = checked.withColumns({
+    return _summary(checked.withColumns({
         "total_checks": F.size("checks").cast("long"), "passed_checks": number(lambda c: c["outcome"]["valid"]),
         "n_errors": number(lambda c: ~c["outcome"]["valid"]),
-        "n_warnings": number(lambda c: c["outcome"]["valid"] & c["outcome"]["warning"].isNotNull())})
+        "n_warnings": number(lambda c: c["outcome"]["valid"] & c["outcome"]["warning"].isNotNull())}))
+
+
+def listing_totals(listings: DataFrame, fields: Sequence[str], this_year: int, begin: str = "DateBegin", end: str = "DateEnd") -> DataFrame:
+    """The summary of ``check_listings`` straight from the fields: every check is one number, no message is built.
+
+    Trimmed values are columns of an earlier projection, so each is computed once.
+    """
+    known = _listing_checks(this_year, begin, end)
+    judged = [name for name in fields if name in known]
+    trimmed = listings.withColumns({f"_clean_{name}": _trimmed(name) for name in judged})
+    token = _as_codes.set(True)
+    try:
+        codes = {f"_code_{name}": known[name](F.col(name), F.col(f"_clean_{name}")) for name in judged}
+    finally:
+        _as_codes.reset(token)
+    coded = trimmed.withColumns(codes).drop(*[f"_clean_{name}" for name in judged])
+
+    def number(code: int) -> Column:
+        return reduce(lambda a, b: a + b, [(F.col(c) == code).cast("long") for c in codes], F.lit(0).cast("long"))
+
+    return _summary(coded.withColumns({
+        "total_checks": F.lit(len(judged)).cast("long"), "n_errors": number(FAILED), "n_warnings": number(CAUTION)}).withColumn(
+        "passed_checks", F.col("total_checks") - F.col("n_errors")).drop(*codes))
+
+
+def _summary(totals: DataFrame) -> DataFrame:
     noted = F.when(F.col("n_warnings") > 0, F.concat(F.lit(" ("), F.col("n_warnings").cast("string"),
                                                      F.lit(" warnings)"))).otherwise(F.lit(""))
     good = F.concat(F.lit("VALIDATION PASSED: "), F.col("passed_checks").cast("string"), F.lit("/"),

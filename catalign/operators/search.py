@@ -20,6 +20,20 @@ def equal_filters(df: DataFrame, **values: object) -> DataFrame:
     return df
 
 
+def page_after(df: DataFrame, keys: Sequence[str], last: Sequence[object] | None, limit: int) -> DataFrame:
+    """The next ``limit`` rows in ascending ``keys`` order after the last keys seen, or the first ones.
+
+    The bound is a filter on the keys, so a deep page costs no more than the first; ``page`` reads all rows before it.
+    """
+    if last is not None:
+        beyond = F.lit(False)
+        for i in range(len(keys)):
+            same = [F.col(k) == F.lit(v) for k, v in zip(keys[:i], last[:i])]
+            beyond = beyond | reduce(lambda a, b: a & b, [*same, F.col(keys[i]) > F.lit(last[i])])
+        df = df.filter(beyond)
+    return df.orderBy(*keys).limit(limit)
+
+
 def page(df: DataFrame, order: Sequence[Column], limit: int, offset: int = 0) -> DataFrame:
     """One page in a total order."""
     return df.orderBy(*order).offset(offset).limit(limit)

@@ -77,6 +77,14 @@ def _(t):
     return t.part.filter("p_name <> ''").select("p_partkey", mutual_containment(F.col("p_name"), F.col("p_type")).alias("same"))
 
 
+@query("p06_review_queue_keyset", f"""
+SELECT run_id, ts FROM ({R}) r WHERE event_type = 'error' AND (ts > TIMESTAMP '2024-01-05 00:00:00' OR (ts = TIMESTAMP '2024-01-05 00:00:00' AND run_id > 0)) ORDER BY ts, run_id LIMIT 100""")
+def _(t):
+    rows = search.equal_filters(t.select(RUN_LOG), event_type="error")
+    start = F.lit("2024-01-05 00:00:00").cast("timestamp_ntz")
+    return search.page_after(rows, ["ts", "run_id"], [start, 0], 100).select("run_id", "ts")
+
+
 @query("p06_review_queue", f"SELECT run_id FROM ({R}) r WHERE event_type = 'error' ORDER BY ts DESC, run_id DESC LIMIT 100 OFFSET 20")
 def _(t):
     rows = search.equal_filters(t.select(RUN_LOG), event_type="error")

@@ -172,10 +172,13 @@ FIELDS = ["Id", "Title", "Model", "Price", "Year", "Power", "EngineCapacity", "P
           "Kilometrage", "Type", "Availability", "DateBegin", "DateEnd"]
 
 
-def checked_listings(t: Tables):
+def listing_rows(t: Tables):
     names = t.select(CATALOG).select(F.col("model_family").alias("name"), "position")
-    wide = matching.suggest_models(t.select(LISTING.replace('"', "`")), names, "Model")
-    return rules.check_listings(wide, FIELDS, 2026)
+    return matching.suggest_models(t.select(LISTING.replace('"', "`")), names, "Model")
+
+
+def checked_listings(t: Tables):
+    return rules.check_listings(listing_rows(t), FIELDS, 2026)
 
 
 def _outcome_sql() -> str:
@@ -278,7 +281,13 @@ SELECT listing_id, total_checks, passed_checks, n_errors = 0 AS is_valid, CASE W
   ELSE 'VALIDATION FAILED: ' || n_errors || ' errors, ' || n_warnings || ' warnings' END AS summary
 FROM ({LISTING_TOTALS}) s""")
 def _(t):
-    return rules.listing_summary(checked_listings(t)).select("listing_id", "total_checks", "passed_checks", "is_valid", "summary")
+    return rules.listing_totals(listing_rows(t), FIELDS, 2026).select("listing_id", "total_checks", "passed_checks", "is_valid", "summary")
+
+
+@query("a22_listing_summary", f"SELECT n_errors, n_warnings, count(*) AS listings FROM ({LISTING_TOTALS}) s GROUP BY 1, 2")
+def _(t):
+    """The same totals from the full outcomes."""
+    return rules.listing_summary(checked_listings(t)).groupBy("n_errors", "n_warnings").agg(F.count("*").alias("listings"))
 
 
 @query("v08_listing_required", """

@@ -243,6 +243,19 @@ def _(t):
     return run.select("file_name", "extraction_method", "articles_count", "status")
 
 
+@query("t10_extracted_rows", """
+WITH n AS (SELECT source, count(*) FILTER (n_chars > 25000) AS a FROM documents GROUP BY 1)
+SELECT source AS file_name, doc_id FROM documents JOIN n USING (source) WHERE source NOT IN ('src1', 'src2') AND CASE WHEN n.a > 0 THEN n_chars > 25000 ELSE lang = 'en' END""")
+def _(t):
+    """The rows that the run yields: each file's, from its winning method only."""
+    docs = t.documents.withColumnRenamed("source", "file_name")
+    log = docs.filter(F.col("file_name").isin("src1", "src2")).select("file_name")
+    rows, _run = feed.extraction_run(docs.select("file_name").distinct(), log, [
+        ("page_by_page", docs.filter(F.col("n_chars") > 25000).select("file_name", "doc_id")),
+        ("camelot_stream", docs.filter(F.col("lang") == "en").select("file_name", "doc_id"))])
+    return rows.select("file_name", "doc_id")
+
+
 _reg = " UNION ALL ".join(f"SELECT {i} AS position, '{n}' AS name, {'NULL' if b is None else repr(b)} AS b, {'NULL' if f is None else repr(f)} AS f" for i, n, b, f in REGISTRY)
 _steps = f"""
 WITH e AS (SELECT product_id, brand, malli AS family, moottori AS engine, coalesce(paketti, '') AS options, brand || '_' || replace(malli, ' ', '_') || '_' || model_year AS k FROM ({P}) p WHERE malli IS NOT NULL),
