@@ -118,12 +118,13 @@ LINES = ["S U M M I T   X", "what''s new".replace("''", "'"), "PACKAGE HIGHLIGHT
          "Cobra 137 x 15 x 1.6", "dry weight 219 kg", "Rotax cylinders", "M X Z   S P O R T",
          "E X P E D I T I O N   S E", "A D V E N T U R E   L X", "F R E E R I D E"]
 
-# Twelve lines per page: each takes its own arm, so pages differ in content and order.
+# The markup of a real page, tag by tag on lines of its own, with twelve specification lines after it: each takes its own arm, so pages
+# differ in content and order.
 PAGE_TEXT = f"""
 SELECT {pick('p_size', ['LYNX 2026 SPEC BOOK.pdf', 'SKI-DOO_2025-PRICE_LIST.pdf', 'SKIDOO_MY24_PRICE_LIST.pdf'])} AS doc,
        CAST(p_partkey AS BIGINT) AS page,
-       {" || chr(10) || ".join("(" + pick(f'p_partkey * {m} + p_size * {s} + {i}', LINES) + ")" for i, (m, s) in enumerate([(1, 0), (7, 1), (3, 2), (11, 5), (13, 3), (1, 7), (17, 1), (19, 4), (23, 2), (29, 6), (31, 3), (37, 1)]))} AS text
-FROM {{part}}"""
+       markup || chr(10) || {" || chr(10) || ".join("(" + pick(f'p_partkey * {m} + p_size * {s} + {i}', LINES) + ")" for i, (m, s) in enumerate([(1, 0), (7, 1), (3, 2), (11, 5), (13, 3), (1, 7), (17, 1), (19, 4), (23, 2), (29, 6), (31, 3), (37, 1)]))} AS text
+FROM (SELECT page_id AS p_partkey, length(url) AS p_size, replace(html, '><', '>' || chr(10) || '<') AS markup FROM {{pages}}) p"""
 
 RUN_LOG = f"""
 SELECT event_id AS run_id, ts,
