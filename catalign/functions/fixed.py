@@ -22,6 +22,12 @@ BRAND_DEFAULTS = {
     "Arctic Cat": {"suspension": "ARS II", "drive_system": "TEAM", "throttle": "EFI"},
     "Yamaha": {"suspension": "Dual Shock", "drive_system": "YVXC", "throttle": "EFI"},
 }
+# model year from which (or, for OLD_YEAR, up to which) values are added
+YEAR_UPDATES = [
+    (2023, {"display": "digital_gauge", "connectivity": "bluetooth"}),
+    (2024, {"starting": "electric_start", "warranty": "3_year_extended"}),
+]
+OLD_YEAR, OLD_VALUES, OLD_LOSES = 2020, {"display": "analog_gauge"}, "connectivity"
 PREMIUM_PRICE, MID_PRICE = 18000, 12000
 PRICE_TIERS = {
     "premium": {"heated_grips": "true", "reverse": "electric", "suspension_adjustment": "electronic"},
@@ -106,7 +112,17 @@ MODEL_SPELLINGS = [("X-RS", "XRS"), ("X RS", "XRS"), ("E-TEC", "ETEC"), ("E TEC"
 PACKAGE_WORDS = r"(?i)\b(PACKAGE|WITH|AND)\b"
 ENGINE_SHAPE = r"(?i)(\d{3,4})\s*(R?)\s*(E-TEC|ACE|ETEC)\s*(TURBO\s*R?)?"
 
-# ordered rewrites of an upper-cased engine name; punctuation goes afterwards
+# ordered rewrites of an upper-cased engine name, as stated; the SQL twins follow them word for word
+ENGINE_REWRITES = [
+    (r"\bTURBO\s*R\b", "TURBOR"), (r"\bTURBO\s*CHARGED\b", "TURBO"), (r"\bTURBOCHARGED\b", "TURBO"),
+    (r"\bE-TEC\b", "ETEC"), (r"\bETEC\b", "ETEC"), (r"\bE\s*TEC\b", "ETEC"),
+    (r"\bACE\b", "ACE"), (r"\bA\.C\.E\.\b", "ACE"),
+    (r"\bEFI\b", "EFI"), (r"\bE\.F\.I\.\b", "EFI"), (r"\bFUEL\s*INJECTION\b", "EFI"),
+    (r"\bWITH\b", ""), (r"\bAND\b", ""), (r"\bOR\b", ""), (r"\bTHE\b", ""),
+    (r"[-–—_/\\]", ""), (r"[.:]", ""),
+]
+
+# the same in fewer passes, for use on columns; punctuation goes afterwards
 ENGINE_WORDS = [
     (r"\bTURBO\s*R\b", "TURBOR"), (r"\bTURBO\s*CHARGED\b", "TURBO"), (r"\bE(-|\s*)TEC\b", "ETEC"),
     (r"\bFUEL\s*INJECTION\b", "EFI"), (r"\b(WITH|AND|OR|THE)\b", ""),

@@ -68,10 +68,10 @@ def brand_defaults(specs: Column, brand: Column) -> Column:
 
 def year_updates(specs: Column, year: Column) -> Column:
     """Recent years gain displays and warranties; old ones lose connectivity."""
-    specs = maps.with_defaults(specs, maps.when_map(year >= 2023, {"display": "digital_gauge", "connectivity": "bluetooth"}))
-    specs = maps.with_defaults(specs, maps.when_map(year >= 2024, {"starting": "electric_start", "warranty": "3_year_extended"}))
-    old = maps.overlay(maps.without(specs, "connectivity"), maps.literal_map({"display": "analog_gauge"}))
-    return F.when(year <= 2020, old).otherwise(specs)
+    for first, values in fixed.YEAR_UPDATES:
+        specs = maps.with_defaults(specs, maps.when_map(year >= first, values))
+    old = maps.overlay(maps.without(specs, fixed.OLD_LOSES), maps.literal_map(fixed.OLD_VALUES))
+    return F.when(year <= fixed.OLD_YEAR, old).otherwise(specs)
 
 
 def price_tier(specs: Column, price: Column) -> Column:
