@@ -23,7 +23,7 @@ from catalign.llm import common
 NGRAMS = (4, 5, 6, 7)
 HASH_BITS = 21
 MAX_ROWS = 20_000
-MAX_FEATURES = 1 << 15
+MAX_FEATURES = 1 << 11
 MIN_Z = 5.0
 ALPHA = 0.5
 PENALTY = 1.0
@@ -157,10 +157,11 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int32()))], names=["label", "slots"])
 
     # at most MAX_ROWS short lists, in an order of their own so that the fit does not depend on how the rows were dealt out
-    table = chosen.mapInArrow(pick, "label int, slots array<int>").orderBy("label", "slots").toArrow()
-    lists = table.column("slots").combine_chunks()
-    rows = np.split(lists.flatten().to_numpy(), np.asarray(lists.offsets)[1:-1] - lists.offsets[0].as_py()) if table.num_rows else []
-    weights, intercept = _fit(rows, table.column("label").to_numpy().astype(float), ratio)
+    table = chosen.mapInArrow(pick, "label int, slots array<int>").toArrow()
+    found = sorted(((y, np.asarray(s.values)) for y, s in zip(table.column("label").to_pylist(), table.column("slots"), strict=True)),
+                   key=lambda r: (r[0], r[1].tobytes()))
+    rows, ys = [r[1].astype(np.int64) for r in found], np.array([r[0] for r in found], float)
+    weights, intercept = _fit(rows, ys, ratio)
     return Classifier(slot, weights, intercept)
 
 
