@@ -82,17 +82,19 @@ def test_base_score_and_model(spark, corpus):
 
 
 def test_probabilities_sum_to_one():
-    head = class_lm.Head([b"a", b"b", b"c", b"zz"], np.array([5.0, 3.0, 2.0, 1.0]))
-    model = class_lm.Model(head, np.array([0, 0, 1]), 2)
+    head = class_lm.Head([b"a", b"b", b"c", b"zz"], np.array([5.0, 3.0, 2.0, 1.0]), 3)
     size, kinds = np.zeros(class_lm.SHAPES), np.zeros(class_lm.SHAPES)
-    size[class_lm.shape(b"zz")], kinds[class_lm.shape(b"zz")] = 1, 1
-    pairs = np.zeros((model.n_all, model.n_all))
-    pairs[model.end, 0], pairs[0, 1], pairs[1, model.end] = 3, 3, 3
-    model.fit(pairs, size, kinds, 14, 5)
-    assert np.allclose((10 ** model.transition).sum(axis=1), 1)
-    assert np.allclose(10 ** model.emission[:2].astype(float), [5 / 8, 3 / 8]) and np.isclose(10 ** model.emission[2], 1)
     shape = class_lm.shape(b"zz")
+    size[shape], kinds[shape] = 1, 1
+    n = 2 + class_lm.SHAPES + 1
+    pairs = np.zeros((n, n))
+    pairs[n - 1, 0], pairs[0, 1], pairs[1, n - 1] = 3, 3, 3
+    model = class_lm.Model(head, np.array([0, 0, 1]), 2, pairs, size, kinds)
+    assert np.allclose((10 ** model.transition).sum(axis=1), 1)
+    assert np.allclose(10 ** model.emission[:3], [5 / 8, 3 / 8, 1])
     assert np.isclose(10 ** model.emission[3] + 0.5 / 10 ** model.shape_size[shape], 1)
+    ids, symbols, rare = head.read([b"b", b"zz", b"new", None])
+    assert ids.tolist() == [1, 3, -1, 4] and symbols.tolist() == [1, 3 + shape, 3 + class_lm.shape(b"new"), 3 + class_lm.SHAPES] and rare == [2]
 
 
 def test_exchange_gains_information(spark):
@@ -100,8 +102,10 @@ def test_exchange_gains_information(spark):
     rng = np.random.default_rng(2)
     texts = [(" ".join(f"{k}{min(int(x), 19)}" for x in rng.exponential(5, 400)),) for k in "nv" * 20]
     words = [f"{k}{j}".encode() for j in range(20) for k in "nv"]
-    head = spark.sparkContext.broadcast(class_lm.Head(words, np.ones(len(words))))
-    near = class_lm.neighbours(spark.createDataFrame(texts, "text string"), head, len(words))
+    head = class_lm.Head(words, np.ones(len(words)), len(words))
+    pairs = class_lm.pair_counts(spark.createDataFrame(texts, "text string"), spark.sparkContext.broadcast(head), head.end)
+    near = class_lm.neighbours(pairs, len(words), head.end)
+    assert class_lm.class_pairs(pairs, np.zeros(len(words), np.int64), 1)[0, 0] == 399 * 40
     classes = class_lm.exchange(near, len(words), 5, 12)
     own = {k: Counter(c for w, c in zip(words, classes.tolist(), strict=True) if w[:1] == k) for k in (b"n", b"v")}
     assert not set(own[b"n"]) & set(own[b"v"])
