@@ -237,7 +237,11 @@ def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rad
 
 def drop_near(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS) -> DataFrame:
     """One document of each component stays: the one with its smallest doc_id."""
-    groups = near_groups(docs, text, doc_id, radius)
+    return drop_hung(docs, near_groups(docs, text, doc_id, radius), doc_id)
+
+
+def drop_hung(docs: DataFrame, groups: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """The documents that name their component in `groups` (doc_id, component_id)."""
     gone = common.saved(groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct(), "near")
     suspects, clean = common.routed(docs, F.coalesce(F.col(doc_id).cast("string"), F.lit("")), common.marked(
         gone.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("k")), "k"))
