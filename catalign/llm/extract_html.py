@@ -2,8 +2,9 @@
 
 A page becomes a tree of elements. Every paragraph passes points for its length and its commas to its ancestors, less the
 farther up; a container's points are discounted by the share of its text that stands in links. The best container is kept,
-with those siblings that score near it. Scripts, styles, menus, headers, footers, sidebars, forms and elements whose class or
-id says advert, notice, share bar or comment are cut off before scoring.
+with those siblings that score near it. Scripts, styles, menus, headers, footers, sidebars, forms and elements one of whose classes or
+whose id names an advert, notice, share bar or comment are cut off before scoring; what holds the page's main or largest article
+element, and a form around most of the page's text, is not.
 
 Defined results: null or empty html gives empty text; pages without paragraphs fall back on the body's own blocks; unclosed
 and wrongly nested tags are closed as browsers do for paragraphs, list items and table cells; repeated rows and null ids give
@@ -30,25 +31,30 @@ CLOSES_P = BLOCK - {"br", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"
 SIBLING_CLOSE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
                  "option": {"option"}}
 SCOPE = {"table", "ul", "ol", "dl", "article", "section", "main", "div", "body", "html", "blockquote", "td", "th"}
-# Words in a class or id, whole between - and _, that mark what is not the article.
+# Elements that never hold article text, whatever is in them.
+DROPPED = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "embed", "canvas", "audio", "video", "head", "title",
+           "select", "textarea"}
+# Whole classes or ids that mark what is not the article, and first parts of longer ones that do.
 CUT_WORDS = frozenset((
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices "
     "alert popup modal overlay newsletter subscribe subscription signup login nav navbar navigation menu menus breadcrumb breadcrumbs "
     "pagination pager sidebar aside footer masthead topbar toolbar skip comment comments commentlist disqus replies reply respond "
     "discussion share sharing social related recommended recommendations widget widgets tags meta byline copyright legal disclaimer "
-    "outbrain taboola footnotes").split())
+    "outbrain taboola footnotes site-header site-footer page-footer site-nav main-nav main-navigation site-navigation entry-meta post-meta "
+    "post-tags entry-tags social-share share-buttons top-ad").split())
+CUT_PREFIXES = frozenset("ad ads advert advertisement sponsored promo cookie cookies gdpr newsletter popup modal breadcrumb comments related share outbrain taboola".split())
 CUT_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu", "menubar", "alertdialog"}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 _ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
-_WORD = re.compile(r"[a-z]+")
+_PART = re.compile(r"[-_]")
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "points")
+    __slots__ = ("name", "parent", "children", "points", "marked")
 
     def __init__(self, name: str, parent: Node | None) -> None:
-        self.name, self.parent, self.children, self.points = name, parent, [], 0.0
+        self.name, self.parent, self.children, self.points, self.marked = name, parent, [], 0.0, False
 
 
 def _is_cut(attributes: str, in_article: bool) -> bool:
@@ -58,8 +64,10 @@ def _is_cut(attributes: str, in_article: bool) -> bool:
         name = found[1].lower()
         value = (found[2] or found[3] or found[4] or "").lower()
         if name in ("class", "id"):
-            words = _WORD.findall(value)
-            if not CUT_WORDS.isdisjoint(words) or ("header" in words and not in_article):
+            names = value.split()
+            if not CUT_WORDS.isdisjoint(names) or ("header" in names and not in_article):
+                return True
+            if any(len(parts := _PART.split(n, maxsplit=1)) > 1 and parts[0] in CUT_PREFIXES for n in names):
                 return True
         elif name == "role":
             if value in CUT_ROLES:
@@ -117,20 +125,52 @@ def parse(page: str) -> Node:
         if name in SIBLING_CLOSE:
             while node.parent is not None and node.name in SIBLING_CLOSE[name]:
                 node = node.parent
-        if name in SKIPPED or (name == "header" and not _open(node, "article")) or (
-                name not in ("html", "body") and attributes and _is_cut(attributes, _open(node, "article"))):
+        if name in DROPPED:
             if not attributes.endswith("/"):
                 skipping.append(name)
             continue
         if name == "html":
             continue
         child = Node(name, node)
+        child.marked = name in SKIPPED or (name == "header" and not _open(node, "article")) or (
+            name != "body" and bool(attributes) and _is_cut(attributes, _open(node, "article")))
         node.children.append(child)
         if not attributes.endswith("/") or name in BLOCK:
             node = child
+    _prune(root)
     return root
 
 
+def _prune(root: Node) -> None:
+    """Cuts marked elements off, except around the page's main or largest article and forms around most of the text."""
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack.extend(c for c in node.children if isinstance(c, Node))
+    whole: dict[Node, int] = {}  # all text below
+    free: dict[Node, int] = {}  # text below that is in no marked element but forms
+    for node in reversed(order):
+        own = sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        below = [c for c in node.children if isinstance(c, Node)]
+        whole[node] = own + sum(whole[c] for c in below)
+        free[node] = own + sum(0 if c.marked and c.name != "form" else free[c] for c in below)
+    spared: set[Node] = set()
+    found = [n for n in order if n.name == "main"] or [n for n in order if n.name == "article"]
+    if found:
+        node = max(found, key=whole.__getitem__)
+        # an article among comments or teasers is not the page's: it has less text than what no mark holds
+        if node.name == "article" and whole[node] < free[root]:
+            node = None
+        while node is not None:
+            spared.add(node)
+            node = node.parent
+    spared.update(n for n in order if n.name == "form" and 2 * free[n] > free[root])
+    for node in order:
+        if any(isinstance(c, Node) and c.marked for c in node.children):
+            node.children = [c for c in node.children if isinstance(c, str) or not c.marked or c in spared]
+
+
 def _open(node: Node | None, name: str, stop: set[str] = frozenset()) -> bool:
     while node is not None:
         if node.name == name:
