@@ -2,7 +2,7 @@
 
 A page becomes a tree of elements. Every paragraph passes points for its length and its commas to its ancestors, less the
 farther up; a container's points are discounted by the share of its text that stands in links. The best container is kept,
-with those siblings that score near it. Scripts, styles, menus, headers, footers, sidebars, forms and elements one of whose classes or
+with its siblings in page order. Scripts, styles, menus, headers, footers, sidebars, forms and elements one of whose classes or
 whose id names an advert, notice, share bar or comment are cut off before scoring; what holds the page's main or largest article
 element, and a form around most of the page's text, is not.
 
@@ -269,6 +269,19 @@ def _blocks(nodes: list[Node]) -> list[str]:
     return out
 
 
+def _runs(children: list) -> list[list]:
+    """Every block alone; text and inline elements that stand together as one."""
+    out: list[list] = []
+    inline = False
+    for child in children:
+        block = isinstance(child, Node) and child.name in BLOCK and child.name != "br"
+        if block or not inline:
+            out.append([])
+        out[-1].append(child)
+        inline = not block
+    return out
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
@@ -287,17 +300,12 @@ def main_text(page: str | None) -> str:
         best = outer
     kept = [best]
     if best.parent is not None:
-        least = max(10.0, 0.2 * value.get(best, 0.0))
         kept = []
-        for child in best.parent.children:
-            if child is best:
-                kept.append(child)
-            elif isinstance(child, Node):
-                density = linked[child] / total[child] if total[child] else 1.0
-                text = total[child]
-                if value.get(child, 0.0) >= least or (child.name == "p" and density < 0.25 and text > 80) or (
-                        child.name in ("h1", "h2") and density == 0 and text):
-                    kept.append(child)
+        for whole in _runs(best.parent.children):
+            text = sum(len(c.strip()) if isinstance(c, str) else total[c] for c in whole)
+            in_links = sum(0 if isinstance(c, str) else linked[c] for c in whole)
+            if best in whole or 2 * in_links < text:
+                kept += whole
     return " ".join(_blocks(kept))
 
 
