@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalign.llm import chat_format, class_lm, common, decontaminate, exact_dedup, extract_html, mixing, simhash, suffix_dedup, toxicity, warc
+from catalign.llm import chat_format, class_lm, common, decontaminate, exact_dedup, extract_html, mixing, piece_table, simhash, suffix_dedup, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -110,3 +110,25 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_suffix_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.strip(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query("op13_fill_in_middle", r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex FROM documents
+), h AS (
+  SELECT *, len(units) AS n, CAST('0x' || hex[1:8] AS BIGINT) % (len(units) + 1) AS a, CAST('0x' || hex[9:16] AS BIGINT) % (len(units) + 1) AS b,
+         CAST('0x' || hex[17:24] AS BIGINT) % 100 AS c, CAST('0x' || hex[25:32] AS BIGINT) % 100 AS d FROM t
+), p AS (
+  SELECT doc_id, text, n, array_to_string(units[1:least(a, b)], '') AS prefix, array_to_string(units[least(a, b) + 1:greatest(a, b)], '') AS middle,
+         array_to_string(units[greatest(a, b) + 1:], '') AS suffix,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR c >= 90 THEN 'plain'
+              WHEN d < 20 THEN 'spm' ELSE 'psm' END AS form FROM h
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256 FROM p""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_table.digest(table(spark, sf_dir, "documents"))

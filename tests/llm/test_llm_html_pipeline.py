@@ -100,5 +100,5 @@ def test_every_stage_takes_no_rows(spark, empty_docs):
 
 
 def test_native_operator_and_registry():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "simhash_dedup", "decontamination", "source_mix"]
