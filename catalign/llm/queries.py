@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalign.llm import chat_format, class_lm, common, decontaminate, exact_dedup, extract_html, mixing, piece_table, simhash, suffix_dedup, toxicity, warc
+from catalign.llm import block_tables, chat_format, class_lm, common, decontaminate, exact_dedup, extract_html, mixing, piece_table, simhash, suffix_dedup, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -132,3 +132,8 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN leng
        sha256(text) AS restored_sha256 FROM p""")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_table.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op12_block_tables")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_tables.digest(table(spark, sf_dir, "documents"))
