@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalign.llm import block_tables, chat_format, class_lm, common, decontaminate, exact_dedup, extract_html, mixing, piece_table, simhash, suffix_dedup, toxicity, warc
+from catalign.llm import block_tables, chat_format, class_lm, common, decontaminate, exact_dedup, extract_html, mixing, piece_table, prefix_trie, simhash, suffix_dedup, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -137,3 +137,38 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_block_tables")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_tables.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op11_prefix_trie", r"""
+WITH placed AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), left(coalesce(text, ''), 64), text) AS pos FROM conversations
+), convs AS (
+  SELECT c, c - c % 20 AS first, CAST(xor(list_reduce(
+           [CAST(4294967295 AS UBIGINT)] || flatten(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda s: [CAST(ascii(s) AS UBIGINT), 0, 0, 0, 0, 0, 0, 0])),
+           lambda a, b: CASE WHEN xor(a, b) % 2 = 1 THEN xor(xor(a, b) >> 1, CAST(3988292384 AS UBIGINT)) ELSE xor(a, b) >> 1 END),
+         CAST(4294967295 AS UBIGINT)) % 4 AS BIGINT) AS h FROM placed GROUP BY c
+), sizes AS (
+  SELECT v.*, least(h, coalesce((SELECT max(pos) FROM placed p WHERE p.c = v.first), 0)) AS taken FROM convs v
+), turns AS (
+  SELECT v.c, p.pos AS depth, p.role, p.text FROM sizes v JOIN placed p ON p.c = v.first AND p.pos <= v.h
+  UNION ALL SELECT v.c, v.taken + p.pos - v.h, p.role, p.text FROM sizes v JOIN placed p ON p.c = v.c AND p.pos > v.h
+  UNION ALL SELECT c, 0, '', '' FROM sizes
+), keyed AS (
+  SELECT c, depth, text, string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER (PARTITION BY c ORDER BY depth) AS chain FROM turns
+), linked AS (
+  SELECT c, depth, text, sha256(chain) AS key, lag(sha256(chain)) OVER (PARTITION BY c ORDER BY depth) AS above, depth = max(depth) OVER (PARTITION BY c) AS last FROM keyed
+), nodes AS (
+  SELECT key, any_value(depth) AS depth, min(c) AS conv_id, count(*) AS n_convs, any_value(above) AS above, any_value(text) AS text,
+         string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE last) AS ends FROM linked GROUP BY key
+), sizes_of AS (
+  SELECT n.*, (SELECT count(*) FROM nodes k WHERE k.above = n.key) AS n_children, (n_convs - 1) * len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS saved FROM nodes n
+), below AS (SELECT DISTINCT a.key AS top, d.key FROM linked a JOIN linked d ON a.c = d.c AND d.depth >= a.depth
+), sums AS (
+  SELECT b.top, sum(CAST(s.n_children = 0 AS BIGINT)) AS n_leaves, sum(s.saved) AS saved_tokens FROM below b JOIN sizes_of s ON s.key = b.key GROUP BY b.top
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM sizes_of n JOIN sums s ON s.top = n.key LEFT JOIN nodes p ON p.key = n.above""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
