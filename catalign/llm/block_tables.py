@@ -2,7 +2,7 @@
 
 Terms are adjacent pairs of lower-cased words (runs between white space; a lone word is its own term); a term that occurs c times weighs as
 many as c has binary digits. The XXH64 hash of a term votes with its weight for or against each bit of WORDS * 64; a bit is set if more than half of
-the weight is for it. Votes are added in packed counters, four to a long, in slices of SLICE terms, so no counter can overflow.
+the weight is for it. Votes are added in packed counters that are carried on before they can overflow.
 
 `near_fingerprints` finds every fingerprint within `radius` bits of a query: two such fingerprints agree on one of any radius + 1 blocks that the
 bits are parted into, so the first tables hold each fingerprint once for each block, keyed by it. Keys that more than HOT fingerprints share are
@@ -31,12 +31,10 @@ from catalign.llm import common
 WORDS = 2
 BITS = 64 * WORDS
 RADIUS = 3
-SLICE = 1024
 HOT, LEVELS = 256, 3
 #: Ranges of doc_id: about so many rows each, at least eight for each shuffle partition, and a bound on their number.
 RANGE_ROWS, MOST_RANGES, SAMPLED = 20_000, 1 << 16, 20
-FIELD, LANES = 16, 16
-ONES = 0x0001000100010001
+NIBBLES, BYTES = 0x1111111111111111, 0x0F0F0F0F0F0F0F0F
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -61,39 +59,36 @@ def terms(text: Column) -> Column:
     return let(F.array_sort(let(F.transform(words, lambda w: F.xxhash64(w)), pairs)), runs)
 
 
-def _words_of(votes: Column) -> Column:
-    """The fingerprint words of the weighted terms (struct<n, w0, w1, ...>)."""
-    total = F.aggregate(votes, F.lit(0).cast("long"), lambda a, t: a + t["n"])
-    shifts = F.array(*[F.lit(i) for i in range(LANES)])
-    zeros = F.array_repeat(F.lit(0).cast("long"), LANES)
+def _word(hashes: Column) -> Column:
+    """The majority of the hashes, bit by bit: counters of four bits over 7 hashes, of eight bits over 18 of these (the sign bit stays free), then one for each bit."""
+    zeros = lambda n: F.array_repeat(F.lit(0).cast("long"), n)
+    begins = lambda of, step: F.sequence(F.lit(1), F.greatest(F.size(of), F.lit(1)), F.lit(step))
 
-    def packed(part: Column, word: str) -> Column:
-        return F.aggregate(part, zeros, lambda acc, t: F.zip_with(
-            acc, shifts, lambda a, s: a + _shift_right(t[word], s).bitwiseAND(F.lit(ONES)) * t["n"]))
+    def fours(part: Column) -> Column:
+        return F.aggregate(part, zeros(4), lambda acc, h: F.array(*[acc[i] + _shifted(h, i).bitwiseAND(F.lit(NIBBLES)) for i in range(4)]))
 
-    def counts(word: str) -> Column:
-        begins = F.sequence(F.lit(1), F.greatest(F.size(votes), F.lit(1)), F.lit(SLICE))
-        bits = F.sequence(F.lit(0), F.lit(63))
-        return F.aggregate(begins, F.array_repeat(F.lit(0).cast("long"), 64), lambda acc, at: let(
-            packed(F.slice(votes, at, F.lit(SLICE)), word),
-            lambda p: F.zip_with(acc, bits, lambda a, b: a + _shift_right(F.get(p, b % LANES), (b / LANES).cast("int") * FIELD).bitwiseAND(F.lit((1 << FIELD) - 1)))))
+    def eights(part: Column) -> Column:
+        return F.aggregate(part, zeros(8), lambda acc, four: F.array(*[acc[i] + _shifted(four[i % 4], i // 4 * 4).bitwiseAND(F.lit(BYTES)) for i in range(8)]))
 
-    def word_of(ones: Column, all_votes: Column) -> Column:
-        set_bits = F.transform(ones, lambda c, b: F.when(2 * c > all_votes, F.call_function("shiftleft", F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long")))
-        return F.aggregate(set_bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+    def add(counts: Column, eight: Column) -> Column:
+        return F.zip_with(counts, F.sequence(F.lit(0), F.lit(63)), lambda c, b: c + F.call_function(
+            "shiftrightunsigned", F.get(eight, b % 8), (b / 8).cast("int") * 8).bitwiseAND(F.lit(255)))
 
-    return let(total, lambda all_votes: F.array(*[let(counts(f"w{k}"), lambda ones: word_of(ones, all_votes)) for k in range(WORDS)]))
+    packed = F.transform(begins(hashes, 7), lambda at: fours(F.slice(hashes, at, F.lit(7))))
+    counts = let(packed, lambda p: F.aggregate(begins(p, 18), zeros(64), lambda acc, at: let(eights(F.slice(p, at, F.lit(18))), lambda eight: add(acc, eight))))
+    bits = F.transform(counts, lambda c, b: F.when(2 * c > F.size(hashes), F.call_function("shiftleft", F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long")))
+    return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
 
 
-def _shift_right(value: Column, by: Column) -> Column:
-    return F.call_function("shiftrightunsigned", value, by)
+def _shifted(value: Column, by: int) -> Column:
+    return F.shiftrightunsigned(value, by) if by else value
 
 
 def fingerprint(text: Column) -> Column:
     """The fingerprint as array<long>, WORDS entries, lowest bits first."""
-    votes = F.transform(terms(text), lambda t: F.struct(
-        F.length(F.bin(t["n"])).cast("long").alias("n"), t["h"].alias("w0"), *[F.xxhash64(t["h"], F.lit(k)).alias(f"w{k}") for k in range(1, WORDS)]))
-    return let(votes, _words_of)
+    votes = F.flatten(F.transform(terms(text), lambda t: F.array_repeat(t["h"], F.length(F.bin(t["n"])))))
+    rehashed = lambda h, k: F.transform(h, lambda x: F.xxhash64(x, F.lit(k))) if k else h
+    return let(votes, lambda h: F.array(*[let(rehashed(h, k), _word) for k in range(WORDS)]))
 
 
 def as_hex(fp: Column) -> Column:
@@ -199,10 +194,10 @@ def spliced(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     one = F.lit(1).cast("long").alias("copies")
     cold = rows.filter(~full).select("doc_id", "text", one, F.lit(0).alias("sub"), (2 * _place(F.col("doc_id"), bounds)).alias("part"))
     shared = rows.filter(full).groupBy("doc_id", "text").agg(F.count("*").alias("copies"))
-    shared = shared.select("doc_id", "text", "copies", _shift_right(tie, F.lit(52)).cast("int").alias("sub"),
+    shared = shared.select("doc_id", "text", "copies", F.shiftrightunsigned(tie, 52).cast("int").alias("sub"),
                            F.when(F.col("doc_id").isNull(), 2 * len(bounds) + 1).otherwise(2 * _place(F.col("doc_id"), bounds) - 1).alias("part"))
     placed = cold.union(shared).withColumn("fp", fingerprint(F.col("text")))
-    order = Window.partitionBy("part", "sub").orderBy(F.col("doc_id").desc_nulls_last(), _shift_right(tie, F.lit(52)), tie, "text")
+    order = Window.partitionBy("part", "sub").orderBy(F.col("doc_id").desc_nulls_last(), F.shiftrightunsigned(tie, 52), tie, "text")
     follows = F.struct("text", "fp")
     looked = placed.select("*", F.lead(follows).over(order).alias("next"), F.lag(F.lit(True)).over(order).isNull().alias("is_first"))
     looked = looked.withColumn("is_last", F.col("next").isNull())
