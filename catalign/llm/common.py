@@ -56,6 +56,33 @@ def routed(frame: DataFrame, key: Column, buckets: DataFrame) -> tuple[DataFrame
             with_bucket.join(side, on, "left_anti").drop("_bucket", "_known"))
 
 
+def text_marks(text: str) -> list[Column]:
+    """h0, h1: 128 bits of a text (null as empty), which with the doc_id tell rows apart that share or lack an id."""
+    whole = F.coalesce(F.col(text), F.lit(""))
+    return [F.xxhash64(whole).alias("h0"), F.xxhash64(F.lit(1), whole).alias("h1")]
+
+
+def packed(docs: DataFrame, *more: Column) -> DataFrame:
+    """The rows as one column `row`, so that no name of theirs can clash, and more columns beside it; `row.*` gives them back."""
+    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), *more)
+
+
+def keep_one(docs: DataFrame, each: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """The documents, one of each group: that of the smallest doc_id (null last), then text mark; rows that repeat its doc_id and text stay with it.
+
+    `each` has one row (doc_id, h0, h1, root) per document; equal texts have one root. Rows outside groups are found by their text
+    mark alone, whatever their doc_id, and mostly without a shuffle.
+    """
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("h0"), F.col("h1"))
+    groups = each.groupBy("root").agg(F.count("*").alias("n"), F.min(first).alias("best")).filter("n > 1").select("root", "best")
+    chosen = saved(each.join(groups, "root").select("h0", "h1", "best").distinct(), "chosen")
+    rows = packed(docs, F.col(f"`{doc_id}`").alias("id"), *text_marks(f"`{text}`"))
+    suspects, clean = routed(rows, F.col("h0"), marked(chosen, "h0"))
+    found = suspects.join(chosen, ["h0", "h1"], "left")
+    stays = F.col("best").isNull() | (F.col("id").eqNullSafe(F.col("best.id")) & (F.col("h0") == F.col("best.h0")) & (F.col("h1") == F.col("best.h1")))
+    return clean.select("row").unionByName(found.filter(stays).select("row")).select("row.*")
+
+
 def partitions_for(spark: SparkSession, rows: int, per_task: int) -> int:
     """Partitions of about `per_task` rows each, at least the session's number."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task))

@@ -300,8 +300,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", **limits) -> DataFrame:
-    """The documents without those that hold a test item."""
-    key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    gone = common.saved(leaks(docs, benchmark, text, doc_id, **limits).select(key("doc_id").alias("_gone")).distinct(), "leaks")
-    suspects, clean = common.routed(docs, key(doc_id), common.marked(gone, "_gone"))
-    return clean.unionByName(suspects.join(gone, key(doc_id) == F.col("_gone"), "left_anti"))
+    """The documents without those that hold a test item; rows are told apart by their text, so no id takes other rows with it."""
+    asked = docs.select(F.struct(*common.text_marks(text)).alias("mark"), F.col(text).alias("text"))
+    gone = common.saved(leaks(asked, benchmark, "text", "mark", **limits).select("doc_id.h0", "doc_id.h1").distinct(), "leaks")
+    suspects, clean = common.routed(common.packed(docs, *common.text_marks(text)), F.col("h0"), common.marked(gone, "h0"))
+    return clean.select("row").unionByName(suspects.join(gone, ["h0", "h1"], "left_anti").select("row")).select("row.*")

@@ -9,7 +9,8 @@ as one row per partition.
 
 Defined results: null text counts as empty and equals the empty text; of equal texts the row with the largest doc_id stays
 (null doc_ids are smallest; if all are null keep_id is null); rows that repeat a kept doc_id and its text are all marked
-kept, and `drop_copies` leaves one of them; an empty table gives no rows; other columns pass through `drop_copies` untouched.
+kept, and `drop_copies` leaves one of them; ties therefore cannot change a result; a very long text is compared whole, by its bytes; an
+empty table gives no rows; other columns, whatever their names, pass through `drop_copies` untouched.
 """
 
 from __future__ import annotations
@@ -155,13 +156,11 @@ def copy_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 def drop_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents without further copies; texts that occur once never leave their partition."""
     buckets = _repeats(docs, text)
-    fp = F.xxhash64(_text(docs, text))
-    suspects, single = common.routed(docs, fp, buckets)
-    groups = _groups(suspects, text, doc_id)
-    sha = F.sha2(_text(suspects, text), 256)
-    tagged = suspects.withColumn("_sha", sha)
-    side = groups.select(F.col("text_sha256").alias("_sha"), F.col("keep_id").alias("_keep"))
-    found = tagged.join(side, "_sha", "left").withColumn("_copies", F.col("_keep").isNotNull())
-    alone = found.filter("NOT _copies").select(docs.columns)
-    stays = found.filter(F.col("_copies") & (F.col(doc_id) == F.col("_keep"))).dropDuplicates([doc_id, "_sha"]).select(docs.columns)
-    return single.unionByName(alone).unionByName(stays)
+    whole = _text(docs, text)
+    rows = common.packed(docs, docs[doc_id].alias("id"), F.xxhash64(whole).alias("fp"), F.sha2(whole, 256).alias("sha"))
+    suspects, single = common.routed(rows, F.col("fp"), buckets)
+    groups = _groups(suspects.select(F.col("row")[text].alias("text"), F.col("id").alias("doc_id")), "text", "doc_id")
+    found = suspects.join(groups.select(F.col("text_sha256").alias("sha"), "keep_id", "group_size"), "sha", "left")
+    alone = found.filter("group_size IS NULL").select("row")
+    stays = found.filter(F.col("group_size").isNotNull() & F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("sha").agg(F.first("row").alias("row")).select("row")
+    return single.select("row").unionByName(alone).unionByName(stays).select("row.*")

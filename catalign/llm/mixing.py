@@ -119,10 +119,9 @@ def mix_report(docs: DataFrame) -> DataFrame:
 def mixed(docs: DataFrame, source: str = "source", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The mix itself: every document as often as its copies say, with `copy` from 1; documents with no copy are left out.
 
-    A column named `copy` in the input is replaced."""
-    chosen = balanced(docs, source, text, doc_id).filter("copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash"), F.col("copies").alias("_copies"))
-    found = docs.withColumn("_key", F.xxhash64(text)).join(
-        chosen, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash")) & F.col(source).eqNullSafe(F.col("_source")))
-    kept = [c for c in docs.columns if c != "copy"]
-    return found.select(*kept, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("copy"))
+    A column named `copy` in the input is replaced; all others pass through untouched, whatever their names."""
+    chosen = balanced(docs, source, text, doc_id).filter("copies > 0").select("doc_id", "source", "text_hash", "copies")
+    asked = common.packed(docs, docs[doc_id].alias("d"), docs[source].alias("s"), F.xxhash64(docs[text]).alias("h"))
+    found = asked.join(chosen, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("text_hash")) & F.col("s").eqNullSafe(F.col("source")))
+    kept = [F.col("row")[c].alias(c) for c in docs.columns if c.lower() != "copy"]
+    return found.select(*kept, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))

@@ -11,8 +11,10 @@ at the median distance, and the triangle bound prunes branches: only points with
 shard returns a spanning forest of its links, never all pairs; components are then joined across shards.
 
 Defined results: null and empty texts have fingerprint zero and are linked like any other; fewer than three words give one shingle;
-repeated rows give one row each; rows with null doc_id take part but never name a component unless it has no other row; an empty table
-gives no rows; other columns pass through `drop_near` untouched.
+repeated rows give one row each; rows with null doc_id take part but never name a component unless it has no other row; ties do not occur, as
+links are symmetric; a very long text is hashed in parts; an empty table gives no rows. `drop_near` tells rows apart by doc_id and text, so null
+and repeated ids lose no other row; rows that repeat doc_id and text of the one that stays stay too; other columns, whatever their names,
+pass through untouched.
 """
 
 from __future__ import annotations
@@ -34,37 +36,41 @@ SHARD_SIZE = 4096
 PARTINGS = 8
 
 
-def fingerprint(text: str | None) -> int:
+def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return 0
     joined = b" ".join(words)
-    n = len(words) - SHINGLE + 1
+    n = len(words) - size + 1
     if n < 1:
         hashes = [xxhash.xxh64_intdigest(joined, SEED)]
     else:
         ends = np.cumsum([len(w) + 1 for w in words]) - 1
         starts = [0, *(ends[:-1] + 1).tolist()]
         digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[a:b], SEED) for a, b in zip(starts, ends[SHINGLE - 1:].tolist(), strict=False)]
-    total, ones = len(hashes), np.zeros(64, np.int64)
-    values = np.array(hashes, np.uint64)
+        hashes = [digest(joined[a:b], SEED) for a, b in zip(starts, ends[size - 1:].tolist(), strict=False)]
+    return majority(np.array(hashes, np.uint64))
+
+
+def majority(values: np.ndarray) -> int:
+    """The bits that more than half of the hashes have."""
+    total, ones = len(values), np.zeros(64, np.int64)
     for at in range(0, total, 1 << 16):
-        part = values[at:at + (1 << 16)]
+        part = np.ascontiguousarray(values[at:at + (1 << 16)])
         ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(ones * 2 > total, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, fp): fp as a signed long."""
+def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE) -> DataFrame:
+    """(doc_id, h0, h1, fp): fp as a signed long beside the mark of the text."""
 
     def run(batches):
         for batch in batches:
-            values = np.array([fingerprint(t.as_py()) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], names=["doc_id", "fp"])
+            values = np.array([fingerprint(t.as_py(), size) for t in batch.column(3)], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(values.view(np.int64))], names=["doc_id", "h0", "h1", "fp"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(doc_id, text).mapInArrow(run, f"doc_id {kind}, fp long")
+    return docs.select(F.col(doc_id).alias("doc_id"), *common.text_marks(text), text).mapInArrow(run, f"doc_id {kind}, h0 long, h1 long, fp long")
 
 
 def _distance(points: np.ndarray, to: np.uint64) -> np.ndarray:
@@ -224,26 +230,23 @@ def _pair_close(values: np.ndarray, at: np.ndarray, radius: int) -> np.ndarray:
     return at[np.bitwise_count(values[at] ^ values[at + 1]) <= radius]
 
 
-def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS) -> DataFrame:
-    """One row per document: doc_id, fp (signed) and component_id."""
-    each = common.saved(fingerprints(docs, text, doc_id), "fingerprints")
+def _rooted(docs: DataFrame, text: str, doc_id: str, radius: int, size: int) -> tuple[DataFrame, DataFrame]:
+    """((doc_id, h0, h1, fp) of the documents, (fp, root, least doc_id) of the distinct fingerprints)."""
+    each = common.saved(fingerprints(docs, text, doc_id, size), "fingerprints")
     distinct = common.saved(each.groupBy("fp").agg(F.min("doc_id").alias("least")), "points")
     found = common.saved(graph.components(links(distinct.select("fp"), radius)), "components")
-    rooted = distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    return each, distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
+def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS, size: int = SHINGLE) -> DataFrame:
+    """One row per document: doc_id, fp (signed) and component_id."""
+    each, rooted = _rooted(docs, text, doc_id, radius, size)
     least = common.saved(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "least")
     named = common.saved(rooted.join(least, "root").select("fp", "component_id"), "named")
     return each.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def drop_near(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS) -> DataFrame:
-    """One document of each component stays: the one with its smallest doc_id."""
-    return drop_hung(docs, near_groups(docs, text, doc_id, radius), doc_id)
-
-
-def drop_hung(docs: DataFrame, groups: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """The documents that name their component in `groups` (doc_id, component_id)."""
-    gone = common.saved(groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct(), "near")
-    suspects, clean = common.routed(docs, F.coalesce(F.col(doc_id).cast("string"), F.lit("")), common.marked(
-        gone.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("k")), "k"))
-    side = gone.select(F.col("doc_id").alias("_gone"))
-    return clean.unionByName(suspects.join(side, F.col(doc_id).eqNullSafe(F.col("_gone")), "left_anti"))
+def drop_near(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS, size: int = SHINGLE) -> DataFrame:
+    """One document of each component stays: the one with its smallest doc_id (null last), then text mark."""
+    each, rooted = _rooted(docs, text, doc_id, radius, size)
+    return common.keep_one(docs, common.saved(each.join(rooted.select("fp", "root"), "fp").select("doc_id", "h0", "h1", "root"), "rooted"), text, doc_id)

@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 def with_clashes(frame):
     """Extra columns whose names an operator may use inside."""
-    for name in ("size", "fp", "score", "t", "key", "data", "block", "rows", "copies", "token", "weight", "n", "segments", "_bucket_"):
+    for name in ("size", "fp", "score", "t", "key", "data", "block", "rows", "copies", "token", "weight", "n", "segments", "_bucket_",
+                 "_bucket", "_known", "_gone", "_keep", "_copies", "_sha", "_id", "_source", "_hash", "_key", "row", "id", "h0", "h1", "best", "times", "sha",
+                 "keep_id", "group_size", "root", "node", "d", "s", "h", "text_hash", "mark"):
         if name not in frame.columns:
             frame = frame.withColumn(name, F.lit("x"))
     return frame

@@ -102,6 +102,19 @@ def test_links_across_shards(spark, shard_size):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
 
 
+def _odd_ids(spark, clash):
+    rows = [(1, "A b c"), (None, "A b c"), (None, "unique it is"), (5, "A b c"), (5, "other text here")]
+    return clash(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def test_no_row_goes_with_the_id_of_another(spark, clash):
+    frame = _odd_ids(spark, clash)
+    others = [(None, "unique it is"), (5, "other text here")]
+    for drop, kept in ((simhash.drop_near, [(1, "A b c")]), (exact_dedup.drop_copies, [(5, "A b c")])):
+        left = drop(frame)
+        assert left.columns == frame.columns and sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted([*kept, *others], key=repr)
+
+
 def test_near_groups(docs, empty_docs):
     got = {(r.doc_id, r.component_id) for r in simhash.near_groups(docs).collect()}
     assert (None, 1) in got and (2, 1) in got and (4, 3) in got and (8, 3) in got and (6, 5) in got and (10, 5) in got and (7, 7) in got
