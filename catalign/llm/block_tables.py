@@ -242,4 +242,6 @@ def digest(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius:
     counts = near_counts(rows.select("fp"), rows.filter(asked).select("fp"), radius)
     done = rows.select("doc_id", "n_chars", "edited_sha256", as_hex(F.col("fp")).alias("fingerprint"), as_hex(F.col("edited_fp")).alias("edited_fingerprint"),
                        likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"), likeness(F.col("fp"), F.col("next_fp")).alias("near_next"), F.when(asked, F.col("fp")).alias("asked"))
-    return done.join(counts.withColumnRenamed("fp", "asked"), "asked", "left").drop("asked")
+    # the other rows have no part in the join, where all of them would have one key
+    counted = done.filter("asked IS NOT NULL").join(counts.withColumnRenamed("fp", "asked"), "asked", "left")
+    return counted.drop("asked").unionByName(done.filter("asked IS NULL").drop("asked").withColumn("n_near", F.lit(None).cast("long")))
