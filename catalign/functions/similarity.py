@@ -2,25 +2,11 @@
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from catalign.functions import fixed
-
-
-def ratio(left: str, right: str) -> float:
-    """Block-matching ratio of two texts (order matters); empty texts score 0."""
-    return SequenceMatcher(None, left, right).ratio() if left and right else 0.0
-
-
-@F.pandas_udf(DoubleType())
-def block_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Lower-cased block-matching ratio of two columns, one Arrow batch at a time."""
-    return pd.Series([ratio((a or "").lower(), (b or "").lower()) for a, b in zip(left, right)])
+from catalign.functions.blocks import block_ratio  # noqa: F401
 
 
 def letters(text: Column) -> Column:

@@ -11,6 +11,7 @@ from catalign.functions import fixed, text
 from catalign.functions.similarity import letter_similarity
 from catalign.operators import tiles
 from catalign.operators.keep import best_match, spread_nulls, top_per_key
+from catalign.session import written
 
 Matcher = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -28,14 +29,14 @@ def _grams(value: Column) -> Column:
     def of(n: int) -> Column:
         starts = F.when(F.length(value) >= n, F.sequence(F.lit(1), F.length(value) - (n - 1)))
         return F.coalesce(F.transform(starts, lambda i: F.substr(value, i, F.lit(n))), F.array().cast("array<string>"))
-    return F.concat(of(3), of(4))
+    return F.concat(F.array(F.lit("")), *[of(n) for n in range(1, 5)])
 
 
 def candidate_index(base_models: DataFrame) -> DataFrame:
     """One row per base model and key it can be found by, so that LIKE turns into an equi-join.
 
-    Keys are the 3- and 4-letter parts of id and name, and the family names (whose ``_`` stands for
-    any letter) that occur in either.
+    Keys are the parts of up to four letters of id and name, and the family names (whose ``_`` stands for
+    any letter) that occur in either; a pattern is looked up by its longest run of letters.
     """
     model_id, name = F.upper("base_model_id"), F.upper("model_name")
     families = sorted({family for _, _, family in fixed.CODE_FAMILIES})
@@ -48,30 +49,28 @@ def candidate_index(base_models: DataFrame) -> DataFrame:
 def find_candidates(requests: DataFrame, base_models: DataFrame) -> DataFrame:
     """Candidate base models of distinct ``(code, brand, model_year)`` requests, scored.
 
-    A candidate taken from the letters of a code may itself hold ``_`` or ``%``; only those few go
-    through a pattern comparison inside their year.
+    A candidate taken from the letters of a code may itself hold ``_`` or ``%``; it is looked up by its longest run of
+    other letters, and the models found are compared with the pattern.
     """
     wild = F.col("candidate").rlike("[_%]") & ~F.col("candidate").isin(*{f for _, _, f in fixed.CODE_FAMILIES})
+    runs = F.transform(F.split("candidate", "[_%]+"), lambda r: F.struct(F.length(r).alias("n"), r.alias("r")))
     asked = requests.withColumn("candidate", F.explode(text.code_candidates(F.col("code"), F.col("brand"))))
-    same_brand = F.ilike(F.col("m.brand"), F.concat(F.lit("%"), F.col("a.brand"), F.lit("%")))
-    index = candidate_index(base_models).alias("m")
-    exact = asked.filter(~wild).alias("a").join(
-        index, (F.col("a.candidate") == F.col("m.key")) & (F.col("a.model_year") == F.col("m.model_year")) & same_brand)
+    asked = asked.withColumns({"wild": wild, "key": F.when(wild, F.array_max(runs)["r"]).otherwise(F.col("candidate"))}).alias("a")
     shape = F.concat(F.lit("%"), F.col("a.candidate"), F.lit("%"))
-    plain = base_models.alias("m")
-    loose = asked.filter(wild).alias("a").join(
-        plain, (F.col("a.model_year") == F.col("m.model_year")) & same_brand
-        & (F.ilike(F.col("m.base_model_id"), shape) | F.ilike(F.col("m.model_name"), shape)))
-    columns = ["a.code", "a.brand", "a.model_year", "a.candidate", "m.base_model_id", "m.model_name",
-               F.col("m.brand").alias("model_brand"), "m.position"]
-    pairs = exact.select(*columns).unionByName(loose.select(*columns))
+    pairs = asked.join(
+        candidate_index(base_models).alias("m"),
+        (F.col("a.key") == F.col("m.key")) & (F.col("a.model_year") == F.col("m.model_year"))
+        & F.ilike(F.col("m.brand"), F.concat(F.lit("%"), F.col("a.brand"), F.lit("%")))
+        & (~F.col("a.wild") | F.ilike(F.col("m.base_model_id"), shape) | F.ilike(F.col("m.model_name"), shape)))
+    pairs = pairs.select("a.code", "a.brand", "a.model_year", "a.candidate", "m.base_model_id", "m.model_name",
+                         F.col("m.brand").alias("model_brand"), "m.position")
     return pairs.withColumn("score", match_score(
         F.upper(F.trim("code")), F.col("candidate"), F.col("base_model_id"), F.col("model_name"),
         F.col("model_brand")))
 
 
 def match_base_models(entries: DataFrame, base_models: DataFrame, accept: float = 0.7, use: float = 0.8,
-                      attach: Sequence[str] = ()) -> DataFrame:
+                      attach: Sequence[str] = (), boundary: bool = False) -> DataFrame:
     """Stage-1 match of every entry: best candidate, its confidence and the outcome.
 
     Scores depend on code, brand and year only, so each distinct combination is matched once and
@@ -87,6 +86,8 @@ def match_base_models(entries: DataFrame, base_models: DataFrame, accept: float
     if attach:
         best = best.join(base_models.select("position", *attach), "position", "left")
     best = best.drop("position")
+    if boundary:
+        best = written(best, "matches")
     joined = entries.withColumnRenamed("model_code", "code").join(best, keys, "left").withColumnRenamed(
         "code", "model_code")
     known = F.size(text.code_candidates(F.col("model_code"), F.col("brand"))) > 0
@@ -104,14 +105,16 @@ def match_base_models(entries: DataFrame, base_models: DataFrame, accept: float
             .drop("best_id", "best_name", "score"))
 
 
-def with_fallback(matched: DataFrame, suggestions: DataFrame, base_models: DataFrame, attach: Sequence[str] = ()) -> DataFrame:
+def with_fallback(matched: DataFrame, suggestions: DataFrame, base_models: DataFrame, attach: Sequence[str] = (),
+                  entries: DataFrame | None = None) -> DataFrame:
     """Structured match, else a suggestion that the catalog confirms, else a failed row.
 
-    ``suggestions(entry_id, suggested_id, suggested_confidence)`` come from outside; only rows
-    without a structured match are looked up. Columns to ``attach`` come from the model that won.
+    ``suggestions(entry_id, suggested_id, suggested_confidence)`` come from outside. Given the ``entries`` of the match, they
+    are looked up by those, so the match is worked out once; else only rows without a structured match are looked up.
+    Columns to ``attach`` come from the model that won.
     """
-    open_rows = matched.filter(~F.col("structured")).select("entry_id", "brand", "model_year")
-    asked = open_rows.join(suggestions, "entry_id")
+    open_rows = matched.filter(~F.col("structured")) if entries is None else entries
+    asked = open_rows.select("entry_id", "brand", "model_year").join(suggestions, "entry_id")
     index = base_models.withColumn("key", F.upper("base_model_id")).alias("m")
     hits = asked.alias("a").join(
         index, (F.upper("a.suggested_id") == F.col("m.key")) & (F.col("a.model_year") == F.col("m.model_year"))

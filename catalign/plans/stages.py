@@ -255,13 +255,13 @@ def match_stage(base_models: DataFrame, suggestions: DataFrame | None = None, us
     groups = ["base_specs", "inheritance_base"]
 
     def stage(entries: DataFrame) -> DataFrame:
-        matched = matching.match_base_models(entries, base_models, accept=use, use=use, attach=groups)
+        matched = matching.match_base_models(entries, base_models, accept=use, use=use, attach=groups, boundary=True)
         if suggestions is None:
             matched = matched.withColumns({
                 "matching_method": F.when(F.col("structured"), "structured").otherwise("failed"),
                 "match_confidence": F.when(F.col("structured"), F.col("match_confidence")).otherwise(0.0)})
         else:
-            matched = matching.with_fallback(matched, suggestions, base_models, groups)
+            matched = matching.with_fallback(matched, suggestions, base_models, groups, entries)
         return matched.withColumns({
             "base_specs": F.coalesce("base_specs", maps.literal_map({})),
             "inheritance_base": F.coalesce("inheritance_base", F.lit(0.0))}).drop("candidate")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "catalign", master: str | None = None, **conf: str) -> SparkSession:
@@ -35,3 +35,10 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="spark-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(frame: DataFrame, purpose: str) -> DataFrame:
+    """The frame as a table in the shared folder: a stage boundary, computed once and read by whatever uses it."""
+    path = shared_dir(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalign.functions import bands, fixed, similarity, text
 from catalign.operators import keep, matching, tiles
-from catalign.plans import feed
+from catalign.plans import feed, stages
 from catalign.tables import Tables
 from catalign.workloads import query
 from catalign.workloads.standins import BASE_MODELS, CATALOG, ENTRIES, PRODUCTS, plain, quote
@@ -100,7 +100,20 @@ def _(t):
         "conv_id", "turn", F.round(similarity.word_similarity(F.col("text"), F.col("other")), 6).alias("similarity"))
 
 
-@query("f05_block_ratio")
+@query("f05_block_ratio", """
+WITH RECURSIVE pairs AS (SELECT DISTINCT p_name, p_type, lower(p_name) AS a, lower(p_type) AS b FROM part),
+w AS (
+  SELECT p_name, p_type, a, b, 0 AS got FROM pairs
+  UNION ALL
+  SELECT p_name, p_type, CASE side WHEN 0 THEN substr(a, 1, m.i - 1) ELSE substr(a, m.i + m.k) END,
+         CASE side WHEN 0 THEN substr(b, 1, strpos(b, substr(a, m.i, m.k)) - 1) ELSE substr(b, strpos(b, substr(a, m.i, m.k)) + m.k) END,
+         CASE side WHEN 0 THEN m.k ELSE 0 END
+  FROM (SELECT p_name, p_type, a, b, side, {'k': best.k, 'i': -best.before} AS m FROM (
+    SELECT p_name, p_type, a, b, side, list_max(flatten(list_transform(range(1, length(a) + 1), lambda i: list_transform(
+      list_filter(range(1, length(a) - i + 2), lambda n: contains(b, substr(a, i, n))), lambda n: {'k': n, 'before': -i})))) AS best
+    FROM w CROSS JOIN (VALUES (0), (1)) s(side) WHERE a <> '' AND b <> '') t WHERE best IS NOT NULL) u
+), r AS (SELECT p_name, p_type, 2.0 * sum(got) / (length(p_name) + length(p_type)) AS ratio FROM w GROUP BY p_name, p_type)
+SELECT p_partkey, round(CAST(coalesce(r.ratio, 0) AS DOUBLE), 6) AS ratio FROM part JOIN r USING (p_name, p_type)""")
 def _(t):
     pairs = t.part.select("p_name", "p_type").distinct().withColumn(
         "ratio", similarity.block_ratio(F.col("p_name"), F.col("p_type")))
@@ -185,12 +198,27 @@ SELECT m.entry_id, CASE WHEN m.score >= 0.8 THEN 'structured' WHEN v.base_model_
  round(CASE WHEN m.score >= 0.8 THEN m.score WHEN v.base_model_id IS NOT NULL THEN 0.75 ELSE 0.0 END, 6) AS confidence
 FROM m LEFT JOIN v ON v.entry_id = m.entry_id""")
 def _(t):
-    done = matching.with_fallback(matched_entries(t), suggestions(t), base_models(t))
+    matched = matching.match_base_models(entries(t), base_models(t), boundary=True)
+    done = matching.with_fallback(matched, suggestions(t), base_models(t), entries=entries(t))
     return done.select("entry_id", F.col("matching_method").alias("method"),
                        F.col("matched_base_model_id").alias("base_model_id"),
                        F.round("match_confidence", 6).alias("confidence"))
 
 
+@query("t01_cascade_levels", f"""
+WITH m AS ({MATCHED}), v AS ({VERIFIED}), c AS (
+ SELECT CASE WHEN m.score >= 0.8 THEN 'structured' WHEN v.base_model_id IS NOT NULL THEN 'semantic' ELSE 'failed' END AS method,
+  CASE WHEN m.score >= 0.8 THEN m.score WHEN v.base_model_id IS NOT NULL THEN 0.75 ELSE 0.0 END AS confidence, m.model_code
+ FROM m LEFT JOIN v ON v.entry_id = m.entry_id)
+SELECT method, CASE WHEN confidence >= 0.9 THEN 'high' WHEN confidence >= 0.7 THEN 'medium' ELSE 'low' END AS level,
+ count(*) AS entries, count(DISTINCT model_code) AS codes FROM c GROUP BY 1, 2""")
+def _(t):
+    models = base_models(t).withColumns({"base_specs": F.create_map().cast("map<string,string>"), "inheritance_base": F.lit(0.9)})
+    done = stages.match_stage(models, suggestions(t))(entries(t))
+    return done.groupBy(F.col("matching_method").alias("method"), bands.level3(F.col("match_confidence")).alias("level")).agg(
+        F.count("*").alias("entries"), F.countDistinct("model_code").alias("codes"))
+
+
 _keyed = f"""
 SELECT brand || '_' || replace(p_name, ' ', '_') || '_' || model_year AS lookup_key, min(p_partkey) AS base_id
 FROM (SELECT p_partkey, p_name, 'B' || (p_size % 5) AS brand, 2019 + p_size % 7 AS model_year FROM part) p
