@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from catalign.functions import fixed
 from catalign.functions.text import engine_name
-from catalign.operators import tiles
+from catalign.operators import contain
 from catalign.operators.keep import spread_nulls
 
 
@@ -95,13 +95,13 @@ def option_usage_in_text(options: DataFrame, texts: DataFrame, keys: Sequence[st
     """How many texts of the last ``days`` contain each option name; ``_`` and ``%`` in a name are wildcards.
 
     ``options(option_id, name, deleted_at, ...)`` keeps its other registry columns; deleted options are left out.
-    ``texts(text, created_at)`` are scanned against tiles of names, so no pairs are built.
+    ``texts(text, created_at)`` meet a name only where they hold its anchor: its rarest part, of a pattern that of its longest run.
     """
     options = options.filter(F.col("deleted_at").isNull()).drop("deleted_at")
     texts = texts.filter(F.col("created_at") >= F.date_sub(as_of, days))
-    plain = lambda n: ~n["name"].rlike("[_%]") & F.col("text").contains(n["name"])
-    wild = lambda n: n["name"].rlike("[_%]") & F.like(F.col("text"), F.concat(F.lit("%"), n["name"], F.lit("%")))
-    hits = tiles.all_hits(texts, list(keys), options, ["option_id", "name"], lambda n: plain(n) | wild(n))
+    named = contain.with_run_anchor(options.filter(F.col("name").isNotNull()), "name")
+    like = lambda t, n: F.when(n.rlike("[_%]"), F.like(t, F.concat(F.lit("%"), n, F.lit("%")))).otherwise(t.contains(n))
+    hits = contain.contained(texts.select(*keys, "text"), keys, "text", named, "name", like).join(options.select("option_id", "name"), "name")
     used = hits.groupBy("option_id").agg(F.count("*").alias("recent_usage_count"))
     return options.join(used, "option_id", "left").withColumn("recent_usage_count", F.coalesce("recent_usage_count", F.lit(0)))
 
@@ -110,21 +110,25 @@ def known_options(entries: DataFrame, registry: DataFrame, keys: Sequence[str])
     """Registry options found in each entry's option text and what is left after removing them.
 
     ``registry(position, name, brand, family)``: a null brand or family fits all. ``entries`` carry
-    ``text``, ``brand`` and ``family``; equal combinations are scanned once.
+    ``text``, ``brand`` and ``family``; equal combinations, blanks around the text apart, are looked up once, by the text and the names
+    that it holds.
     """
-    asked = entries.select("text", "brand", "family").filter(F.trim("text") != "").distinct()
-    spread, _ = tiles.meet(asked, ["text", "brand", "family"], registry, ["position", "name", "brand", "family"])
-    fits = spread.select("text", F.col("brand"), "family", F.filter("names", lambda n: (
-        F.coalesce(n["brand"] == F.col("brand"), F.lit(True)) & F.coalesce(n["family"] == F.col("family"), F.lit(True))
-        & F.lower("text").contains(F.lower(n["name"])))).alias("hits"))
-    fits = fits.groupBy("text", "brand", "family").agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"))
+    same = ["text", "brand", "family"]
+    keyed = entries.withColumn("text", F.nullif(F.trim("text"), F.lit("")))
+    asked = keyed.select(*same).filter("text IS NOT NULL").distinct().withColumn("lower", F.lower("text"))
+    named = registry.withColumn("known_as", F.lower("name"))
+    held = contain.contained(asked.select("lower").distinct(), ["lower"], "lower", named, "known_as").withColumnRenamed("name", "known_as")
+    options = held.join(named.select("known_as", F.struct("position", "name", "brand", "family").alias("n")), "known_as")
+    met = asked.join(options, "lower", "left")
+    fits = F.coalesce(F.col("n.brand") == F.col("brand"), F.col("n.brand").isNull()) & F.coalesce(F.col("n.family") == F.col("family"), F.col("n.family").isNull())
+    hits = met.groupBy(*same).agg(F.array_sort(F.collect_list(F.when(fits, F.col("n")))).alias("hits"))
     names = F.transform("hits", lambda h: h["name"])
     rest = F.aggregate(names, F.lower("text"), lambda left, name: F.replace(left, F.lower(name), F.lit("")))
-    found = fits.select("text", "brand", "family", names.alias("known"),
+    found = hits.select(*[F.col(c).alias(f"_{c}") for c in same], names.alias("known"),
                         F.trim(F.regexp_replace(rest, r"[\s,;]+", " ")).alias("remainder"))
-    keyed = entries.withColumn("text", spread_nulls(F.nullif(F.trim("text"), F.lit("")), *keys))
-    found = found.withColumn("text", F.trim("text")).dropDuplicates(["text", "brand", "family"])
-    return keyed.join(found, ["text", "brand", "family"], "left").select(*keys, "known", "remainder")
+    spread = keyed.withColumn("text", spread_nulls(F.col("text"), *keys))
+    on = (F.col("text") == F.col("_text")) & F.col("brand").eqNullSafe(F.col("_brand")) & F.col("family").eqNullSafe(F.col("_family"))
+    return spread.join(found, on, "left").select(*keys, "known", "remainder")
 
 
 def new_registry_rows(found: DataFrame, keys: Sequence[str]) -> DataFrame:

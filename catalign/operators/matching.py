@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from catalign.functions import fixed, text
 from catalign.functions.similarity import letter_similarity
-from catalign.operators import tiles
+from catalign.operators import contain, tiles
 from catalign.operators.keep import best_match, spread_nulls, top_per_key
 from catalign.session import written
 
@@ -192,6 +192,14 @@ def mutual_containment(left: Column, right: Column) -> Column:
     return text.filled(left) & (a.contains(b) | b.contains(a))
 
 
+def mutual_hits(texts: DataFrame, value: str, names: DataFrame, name: str) -> DataFrame:
+    """Distinct pairs ``value, name`` of which one contains the other, both ways by an anchor join."""
+    left, right = texts.select(value).distinct(), names.select(name).filter(F.col(name).isNotNull()).distinct()
+    inside = contain.contained(left, [value], value, right, name).withColumnRenamed("name", name)
+    around = contain.contained(right, [name], name, left, value).withColumnRenamed("name", value)
+    return inside.unionByName(around).distinct()
+
+
 def first_containing(products: DataFrame, catalog: DataFrame, model: str = "malli") -> DataFrame:
     """First catalog family (by first position) that contains a product's model or lies in it.
 
@@ -199,11 +207,12 @@ def first_containing(products: DataFrame, catalog: DataFrame, model: str = "mall
     """
     families = catalog.groupBy("model_family").agg(
         F.min("position").alias("position"), F.max("position").alias("entry_position"))
-    models = products.select(model).filter(text.filled(F.col(model))).distinct()
-    hits = tiles.first_hit(models, [model], families, ["position", "model_family", "entry_position"],
-                           lambda n: mutual_containment(F.col(model), n["model_family"]))
-    found = hits.select(F.col(model).alias("_model"), F.col("hit.model_family").alias("model_family"),
-                        F.col("hit.entry_position").alias("catalog_position"))
+    models = products.select(F.col(model).alias("_model")).filter(text.filled(F.col("_model"))).distinct().withColumn("_upper", F.upper("_model"))
+    named = families.withColumn("_name", F.upper("model_family"))
+    hits = mutual_hits(models, "_upper", named, "_name")
+    first = hits.join(models, "_upper").join(named, "_name").groupBy("_model").agg(
+        F.min_by(F.struct("model_family", "entry_position"), F.struct("position", "model_family")).alias("hit"))
+    found = first.select("_model", F.col("hit.model_family").alias("model_family"), F.col("hit.entry_position").alias("catalog_position"))
     keyed = products.withColumn("_model", spread_nulls(F.col(model), *products.columns))
     return keyed.join(found, "_model", "left").drop("_model")
 
@@ -241,9 +250,11 @@ def suggest_models(values: DataFrame, whitelist: DataFrame, value: str) -> DataF
     texts = values.select(clean.alias("_clean")).filter(text.filled(F.col("_clean"))).distinct()
     known = whitelist.select(F.col("name").alias("_clean")).distinct().withColumn("_listed", F.lit(True))
     texts = texts.join(known, "_clean", "left")
-    similar = tiles.first_hit(
-        texts.filter(F.col("_listed").isNull()).select("_clean"), ["_clean"], whitelist, ["position", "name"],
-        lambda n: F.lower("_clean").contains(F.lower(n["name"])) | F.lower(n["name"]).contains(F.lower("_clean")))
+    missing = texts.filter(F.col("_listed").isNull()).select("_clean", F.lower("_clean").alias("_lower"))
+    named = whitelist.select("position", "name", F.lower("name").alias("_name"))
+    hits = mutual_hits(missing, "_lower", named, "_name")
+    similar = hits.join(missing, "_lower").join(named, "_name").groupBy("_clean").agg(
+        F.min(F.struct("position", "name")).alias("hit"))
     texts = texts.join(similar, "_clean", "left").select(
         "_clean", F.coalesce("_listed", F.lit(False)).alias("listed"), F.col("hit.name").alias("similar"))
     keyed = values.withColumn("_clean", spread_nulls(F.nullif(clean, F.lit("")), *values.columns))

@@ -51,3 +51,9 @@ def test_running_windows_have_a_bounded_partition(spark):
         for line in plan(spark, name).splitlines():
             if "Window [" in line and "rank" not in line:
                 assert "_block" in line or "[_part" in line, line  # _part: one row per partition of a sort
+
+
+@pytest.mark.parametrize(("name", "most"), [("t06_batch_totals", 5), ("t01_base_model_levels", 3), ("t01_cascade_levels", 5), ("j06_fallback_cascade", 5)])
+def test_the_cascade_reads_its_inputs_once(spark, name, most):
+    initial = plan(spark, name).split("== Initial Plan ==")[-1]
+    assert initial.count("Scan ") <= most, initial
