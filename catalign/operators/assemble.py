@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalign.functions import fixed, text
 from catalign.functions.prices import price_digits
-from catalign.operators.scans import exclusive_sum
+from catalign.session import written
 
 HEAD_ROWS = 12
 
@@ -81,11 +81,37 @@ def keyword_records(cells: DataFrame, keys: Sequence[str] = ("doc", "table_no"),
 
 
 def number_products(rows: DataFrame, doc: str = "doc", page: str = "page", row: str = "row_no", code: str = "model_code") -> DataFrame:
-    """Number of the product a row belongs to: starts counted in page and row order, 0 before the first."""
+    """Number of the product a row belongs to: starts counted in page and row order, 0 before the first.
+
+    A segmented scan: rows are sorted by range once and written; starts are counted inside each partition of the sort, and what a document
+    has in the partitions before comes from one row per partition. So a hot document is spread over partitions like any other rows.
+    """
     start = F.length(F.trim(F.coalesce(F.col(code), F.lit("")))) == 4
-    rows = rows.withColumn("is_start", start)
-    counted = exclusive_sum(rows, [doc], [page, row], F.col("is_start").cast("int"), "_before")
-    return counted.withColumn("product_no", F.col("_before") + F.col("is_start").cast("int")).drop("_before")
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    line = rows.withColumn("is_start", start).repartitionByRange(parts, doc, page, row).sortWithinPartitions(doc, page, row)
+    placed = written(line.withColumn("_at", F.monotonically_increasing_id()), "rows").withColumn("_part", F.shiftrightunsigned("_at", 33))
+    carried = _carried_starts(placed, doc)
+    inside = Window.partitionBy("_part", doc).orderBy("_at")
+    counted = placed.withColumn("_own", F.sum(F.col("is_start").cast("long")).over(inside)).join(F.broadcast(carried), "_part", "left")
+    before = F.when(F.col(doc).eqNullSafe(F.col("_carried.doc")), F.col("_carried.n")).otherwise(F.lit(0))
+    return counted.withColumn("product_no", F.col("_own") + before).drop("_at", "_part", "_own", "_carried")
+
+
+def _carried_starts(placed: DataFrame, doc: str) -> DataFrame:
+    """``_part, _carried``: how many starts the first document of each partition has in the partitions before; a row per partition."""
+    each = placed.groupBy("_part", doc).agg(F.sum(F.col("is_start").cast("long")).alias("n"), F.min("_at").alias("at"))
+    edge = F.struct(F.col(doc).alias("doc"), "n")
+    # as many rows as the sort has partitions
+    edges = each.groupBy("_part").agg(F.min_by(edge, "at").alias("first"), F.max_by(edge, "at").alias("last")).orderBy("_part").collect()
+    found, running = [], (None, 0)
+    for e in edges:
+        first, last = e["first"], e["last"]
+        carry = running[1] if running[0] == first["doc"] and found else 0
+        found.append((e["_part"], (first["doc"], carry)))
+        running = (last["doc"], last["n"] + (carry if last["doc"] == first["doc"] else 0))
+    kind = placed.schema[doc].dataType.simpleString()
+    return placed.sparkSession.createDataFrame(found, f"_part long, _carried struct<doc:{kind},n:long>")
 
 
 def fold_text(values: Column) -> Column:

@@ -28,8 +28,21 @@ CELL_FIELDS = ["model_code", "malli", "paketti", "telamatto", "price", "vari"]
 
 
 def cells(t):
-    wide = t.select(CELLS)
-    return wide.select("doc", F.col("page").alias("table_no"), "page", "row_no", F.array(*[f"c{i}" for i in range(6)]).alias("cells"))
+    """The rows of CELLS, each part read once: the first part of a block brings the heading rows of its table."""
+    def row(number, *values):
+        return F.struct(F.expr(number).cast("long").alias("row_no"), F.array(*[F.expr(v) for v in values]).alias("cells"))
+
+    def text_row(number, *values):
+        return row(str(number), *["CAST(NULL AS STRING)" if v is None else quote(v) for v in values])
+
+    own = row("3 + p_partkey % 20", pick("p_partkey", _codes), pick("p_size", MODELS), pick("p_partkey", PACKAGES), pick("p_size", TRACKS),
+              pick("p_partkey", ["22 310,00 €", "", "12500", "9.990,50 €"]), pick("p_size", ["Black", "", None]))
+    heading = [text_row(0, "PRICE LIST", None, None, None, None, None), text_row(1, "Tuote", "Malli", "Paketti", "Telamatto", "Suositushinta,", "Väri"),
+               text_row(2, "nro", None, None, None, "sis ALV:n", None)]
+    page = F.floor(F.col("p_partkey") / 20).cast("long")
+    made = t.part.select(F.concat(F.lit("list"), F.floor(F.col("p_partkey") / 200).cast("string")).alias("doc"), page.alias("table_no"), page.alias("page"),
+                         F.explode(F.when(F.col("p_partkey") % 20 == 0, F.array(*heading, own)).otherwise(F.array(own))).alias("r"))
+    return made.select("doc", "table_no", "page", "r.row_no", "r.cells")
 
 
 RAW = f"""

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from catalign.functions import fixed
@@ -86,3 +88,24 @@ def test_feed_of_a_sheet(spark):
     assert {r.listing_id for r in out} == {"SKI-DOO_VBTA_2026", "SKI-DOO_VBTB_2026"}
     first = [r for r in out if r.model_code == "VBTA"][0]
     assert first.roubles == 2231000 and "<Title>SKI-DOO Freeride 2026 Standard</Title>" in first.xml and first.matched
+
+
+@pytest.mark.parametrize("parts", ["1", "7", "40"])
+def test_products_are_numbered_across_partitions(spark, parts):
+    """One hot document over many partitions of the sort, small ones between, rows without document, no rows."""
+    rng = random.Random(int(parts))
+    rows = [("hot", p, r) for p in range(30) for r in range(12)] + [(f"d{i}", 0, r) for i in range(25) for r in range(rng.randrange(1, 4))] + [(None, 1, r) for r in range(9)]
+    rows = [(*r, rng.choice(["ABCD", " EFGH ", "x", "", None])) for r in rows]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        frame = spark.createDataFrame(rng.sample(rows, len(rows)), "doc string, page long, row_no long, model_code string")
+        got = {(r.doc, r.page, r.row_no): r.product_no for r in assemble.number_products(frame).collect()}
+        assert assemble.number_products(frame.limit(0)).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    seen, want = {}, {}
+    for doc, page, row, code in sorted(rows, key=lambda r: (r[0] or "", r[1], r[2])):
+        seen[doc] = seen.get(doc, 0) + (len((code or "").strip()) == 4)
+        want[(doc, page, row)] = seen[doc]
+    assert got == want

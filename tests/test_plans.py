@@ -53,7 +53,8 @@ def test_running_windows_have_a_bounded_partition(spark):
                 assert "_block" in line or "[_part" in line, line  # _part: one row per partition of a sort
 
 
-@pytest.mark.parametrize(("name", "most"), [("t06_batch_totals", 5), ("t01_base_model_levels", 3), ("t01_cascade_levels", 5), ("j06_fallback_cascade", 5)])
-def test_the_cascade_reads_its_inputs_once(spark, name, most):
+@pytest.mark.parametrize(("name", "most"), [("t06_batch_totals", 5), ("t01_base_model_levels", 3), ("t01_cascade_levels", 5), ("j06_fallback_cascade", 5),
+                                           ("w03_continuation_merge", 2), ("s03_raw_records", 2), ("s04_keyword_records", 2), ("t08_marketplace_feed", 6)])
+def test_inputs_are_read_a_few_times_only(spark, name, most):
     initial = plan(spark, name).split("== Initial Plan ==")[-1]
     assert initial.count("Scan ") <= most, initial
