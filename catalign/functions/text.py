@@ -207,8 +207,9 @@ def page_title(text: Column) -> Column:
 
 
 def page_is_relevant(text: Column) -> Column:
-    engine = any_word(F.upper(text), fixed.PAGE_ENGINE_WORDS)
-    return engine & any_word(squashed(text), fixed.PAGE_MODEL_WORDS)
+    """An engine word and a model word; the text is named once, so a filter on a computed text does not multiply its code."""
+    return let(text, lambda t: let(F.upper(t), lambda u: any_word(u, fixed.PAGE_ENGINE_WORDS))
+               & let(squashed(t), lambda s: any_word(s, fixed.PAGE_MODEL_WORDS)))
 
 
 def has_table_signs(text: Column) -> Column:
