@@ -4,11 +4,14 @@ A page becomes a tree of elements. Every paragraph passes points for its length
 farther up; a container's points are discounted by the share of its text that stands in links. The best container is kept,
 with its siblings in page order. Scripts, styles, menus, headers, footers, sidebars, forms and elements one of whose classes or
 whose id names an advert, notice, share bar or comment are cut off before scoring; what holds the page's main or largest article
-element, and a form around most of the page's text, is not.
+element, and a form around most of the page's text, is not; words that an article may use for its own parts (SOFT_WORDS) cut inside an
+article or main element only what is mostly links and controls. Without such an element the result climbs from the best container to the highest
+ancestor whose other children score as well.
 
 Defined results: null or empty html gives empty text; pages without paragraphs fall back on the body's own blocks; unclosed
 and wrongly nested tags are closed as browsers do for paragraphs, list items and table cells; repeated rows and null ids give
-one row each; an empty table gives no rows; other columns are ignored. White space is what Unicode says is white space.
+one row each; of equally good containers the first found stays; a very long page costs its own tree in one task; an empty table gives no
+rows; other columns are ignored. White space is what Unicode says is white space.
 """
 
 from __future__ import annotations
@@ -43,38 +46,60 @@ CUT_WORDS = frozenset((
     "outbrain taboola footnotes site-header site-footer page-footer site-nav main-nav main-navigation site-navigation entry-meta post-meta "
     "post-tags entry-tags social-share share-buttons top-ad").split())
 CUT_PREFIXES = frozenset("ad ads advert advertisement sponsored promo cookie cookies gdpr newsletter popup modal breadcrumb comments related share outbrain taboola".split())
+# Last parts of longer classes or ids that mark the same, and first parts that make them mere layout flags.
+CUT_SUFFIXES = frozenset("comment comments commentlist menu nav navbar navigation breadcrumb breadcrumbs sidebar footer newsletter ad ads advert promo".split())
+FLAGS = frozenset("has with no without is show hide open".split())
+# Marks that an article may give to its own parts.
+SOFT_WORDS = frozenset("discussion legal meta tags footnotes copyright disclaimer respond reply replies related social overlay skip banner header share byline".split())
 CUT_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu", "menubar", "alertdialog"}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
-_ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTR = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _PART = re.compile(r"[-_]")
+#: Points, less links, from which on a container beside the way up to the root belongs to the article: a comma or a hundred characters.
+BESIDE = 2.0
 
 
 class Node:
     __slots__ = ("name", "parent", "children", "points", "marked")
 
     def __init__(self, name: str, parent: Node | None) -> None:
-        self.name, self.parent, self.children, self.points, self.marked = name, parent, [], 0.0, False
+        self.name, self.parent, self.children, self.points, self.marked = name, parent, [], 0.0, NONE
 
 
-def _is_cut(attributes: str, in_article: bool) -> bool:
+#: How an element is marked: not at all, cut, or cut where it is mostly links and controls.
+NONE, FIRM, SOFT = 0, 1, 2
+
+
+def _names_mark(names: list[str], in_article: bool) -> int:
+    level = NONE
+    for name in names:
+        parts = _PART.split(name)
+        long = len(parts) > 1
+        cut = name in CUT_WORDS or name == "header" or (long and (parts[0] in CUT_PREFIXES or (parts[-1] in CUT_SUFFIXES and parts[0] not in FLAGS)))
+        if cut and not (in_article and name in SOFT_WORDS):
+            return FIRM
+        level = SOFT if cut else level
+    return level
+
+
+def _mark(attributes: str, in_article: bool) -> int:
+    """The mark that the attributes give, each of them read by itself."""
+    level = NONE
     if "=" not in attributes and "hidden" not in attributes:
-        return False
+        return level
     for found in _ATTR.finditer(attributes):
         name = found[1].lower()
         value = (found[2] or found[3] or found[4] or "").lower()
         if name in ("class", "id"):
-            names = value.split()
-            if not CUT_WORDS.isdisjoint(names) or ("header" in names and not in_article):
-                return True
-            if any(len(parts := _PART.split(n, maxsplit=1)) > 1 and parts[0] in CUT_PREFIXES for n in names):
-                return True
-        elif name == "role":
-            if value in CUT_ROLES:
-                return True
-        elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "")):
-            return True
-    return False
+            now = _names_mark(value.split(), in_article)
+            if now == FIRM:
+                return now
+            level = level or now
+        elif (name == "role" and value in CUT_ROLES) or name == "hidden" or (name == "aria-hidden" and value == "true") or (
+                name == "style" and "display:none" in value.replace(" ", "")):
+            return FIRM
+    return level
 
 
 def parse(page: str) -> Node:
@@ -132,8 +157,11 @@ def parse(page: str) -> Node:
         if name == "html":
             continue
         child = Node(name, node)
-        child.marked = name in SKIPPED or (name == "header" and not _open(node, "article")) or (
-            name != "body" and bool(attributes) and _is_cut(attributes, _open(node, "article")))
+        inside = _open(node, "article") or _open(node, "main")
+        if name in SKIPPED or (name == "header" and not inside):
+            child.marked = FIRM
+        elif name != "body" and attributes:
+            child.marked = _mark(attributes, inside)
         node.children.append(child)
         if not attributes.endswith("/") or name in BLOCK:
             node = child
@@ -150,10 +178,14 @@ def _prune(root: Node) -> None:
         stack.extend(c for c in node.children if isinstance(c, Node))
     whole: dict[Node, int] = {}  # all text below
     free: dict[Node, int] = {}  # text below that is in no marked element but forms
+    busy: dict[Node, int] = {}  # text below that is in links and marked elements
     for node in reversed(order):
         own = sum(len(c.strip()) for c in node.children if isinstance(c, str))
         below = [c for c in node.children if isinstance(c, Node)]
         whole[node] = own + sum(whole[c] for c in below)
+        busy[node] = whole[node] if node.name == "a" else sum(whole[c] if c.marked == FIRM else busy[c] for c in below)
+        if node.marked == SOFT:
+            node.marked = FIRM if 2 * busy[node] > whole[node] else NONE
         free[node] = own + sum(0 if c.marked and c.name != "form" else free[c] for c in below)
     spared: set[Node] = set()
     found = [n for n in order if n.name == "main"] or [n for n in order if n.name == "article"]
@@ -296,8 +328,7 @@ def main_text(page: str | None) -> str:
     outer = best
     while outer is not None and outer.name not in ("article", "main"):
         outer = outer.parent
-    if outer is not None:
-        best = outer
+    best = outer or _climbed(best, value)
     kept = [best]
     if best.parent is not None:
         kept = []
@@ -309,6 +340,16 @@ def main_text(page: str | None) -> str:
     return " ".join(_blocks(kept))
 
 
+def _climbed(best: Node, value: dict[Node, float]) -> Node:
+    """The child, on the way up from the best container, of the highest ancestor of which another child scores as well."""
+    top, node = best, best
+    while node.parent is not None:
+        if any(isinstance(c, Node) and c is not node and value.get(c, 0.0) >= BESIDE for c in node.parent.children):
+            top = node
+        node = node.parent
+    return top
+
+
 def extract(pages: DataFrame, html_column: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """The kept columns, `text` and `n_chars`, one row per page."""
     columns = pages.select(*keep, html_column)

@@ -5,6 +5,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pytest
 
 import corpus_pipeline
 from catalign.llm import decontaminate, extract_html, queries, toxicity
@@ -42,6 +43,30 @@ def test_other_forms():
     assert main_text(deep) == "deep text"
 
 
+PARA = "Words of the article, with commas, that go on for a while so that they score as a paragraph does, indeed they do."
+LAYOUTS = {
+    "section of the article named discussion": f"<article><p>{PARA}</p><section class=discussion><p>{PARA}</p></section></article>",
+    "section of the article named legal": f"<main><p>{PARA}</p><div id=legal><p>{PARA}</p></div></main>",
+    "meta and tags with words": f"<article><div class=meta><p>{PARA}</p></div><div class=tags><p>{PARA}</p></div></article>",
+    "marks inside other attributes": f"<div><p title='hidden gems'>{PARA}</p><p data-hidden=false data-id=comments>{PARA}</p></div>",
+    "heading in a header of main": f"<header>Site</header><main><header><h1>{PARA}</h1></header><p>{PARA}</p></main>",
+    "wrappers one level deeper": f"<div class=c><div><div><p>{PARA}</p><p>, , , {PARA}</p></div></div><div><div><p>{PARA}</p></div></div><div><div><p>{PARA}</p></div></div></div>",
+    "layout flags": f"<div class='page has-sidebar with-header'><div><p>{PARA}</p><p>{PARA}</p></div></div>",
+    "reader comments go": f"<div><p>{PARA}</p><p>{PARA}</p></div><div class=reader-comments><p>Gone {PARA}</p></div><p class=user-comment>Gone</p>",
+    "menus go": f"<ul class=main-menu><li>Gone</ul><article><p>{PARA}</p><p>{PARA}</p></article><div class=bottom-nav>Gone</div>",
+    "tags with links go": f"<article><p>{PARA}</p><p>{PARA}</p><div class=tags><a href=a>Gone one</a> <a href=b>Gone two</a></div></article>",
+    "adverts in the article go": f"<article><p>{PARA}</p><div class=ad>Gone</div><div class='ad-box'>Gone</div><p>{PARA}</p></article>",
+    "a table layout": f"<table><tr><td class=sidebar>Gone</td><td><p>{PARA}</p><p>{PARA}</p></td></tr></table>",
+}
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+def test_layouts(name):
+    page = LAYOUTS[name]
+    text = main_text(f"<html><body>{page}<footer>Gone</footer></body></html>")
+    assert text.count(PARA) == page.count(PARA) - page.count("Gone " + PARA) and "Gone" not in text and "Site" not in text
+
+
 def test_extract_rows(spark, clash):
     long = "<article>" + "<p>word word, word</p>" * 50_000 + "</article>"
     rows = [(1, "u", "<p>é&amp;</p>"), (1, "u", "<p>é&amp;</p>"), (None, None, None), (2, "v", long)]
