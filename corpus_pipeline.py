@@ -29,7 +29,9 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8 or more) the one with the smallest doc_id stays."""
+    """Of each group of near copies (five-word shingles, similarity 0.8 or more) the one with the smallest doc_id stays.
+
+    SimHash fingerprints of the shingles link first, by vantage-point trees; every link is verified, and a prefix filter finds the rest."""
     return near.drop_near(docs)
 
 
