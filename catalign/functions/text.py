@@ -195,15 +195,16 @@ def squashed(text: Column) -> Column:
     return F.regexp_replace(F.upper(text), "[^A-Z0-9]+", "")
 
 
+def _first_title(bare: Column) -> Column:
+    return F.coalesce(*[
+        F.when(bare.contains(title) if absent is None else bare.rlike(f"{title}(?!.*({absent}))"),
+               F.struct(F.lit(model).alias("model"), F.lit(setup).alias("configuration"), F.lit(kind).alias("category")))
+        for title, absent, model, setup, kind in fixed.PAGE_TITLES])
+
+
 def page_title(text: Column) -> Column:
     """Struct of model, configuration and category from the page's first known title; null without one."""
-    def first(bare: Column) -> Column:
-        return F.coalesce(*[
-            F.when(bare.contains(title) if absent is None else bare.rlike(f"{title}(?!.*({absent}))"),
-                   F.struct(F.lit(model).alias("model"), F.lit(setup).alias("configuration"), F.lit(kind).alias("category")))
-            for title, absent, model, setup, kind in fixed.PAGE_TITLES])
-
-    return let(squashed(text), first)
+    return let(squashed(text), _first_title)
 
 
 def page_is_relevant(text: Column) -> Column:
@@ -212,6 +213,14 @@ def page_is_relevant(text: Column) -> Column:
                & let(squashed(t), lambda s: any_word(s, fixed.PAGE_MODEL_WORDS)))
 
 
+def relevant_page_title(text: Column) -> Column:
+    """The title of a relevant page, null for any other page; the text is upper-cased and squashed once for all rules."""
+    def titled(bare: Column) -> Column:
+        return F.when(any_word(bare, fixed.PAGE_MODEL_WORDS), _first_title(bare))
+
+    return let(F.upper(text), lambda u: F.when(any_word(u, fixed.PAGE_ENGINE_WORDS), let(squashed(u), titled)))
+
+
 def has_table_signs(text: Column) -> Column:
     return any_word(text, fixed.TABLE_SIGNS)
 

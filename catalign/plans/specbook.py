@@ -121,8 +121,8 @@ def extract_pages(pages: DataFrame, page_text: str = "text", brand: str = "brand
     """Relevant pages with a known model as nested specifications and indexed columns."""
     body = F.col(page_text)
     # exploding drops pages without a title and keeps Spark from computing the title again for a filter
-    titled = F.explode(F.array_compact(F.array(text.page_title(body)))).alias("_title")
-    kept = pages.filter(text.page_is_relevant(body)).select("*", titled).withColumns({
+    titled = F.explode(F.array_compact(F.array(text.relevant_page_title(body)))).alias("_title")
+    kept = pages.select("*", titled).withColumns({
         "_names": engine_names(body), "_values": engine_values(body), "_tracks": track_options(body),
         "_dims": dimensions(body), "_lists": feature_lists(body)})
     kept = kept.withColumn("_engines", engine_variants(F.col("_names"), F.col("_values"))).select("*", "_title.*", "_lists.*")
