@@ -2,8 +2,9 @@
 
 Every document gets a rate: how often the mix should repeat it. Of all rates that meet each source's token target, entropy
 balancing takes those nearest to the even rate in relative entropy (weighted by tokens), with no rate above `most` copies.
-The convex dual has one multiplier per source; a document's rate is exp(multiplier), cut at `most`. Newton steps solve the
-dual: each sums the tilted tokens and their slopes per source over the tables in Spark, so multipliers and totals are a table keyed by
+The convex dual has one multiplier per source; a document's rate is exp(multiplier), cut at `most`. As every constraint is on
+one source, the dual separates: a Newton step moves each source's multiplier by its own tilted tokens, which are its token sum over all
+documents, added up once in Spark, times its rate; the solution is the logarithm of target over size. Multipliers and totals are a table keyed by
 source and nothing is collected. Rates then become whole copies: inside each block of a source, from the longest document
 to the shortest, the rounding error in tokens is carried on, so a source misses its target by about its shortest documents.
 
