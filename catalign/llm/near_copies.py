@@ -31,7 +31,7 @@ from catalign.llm import common, graph, simhash
 SHINGLE = 5
 #: Hash buckets of the global order: a fixed bound on what is counted and broadcast.
 BUCKETS = 1 << 16
-STAR_ROUNDS = 1
+STAR_ROUNDS = 3
 SKETCH_BITS = 1024
 
 
