@@ -58,3 +58,13 @@ def test_running_windows_have_a_bounded_partition(spark):
 def test_inputs_are_read_a_few_times_only(spark, name, most):
     initial = plan(spark, name).split("== Initial Plan ==")[-1]
     assert initial.count("Scan ") <= most, initial
+
+
+@pytest.mark.parametrize("name", ["t09_specbook_pages", "f17_page_title", "f05_block_ratio"])
+def test_generated_code_compiles(spark, name):
+    """Without the fallback a method that grows beyond 64 KB is an error."""
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        queries()[name](spark, FOLDER).write.format("noop").mode("overwrite").save()
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
