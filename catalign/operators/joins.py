@@ -54,7 +54,8 @@ def spec_price_join(specs: DataFrame, pricing: DataFrame, tolerance: float = 0.0
 
     ``specs(spec_id, brand, model, engines, track_mm)``, ``pricing(sku, brand, model, engine, track_mm)``.
     Exact engine names and tracks are perfect; a track within ``tolerance`` is high, without a track
-    length medium, beyond it low. Rows left over on either side come with a reason.
+    length medium, beyond it low. Rows left over on either side come with a reason: they are found by the distinct keys of the other side, so
+    pairs are built for the matches alone.
     """
     variants = specs.select("spec_id", "track_mm", F.upper("brand").alias("b"), F.upper("model").alias("m"),
                             F.explode_outer("engines").alias("spec_engine"))
@@ -67,12 +68,13 @@ def spec_price_join(specs: DataFrame, pricing: DataFrame, tolerance: float = 0.0
     tier = (F.when(same & (gap == 0), "perfect").when(gap <= tolerance, "high").when(gap.isNull(), "medium").otherwise("low"))
     score = F.when(tier == "perfect", 1.0).when(tier == "high", 0.95).when(tier == "medium", 0.8).otherwise(0.6)
     matches = pairs.select("spec_id", "sku", "spec_engine", "price_engine", tier.alias("tier"), score.alias("confidence"))
+    keys = ["b", "m", "e"]
+    met_specs = variants.join(priced.select(*keys).distinct(), keys, "left_semi").select("spec_id").distinct()
+    met_skus = priced.join(variants.select(*keys).distinct(), keys, "left_semi").select("sku").distinct()
     return {
         "matches": matches,
-        "unmatched_specs": specs.join(matches.select("spec_id").distinct(), "spec_id", "left_anti").withColumn(
-            "reason", F.lit("no_corresponding_price_data")),
-        "unmatched_pricing": pricing.join(matches.select("sku").distinct(), "sku", "left_anti").withColumn(
-            "reason", F.lit("no_corresponding_spec")),
+        "unmatched_specs": specs.join(met_specs, "spec_id", "left_anti").withColumn("reason", F.lit("no_corresponding_price_data")),
+        "unmatched_pricing": pricing.join(met_skus, "sku", "left_anti").withColumn("reason", F.lit("no_corresponding_spec")),
     }
 
 
