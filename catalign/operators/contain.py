@@ -42,8 +42,8 @@ def contained(texts: DataFrame, keys: Sequence[str], text: str, names: DataFrame
     replaces the check for names of another kind: then ``names`` needs a column ``part``, its anchor.
     """
     found = names.select(F.col(name).alias("name"), "part").distinct() if holds is not None else anchors(names, name)
-    # lengths of anchors, PART + 1 values at most
-    lengths = sorted(r[0] for r in found.select(F.length("part")).distinct().collect())
+    # lengths of anchors, PART + 1 values at most: looked up where long texts would have many parts that no anchor asks for
+    lengths = range(PART + 1) if text in keys else sorted(r[0] for r in found.select(F.length("part")).distinct().collect())
     cut = [F.array(F.lit("")) if n == 0 else parts(F.col(text), n) for n in lengths] or [F.array().cast("array<string>")]
     rows = texts.filter(F.col(text).isNotNull()).select(*keys, F.explode(F.concat(*cut)).alias("part"))
     met = rows.join(found, "part").select(*keys, "name")
