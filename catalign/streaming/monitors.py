@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from catalign.operators import keep
+from catalign.sources import keyed
 
 
 def file_stream(spark: SparkSession, folder: str, schema: str, kind: str = "parquet", glob: str = "*", per_trigger: int | None = None) -> DataFrame:
@@ -44,6 +45,17 @@ def ingest(stream: DataFrame, path: str, checkpoint: str, keys: list[str], order
     return run_to_end(stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
 
 
+def ingest_keyed(stream: DataFrame, path: str, checkpoint: str, keys: list[str], order: list[str], parts: int = 256) -> StreamingQuery:
+    """Merge every micro-batch into a keyed table; only the parts it touches are rewritten, and a repeated batch changes nothing."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if keyed.versions(batch.sparkSession, path):
+            keyed.upsert(batch, path, order)
+        else:
+            keyed.create(batch, path, keys, order, parts)
+
+    return run_to_end(stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
+
+
 def ingested(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """Current rows of an ingested table."""
     return keep.keep_last(spark.read.parquet(path), keys, ["batch_id"]).drop("batch_id")

@@ -8,7 +8,7 @@ from catalign.functions import clock, registered, text
 from catalign.operators import history, keep, scans
 from catalign.plans import enrichment, feed, training
 from catalign.session import shared_dir
-from catalign.sources import documents, extractors, files, sinks
+from catalign.sources import documents, extractors, files, keyed, sinks
 from catalign.streaming import monitors
 from catalign.workloads import query
 from catalign.workloads.standins import BASE_MODELS, ENTRIES, PRODUCTS, RUN_LOG, plain
@@ -105,6 +105,18 @@ def _(t):
     return t.spark.read.parquet(path + "-next")
 
 
+@query("k01_keyed_upsert", """
+SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY fresh DESC, event_id DESC) AS rn FROM (
+ SELECT user_id, event_id, event_type, CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS fresh FROM events) x) y WHERE rn = 1""")
+def _(t):
+    rows = t.events.select("user_id", "event_id", "event_type")
+    new = F.col("event_type") == "purchase"
+    path = shared_dir(t.spark, "keyed")
+    keyed.create(rows.filter(~new), path, ["user_id"], ["event_id"], 16)
+    keyed.upsert(rows.filter(new), path, ["event_id"])
+    return keyed.read(t.spark, path)
+
+
 @query("k02_result_rows", f"SELECT run_id, '[\"' || stage || '\"]' AS errors, success FROM ({R}) r")
 def _(t):
     path = shared_dir(t.spark, "results")
@@ -144,6 +156,16 @@ def _(t):
     return first.unionByName(second)
 
 
+@query("k04_keyed_retention", """
+SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) x
+WHERE rn = 1 AND ts >= TIMESTAMP '2024-01-31' - INTERVAL 2 DAY""")
+def _(t):
+    path = shared_dir(t.spark, "keyed")
+    keyed.create(t.events.select("user_id", "event_id", "ts"), path, ["user_id"], ["event_id"], 16)
+    keyed.retain(t.spark, path, "ts", F.lit("2024-01-31 00:00:00").cast("timestamp_ntz"), 2)
+    return keyed.read(t.spark, path).select("user_id", "event_id")
+
+
 @query("k05_feed_rows", f"""
 SELECT product_id, '<Ad> <Id>' || product_id || '</Id> <Year>' || model_year || '</Year> </Ad>' AS xml FROM ({P}) p""")
 def _(t):
@@ -365,6 +387,14 @@ def _(t):
     return monitors.ingested(t.spark, path + "/rows", ["user_id", "event_type"]).select("user_id", "event_type", "event_id")
 
 
+@query("g01_keyed_ingest", """
+SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS rn FROM events) x WHERE rn = 1""")
+def _(t):
+    path = shared_dir(t.spark, "ingest")
+    monitors.ingest_keyed(events_stream(t), path + "/rows", path + "/checkpoint", ["user_id", "event_type"], ["event_id"], 16)
+    return keyed.read(t.spark, path + "/rows").select("user_id", "event_type", "event_id")
+
+
 _day = "date_trunc('day', ts)"
 
 
