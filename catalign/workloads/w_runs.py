@@ -9,7 +9,7 @@ from catalign.operators import history, keep, scans
 from catalign.plans import enrichment, feed, training
 from catalign.session import shared_dir
 from catalign.sources import documents, extractors, files, keyed, sinks
-from catalign.streaming import monitors
+from catalign.streaming import monitors, timings
 from catalign.workloads import query
 from catalign.workloads.standins import BASE_MODELS, ENTRIES, PRODUCTS, RUN_LOG, plain
 from catalign.workloads.w_joins import REGISTRY
@@ -446,6 +446,19 @@ def _(t):
     return t.spark.read.parquet(path + "/rows").select(start.alias("window_start"), "event_type", "attempts")
 
 
+@query("g03_stage_timings", f"""
+SELECT a.stage, a.count, round(avg(duration_ms), 4) AS avg_ms, min(duration_ms) AS min_ms, max(duration_ms) AS max_ms, round(sum(duration_ms), 4) AS total_ms
+FROM (SELECT *, row_number() OVER (PARTITION BY stage ORDER BY ts DESC, run_id DESC) AS rn FROM ({R}) r) l
+JOIN (SELECT stage, count(*) AS count FROM ({R}) r GROUP BY 1) a ON a.stage = l.stage WHERE rn <= 100 GROUP BY 1, 2""")
+def _(t):
+    path = shared_dir(t.spark, "timings")
+    names = ["base_model_matching", "specification_inheritance", "customization_processing", "spring_options_enhancement", "final_validation"]
+    runs = events_stream(t).withColumns({"stage": F.get(F.array(*map(F.lit, names)), (F.col("user_id") % 5).cast("int")), "duration_ms": F.col("value") * 10})
+    timings.monitor(runs, path + "/rows", path + "/checkpoint", "stage", "duration_ms", "ts", "event_id")
+    out = timings.timings(t.spark, path + "/rows")
+    return out.withColumns({"avg_ms": F.round("avg_ms", 4), "total_ms": F.round("total_ms", 4)})
+
+
 @query("g04_audit_stream", "SELECT event_id, 'product_created' AS action FROM events")
 def _(t):
     path = shared_dir(t.spark, "audit")
