@@ -4,8 +4,11 @@
 
 Tokens are lower-cased (A-Z) runs between white space and one end per text. The CLUSTERED most frequent words get their class by exchange
 clustering: in each round every other word is tried in every class and moves to the one where the class bigram likelihood of all its
-neighbours is highest; rounds run over neighbour rows in Spark, and only the class of each clustered word and the class-by-class counts
-(both of fixed size) meet on the driver. Other tokens, seen or not, get a class by their shape, so every token has exactly one class.
+neighbours is highest; rounds run over neighbour rows in Spark, and only the class of each word and the class-by-class counts
+(both of fixed size) meet on the driver. The other words of the head that were seen at least NAMED times begin in a class by their shape and are tried
+in every exchange class, by all their neighbours; a word moves to the likeliest if it gains more there than the choice of
+one class in so many costs (its logarithm), or words seen twice would move by chance. Words seen less often are what is known about words never seen:
+they, and tokens outside the head, stay in the class of their shape, so every token has exactly one class.
 Transitions are smoothed towards the class's own probability, emissions of shape classes by half a count for each token and one unseen.
 
 Counts cover the whole training part. Counts of the HEAD most frequent tokens are broadcast (a fixed bound); all other counts are joined.
@@ -33,6 +36,8 @@ HEAD = 1 << 18
 CLUSTERED = 1 << 13
 CLASSES = 128
 ROUNDS = 12
+#: A word seen this often has a class by its neighbours.
+NAMED = 2
 HALF = 0.5
 #: Share of the class's own probability in a transition, in pseudo counts of the class before.
 SMOOTH = 5.0
@@ -81,7 +86,7 @@ def count_tokens(texts: DataFrame) -> DataFrame:
 class Head:
     """The most frequent tokens with their counts, and the symbol of any token.
 
-    Symbols: positions below `clustered`, then the shapes of all other tokens, then the end. None stands for the end in token lists.
+    Symbols: positions below `clustered` (the words with a class by neighbours), then the shapes of all other tokens, then the end. None stands for the end in token lists.
     """
 
     def __init__(self, words: list[bytes], counts: np.ndarray, clustered: int) -> None:
@@ -211,6 +216,56 @@ def exchange(near: DataFrame, n_words: int, n_classes: int = CLASSES, rounds: in
     return classes
 
 
+def assign(pairs: DataFrame, classes: np.ndarray, shapes: np.ndarray, n_classes: int) -> np.ndarray:
+    """Class of all named words, whose shapes are given: `classes` for the first, which the exchange placed, and for each other one the exchange
+    class in which the class bigrams with all its neighbours are likeliest, of equal ones the first, or
+    the class of its shape (n_classes and more) where that is not less likely by more than a factor of n_classes."""
+    core, n_named = len(classes), len(shapes)
+    classes = np.concatenate([classes, n_classes + shapes[core:]])
+    k = n_classes + SHAPES + 1
+    for turn in range(2 if core < n_named else 0):
+        of = symbol_classes(classes, n_classes)
+        known = class_pairs(pairs, classes, n_classes) + 0.1
+        after, before = np.log(known / known.sum(axis=1, keepdims=True)), np.log(known / known.sum(axis=0, keepdims=True))
+        # [class, following then preceding class]
+        held = pairs.sparkSession.sparkContext.broadcast((of, np.concatenate([after, before.T], axis=1), shapes))
+
+        def sides(batches, held=held, turn=turn):
+            own = held.value[0]
+            for batch in batches:
+                pair, n = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+                first, second = pair // len(own), pair % len(own)
+                # every other word moves in a turn
+                fore, back = ((w >= core) & (w < n_named) & ((w + turn) % 2 == 0) for w in (first, second))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([first[fore] * (2 * k) + own[second[fore]], second[back] * (2 * k) + k + own[first[back]]])),
+                     pa.array(np.concatenate([n[fore], n[back]]))], names=["at", "n"])
+
+        def place(batches, held=held):
+            _, gain, shapes = held.value
+            for batch in batches:
+                # a word has at most one count for each side and class, so the table of some words is bounded
+                for at in range(0, len(batch), 4096):
+                    part = batch.slice(at, 4096)
+                    own = np.diff(np.asarray(part.column(1).offsets))
+                    column, n = np.asarray(part.column(1).flatten()), np.asarray(part.column(2).flatten())
+                    table = np.bincount(np.repeat(np.arange(len(own)), own) * (2 * k) + column, weights=n, minlength=len(own) * 2 * k).reshape(len(own), 2 * k)
+                    value = table @ gain.T
+                    best, rows = np.argmax(value[:, :n_classes], axis=1), np.arange(len(own))
+                    start = n_classes + shapes[np.asarray(part.column(0))]
+                    moves = value[rows, best] > value[rows, start] + math.log(n_classes)
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.where(moves, best, start))], names=["w", "k"])
+
+        counted = pairs.select("pair", "n").mapInArrow(sides, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+        word, column = F.floor(F.col("at") / (2 * k)).alias("w"), (F.col("at") % (2 * k)).cast("int").alias("c")
+        near = counted.select(word, F.struct(column, "n").alias("s")).groupBy("w").agg(F.collect_list("s").alias("s")).select("w", "s.c", "s.n")
+        placed = near.mapInArrow(place, "w long, k long").toArrow()
+        classes = classes.copy()
+        classes[placed.column("w").to_numpy()] = placed.column("k").to_numpy()
+        held.unpersist()
+    return classes
+
+
 class Model:
     """Transitions by class and emissions by head position and shape, in log10; all of fixed size."""
 
@@ -224,9 +279,11 @@ class Model:
         self.shape_size = np.log10(shape_size + HALF * (shape_words + 1))
         k = len(classes)
         size = np.bincount(classes, weights=head.counts[:k], minlength=n_classes)
-        shaped = np.log10(head.counts[k:] + HALF) - self.shape_size[head.symbol[k:len(head.words)] - k]
+        by_shape = np.maximum(np.concatenate([classes - n_classes, head.symbol[k:len(head.words)] - k]), 0)  # of no meaning for words of exchange classes
+        shaped = np.log10(head.counts + HALF) - self.shape_size[by_shape]
+        placed = np.log10(head.counts[:k]) - np.log10(size[classes])
         # by position as in the head: the end is the only token of its class
-        self.emission = np.concatenate([np.log10(head.counts[:k]) - np.log10(size[classes]), shaped, [0.0, 0.0]])
+        self.emission = np.concatenate([np.where(classes < n_classes, placed, shaped[:k]), shaped[k:], [0.0, 0.0]])
 
 
 def symbol_classes(classes: np.ndarray, n_classes: int) -> np.ndarray:
@@ -267,22 +324,25 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", parts: in
     total, vocabulary = (sums["n"] or 0) + ends, sums["v"] + (1 if ends else 0)
     top = counts.orderBy(F.desc("c"), "token").limit(head_size).toArrow()
     words = top.column("token").to_pylist()
-    clustered = min(clustered, len(words))
-    head = Head(words, top.column("c").to_numpy().astype(float), clustered)
+    seen = top.column("c").to_numpy()
+    named = int((seen >= NAMED).sum())
+    head = Head(words, seen.astype(float), named)
     head_b = context.broadcast(head)
     pairs = common.saved(pair_counts(training, head_b, head.end), "pairs")
+    core = min(clustered, named)
     classes = np.zeros(0, np.int64)
-    if clustered:
-        classes = exchange(common.saved(neighbours(pairs, clustered, head.end), "neighbours"), clustered, n_classes)
+    if core:
+        placed = exchange(common.saved(neighbours(pairs, core, head.end), "neighbours"), core, n_classes)
+        classes = assign(pairs, placed, np.fromiter(map(shape, words[:named]), np.int64, named), n_classes)
 
-    clustered_words = set(words[:clustered])
-    clustered_b = context.broadcast(clustered_words)
+    # the named words are the first by count and spelling, so the last of them tells whether a word is one
+    last_named = (int(seen[named - 1]), words[named - 1]) if named else None
 
     def by_shape(batches):
         size, kinds = np.zeros(SHAPES, np.int64), np.zeros(SHAPES, np.int64)
         for batch in batches:
             for token, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if token not in clustered_b.value:
+                if last_named is None or c < last_named[0] or (c == last_named[0] and token > last_named[1]):
                     k = shape(token)
                     size[k] += c
                     kinds[k] += 1
@@ -292,6 +352,9 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", parts: in
     shape_size, shape_words = np.zeros(SHAPES), np.zeros(SHAPES)
     shape_size[shapes.column("k").to_numpy()] = shapes.column("size").to_numpy()
     shape_words[shapes.column("k").to_numpy()] = shapes.column("kinds").to_numpy()
+    stayed = classes >= n_classes
+    shape_size += np.bincount(classes[stayed] - n_classes, weights=seen[:named][stayed], minlength=SHAPES)
+    shape_words += np.bincount(classes[stayed] - n_classes, minlength=SHAPES)
     fitted = context.broadcast(Model(head, classes, n_classes, class_pairs(pairs, classes, n_classes), shape_size, shape_words))
     floor = math.log10(total + HALF * (vocabulary + 1))
 

@@ -111,6 +111,54 @@ def test_exchange_gains_information(spark):
     assert not set(own[b"n"]) & set(own[b"v"])
 
 
+def test_other_words_move_to_the_classes_of_their_neighbours(spark):
+    rng = np.random.default_rng(4)
+    texts = []
+    for i, k in enumerate("nv" * 30):
+        own = [f"{k}{min(int(x), 9)}" for x in rng.exponential(3, 120)]
+        own[10::20] = [f"{k}rare{i // 2 % 4}"] * len(own[10::20])
+        texts.append((" ".join(own) + f" once{i}x",))
+    words = [f"{k}{j}".encode() for j in range(10) for k in "nv"] + [f"{k}rare{j}".encode() for k in "nv" for j in range(4)]
+    head = class_lm.Head(words, np.ones(len(words)), len(words))
+    pairs = class_lm.pair_counts(spark.createDataFrame(texts, "text string"), spark.sparkContext.broadcast(head), head.end)
+    first = np.array([j % 2 * 2 + (j > 9) for j in range(20)])
+    classes = class_lm.assign(pairs, first, np.array([class_lm.shape(w) for w in words]), 4)
+    assert (classes[:20] == first).all() and {c // 2 for c in classes[20:24].tolist()} == {0} and {c // 2 for c in classes[24:].tolist()} == {1}
+    assert class_lm.assign(pairs, first, np.zeros(20, np.int64), 4).tolist() == first.tolist()
+
+
+def test_score_by_plain_sums(spark, corpus, monkeypatch):
+    kept = []
+    init = class_lm.Model.__init__
+    monkeypatch.setattr(class_lm.Model, "__init__", lambda self, head, classes, *rest: kept.append((head, classes)) or init(self, head, classes, *rest))
+    rows = corpus[:120]
+    got = {r.doc_id: r for r in class_lm.score(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), head_size=900, clustered=60, n_classes=6).collect()}
+    head, classes = kept[0]
+    placed = dict(zip(head.words, classes.tolist(), strict=False))
+    assert len(placed) == len(classes) > 60 and any(c < 6 for c in classes[60:]) and any(c >= 6 for c in classes[60:])
+    docs = {i: [*class_lm.tokens(t), None] for i, t, _ in rows}
+    kind = lambda w: "end" if w is None else placed.get(w, 6 + class_lm.shape(w))
+    training = [own for i, own in docs.items() if zlib.crc32(str(i).encode()) % 5 != 1]
+    count = Counter(w for own in training for w in own)
+    links = Counter(p for own in training for p in zip([kind(None), *map(kind, own)], map(kind, own)))  # noqa: B905
+    size, into, out_of, types = Counter(), Counter(), Counter(), Counter(kind(w) for w in count)
+    for w, c in count.items():
+        size[kind(w)] += c
+    for (a, b), n in links.items():
+        into[b] += n
+        out_of[a] += n
+    whole = sum(into.values()) + 0.5 * (6 + class_lm.SHAPES + 1)
+    for i, own in docs.items():
+        want, last = 0.0, "end"
+        for w in own:
+            k = kind(w)
+            want += math.log10((links[last, k] + 5 * (into[k] + 0.5) / whole) / (out_of[last] + 5))
+            if k != "end":
+                want += math.log10(count[w] / size[k] if k < 6 else (count[w] + 0.5) / (size[k] + 0.5 * (types[k] + 1)))
+            last = k
+        assert abs(got[i].score - want) < 1e-6
+
+
 def test_language_model_edges(spark, docs, empty_docs):
     rows = class_lm.score(docs, head_size=50, clustered=20, n_classes=4).collect()
     assert len(rows) == docs.count() and all(math.isfinite(r.score) and r.score < 0 for r in rows)
