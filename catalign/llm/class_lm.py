@@ -225,24 +225,34 @@ def assign(pairs: DataFrame, classes: np.ndarray, shapes: np.ndarray, n_classes:
     k = n_classes + SHAPES + 1
     for turn in range(2 if core < n_named else 0):
         of = symbol_classes(classes, n_classes)
-        known = class_pairs(pairs, classes, n_classes) + 0.1
-        after, before = np.log(known / known.sum(axis=1, keepdims=True)), np.log(known / known.sum(axis=0, keepdims=True))
-        # [class, following then preceding class]
-        held = pairs.sparkSession.sparkContext.broadcast((of, np.concatenate([after, before.T], axis=1), shapes))
+        held = pairs.sparkSession.sparkContext.broadcast(of)
 
         def sides(batches, held=held, turn=turn):
-            own = held.value[0]
+            # class bigrams of the partition go along in the same pass, below zero
+            own, total = held.value, np.zeros(k * k, np.int64)
             for batch in batches:
                 pair, n = np.asarray(batch.column(0)), np.asarray(batch.column(1))
                 first, second = pair // len(own), pair % len(own)
+                total += np.bincount(own[first] * k + own[second], weights=n, minlength=k * k).astype(np.int64)
                 # every other word moves in a turn
                 fore, back = ((w >= core) & (w < n_named) & ((w + turn) % 2 == 0) for w in (first, second))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate([first[fore] * (2 * k) + own[second[fore]], second[back] * (2 * k) + k + own[first[back]]])),
                      pa.array(np.concatenate([n[fore], n[back]]))], names=["at", "n"])
+            seen = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(-1 - seen), pa.array(total[seen])], names=["at", "n"])
+
+        counted = common.saved(pairs.select("pair", "n").mapInArrow(sides, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")), "sides")
+        matrix = counted.filter("at < 0").toArrow()
+        known = np.full(k * k, 0.1)
+        known[-1 - matrix.column("at").to_numpy()] += matrix.column("n").to_numpy()
+        known = known.reshape(k, k)
+        after, before = np.log(known / known.sum(axis=1, keepdims=True)), np.log(known / known.sum(axis=0, keepdims=True))
+        # [class, following then preceding class]
+        tried = pairs.sparkSession.sparkContext.broadcast((np.concatenate([after, before.T], axis=1), shapes))
 
-        def place(batches, held=held):
-            _, gain, shapes = held.value
+        def place(batches, tried=tried):
+            gain, shapes = tried.value
             for batch in batches:
                 # a word has at most one count for each side and class, so the table of some words is bounded
                 for at in range(0, len(batch), 4096):
@@ -256,13 +266,13 @@ def assign(pairs: DataFrame, classes: np.ndarray, shapes: np.ndarray, n_classes:
                     moves = value[rows, best] > value[rows, start] + math.log(n_classes)
                     yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.where(moves, best, start))], names=["w", "k"])
 
-        counted = pairs.select("pair", "n").mapInArrow(sides, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
         word, column = F.floor(F.col("at") / (2 * k)).alias("w"), (F.col("at") % (2 * k)).cast("int").alias("c")
-        near = counted.select(word, F.struct(column, "n").alias("s")).groupBy("w").agg(F.collect_list("s").alias("s")).select("w", "s.c", "s.n")
+        near = counted.filter("at >= 0").select(word, F.struct(column, "n").alias("s")).groupBy("w").agg(F.collect_list("s").alias("s")).select("w", "s.c", "s.n")
         placed = near.mapInArrow(place, "w long, k long").toArrow()
         classes = classes.copy()
         classes[placed.column("w").to_numpy()] = placed.column("k").to_numpy()
         held.unpersist()
+        tried.unpersist()
     return classes
 
 
