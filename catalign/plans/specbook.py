@@ -101,8 +101,7 @@ def feature_lists(page: Column) -> Column:
 
 def track_options(page: Column) -> Column:
     """Track structs (name, length, width, profile), first per name and size."""
-    shape = "(?U)" + fixed.TRACK_LINE
-    part = [F.regexp_extract_all(page, F.lit(shape), F.lit(i)) for i in range(1, 5)]
+    part = [F.regexp_extract_all(page, F.lit(fixed.TRACK_SCAN), F.lit(i)) for i in range(1, 5)]
     tracks = F.transform(part[0], lambda name, i: F.struct(
         F.trim(name).alias("name"), F.get(part[1], i).cast("int").alias("length_inch"), F.get(part[2], i).cast("int").alias("width_inch"),
         F.get(part[3], i).cast("double").alias("profile_inch")))

@@ -1,8 +1,10 @@
 """Stage arithmetic checked by hand, and rule engines."""
 
+import random
+
 from pyspark.sql import functions as F
 
-from catalign.functions import jsons, maps, prices, text
+from catalign.functions import fixed, jsons, maps, prices, text
 from catalign.operators import rules
 from catalign.plans import specbook, stages
 
@@ -161,3 +163,24 @@ def test_date_fields_by_the_feeds_own_names(spark):
     rows = spark.createDataFrame([("junk", "2025-01-01")], "ShopDateBegin string, ShopDateEnd string")
     checks = rules.check_listings(rows, ["ShopDateBegin", "ShopDateEnd"], 2026, "ShopDateBegin", "ShopDateEnd").first().checks
     assert [(c.field, c.outcome.valid) for c in checks] == [("ShopDateBegin", False), ("ShopDateEnd", True)]
+
+
+def test_tracks_of_long_texts(spark):
+    words = "snow " * 20_000
+    pages = spark.createDataFrame([(1, words), (2, words + "Cobra 137x 15 x 1.6mm next Ripper: 154 x16x 3.0"), (3, "1 " * 20_000 + "x 2"), (4, None)], "page long, text string")
+    made = {r.page: r.t for r in pages.select("page", specbook.track_options(F.col("text")).alias("t")).collect()}
+    assert made[1] == [] and made[3] == [] and made[4] is None
+    # the longest name that leaves a size behind it wins, so the last size of a run of words and all but its last digit
+    assert [(t.name == (words + "Cobra 13").strip(), t.length_inch, t.width_inch) for t in made[2]] == [(True, 7, 15), (False, 154, 16)]
+
+
+def test_track_scan_is_the_track_line(spark):
+    draw = random.Random(5)
+    texts = [("".join(draw.choice(["x", "x", " ", " ", "1", "2", "ä", "b", ":", ".", "\n", ">", " 1x2x3", "4 x 5 x 6.7", "\u00a0"]) for _ in range(draw.randint(1, 40))),)
+             for _ in range(20_000)]
+    found = spark.createDataFrame(texts, "text string").select("text", *[
+        F.regexp_extract_all("text", F.lit(p), F.lit(i)).alias(f"{n}{i}") for n, p in (("line", "(?U)" + fixed.TRACK_LINE), ("scan", fixed.TRACK_SCAN))
+        for i in range(1, 5)])
+    same = [F.col(f"line{i}") == F.col(f"scan{i}") for i in range(1, 5)]
+    assert found.filter(~(same[0] & same[1] & same[2] & same[3])).count() == 0
+    assert found.filter(F.size("line1") > 1).count() > 100
