@@ -184,3 +184,9 @@ def test_track_scan_is_the_track_line(spark):
     same = [F.col(f"line{i}") == F.col(f"scan{i}") for i in range(1, 5)]
     assert found.filter(~(same[0] & same[1] & same[2] & same[3])).count() == 0
     assert found.filter(F.size("line1") > 1).count() > 100
+
+
+def test_specification_of_long_pages(spark):
+    long = spark.createDataFrame([(1, "SUMMIT X\n850 E-TEC\n" + "snow " * 20_000), (2, "SUMMIT X\n850 E-TEC\n" + "snow " * 20_000 + "154 x 16 x 3.0")], "page long, text string")
+    made = specbook.extract_pages(long.withColumns({"doc": F.lit("d"), "brand": F.lit("LYNX"), "model_year": F.lit(2026)})).collect()
+    assert sorted((r.source_page, len(r.specifications.tracks)) for r in made) == [(1, 0), (2, 1)]
