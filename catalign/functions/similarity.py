@@ -29,12 +29,25 @@ def words(text: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(F.trim(text)), r"\s+"), lambda w: w != ""))
 
 
+def word_parts(text: Column) -> Column:
+    """What ``word_similarity`` compares of a text: the text without outer blanks in lower case, and its distinct words."""
+    return F.struct((F.coalesce(text, F.lit("")) == "").alias("empty"), F.lower(F.trim(text)).alias("text"), words(text).alias("words"))
+
+
+def _part_similarity(left: Column, right: Column) -> Column:
+    a, b = left["words"], right["words"]
+    shared = F.size(F.array_intersect(a, b))
+    return (F.when(left["empty"] | right["empty"], 0.0).when(left["text"] == right["text"], 1.0)
+            .when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(shared / (F.size(a) + F.size(b) - shared)))
+
+
 def word_similarity(left: Column, right: Column) -> Column:
     """Word-set overlap; equal texts score 1, empty ones 0."""
-    a, b = F.lower(F.trim(left)), F.lower(F.trim(right))
-    empty = (F.coalesce(left, F.lit("")) == "") | (F.coalesce(right, F.lit("")) == "")
-    none = (F.size(words(left)) == 0) | (F.size(words(right)) == 0)
-    return F.when(empty, 0.0).when(a == b, 1.0).when(none, 0.0).otherwise(jaccard(words(left), words(right)))
+    return _part_similarity(word_parts(left), word_parts(right))
+
+
+# a search over many names takes the parts of each text and name once and compares those
+word_similarity.parts, word_similarity.compare = word_parts, _part_similarity
 
 
 def domain_boost(left: Column, right: Column) -> Column:

@@ -150,15 +150,19 @@ def match_by_key(entries: DataFrame, models: DataFrame, confidence: float = 0.98
 
 
 def _nearest_by(texts: DataFrame, names: DataFrame, similarity: Callable[[Column, Column], Column]) -> DataFrame:
-    """Best name per text under a column similarity; a brand that fits no name is compared with all of them."""
-    brand = F.trim(F.upper(F.coalesce("brand", F.lit(""))))
+    """Best name per text under a column similarity; a brand that fits no name is compared with all of them.
 
-    def rank(n: Column) -> Column:
-        other = F.upper(F.coalesce(n["name_brand"], F.lit("")))
-        return F.struct((other.contains(brand) | brand.contains(other)).alias("fits"), similarity(F.col("text"), n["name"]).alias("score"),
-                        (-n["position"]).alias("after"))
+    A similarity with ``parts`` (text -> struct) and ``compare`` (of two such structs) has the parts of every text and name taken once, not once a pair.
+    """
+    parts, compare = getattr(similarity, "parts", lambda c: c), getattr(similarity, "compare", similarity)
+    own = F.struct(F.trim(F.upper(F.coalesce("brand", F.lit("")))).alias("brand"), parts(F.col("text")).alias("parts"))
+    names = names.select("position", F.upper(F.coalesce("name_brand", F.lit(""))).alias("name_brand"), parts(F.col("name")).alias("parts"))
+
+    def rank(n: Column, text: Column) -> Column:
+        fits = n["name_brand"].contains(text["brand"]) | text["brand"].contains(n["name_brand"])
+        return F.struct(fits.alias("fits"), compare(text["parts"], n["parts"]).alias("score"), (-n["position"]).alias("after"))
 
-    found = tiles.best_hit(texts, ["text", "brand"], names, ["position", "name", "name_brand"], rank)
+    found = tiles.best_hit(texts, ["text", "brand"], names, ["position", "name_brand", "parts"], rank, own=own)
     score = F.col("hit.score")
     return found.select("text", "brand", F.when(score > 0, -F.col("hit.after")).alias("position"), F.greatest(score, F.lit(0.0)).alias("score"))
 

@@ -14,10 +14,11 @@ from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalign.functions import fixed
+from catalign.functions.text import let
 
 TILE_ROWS = 2000
 BROADCAST_CHARS = 4_000_000
@@ -59,10 +60,11 @@ def first_hit(texts: DataFrame, keys: Sequence[str], names: DataFrame, fields: S
 
 
 def best_hit(texts: DataFrame, keys: Sequence[str], names: DataFrame, fields: Sequence[str],
-             rank, out: str = "hit", tile_rows: int = TILE_ROWS) -> DataFrame:
-    """The largest ``rank(row, name)`` struct of every text over all names."""
+             rank, out: str = "hit", tile_rows: int = TILE_ROWS, *, own: Column) -> DataFrame:
+    """The largest ``rank(name, own)`` struct of every text over all names; ``own``, an expression over the text row, is evaluated once per tile."""
     met, count = meet(texts, keys, names, fields, tile_rows)
-    hits = met.select(*keys, F.array_max(F.transform("names", rank)).alias(out))
+    best = let(own, lambda value: F.array_max(F.transform("names", lambda name: rank(name, value))))
+    hits = met.select(*keys, best.alias(out))
     return hits if count == 1 else hits.groupBy(*keys).agg(F.max(out).alias(out))
 
 

@@ -182,6 +182,26 @@ def test_similarity_argument_and_tiles_beyond_the_broadcast(spark, monkeypatch):
         assert [(r.id, r.catalog_position, round(r.score, 9)) for r in got] == [(i, p, round(s, 9)) for i, p, s in want]
 
 
+def test_parts_of_a_text_are_taken_once(spark):
+    from catalign.functions import similarity
+    taken = spark.sparkContext.accumulator(0)
+
+    def counted(value):
+        taken.add(1)
+        return value
+
+    calls = F.udf(counted, "string").asNondeterministic()
+    products = spark.range(50).select("id", F.concat(F.lit("sled "), F.col("id")).alias("search_text"), F.lit("").alias("brand"))
+    catalog = spark.range(40).select(F.col("id").alias("position"), F.concat(F.lit("sled "), F.col("id")).alias("search_text"), F.lit("").alias("brand"))
+
+    def close(left, right):
+        return similarity.word_similarity(left, right)
+
+    close.parts, close.compare = lambda c: similarity.word_parts(calls(c)), similarity.word_similarity.compare
+    assert matching.match_texts(products, catalog, 0.5, close).filter("score = 1").count() == 40
+    assert 90 <= taken.value <= 3 * (50 + 2 * 40)  # not 50 x 40
+
+
 def test_lookup_keeps_the_smallest_model(spark):
     models = spark.createDataFrame([("A_B_2024", 7), ("A_B_2024", 3)], "lookup_key string, base_model_id long")
     entries = spark.createDataFrame([("A", "B", 2024)], "brand string, model_family string, model_year int")
