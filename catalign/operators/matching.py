@@ -249,7 +249,11 @@ def whitelist_match(products: DataFrame, whitelist: DataFrame, brand: str = "bra
 
 
 def suggest_models(values: DataFrame, whitelist: DataFrame, value: str) -> DataFrame:
-    """Whitelist check of a value, with the first name that contains it or lies in it as suggestion."""
+    """Whitelist check of a value, with the first name that contains it or lies in it as suggestion.
+
+    The distinct values with their outcomes are written first: their measured size lets Spark broadcast them, so that rows, of which a few values
+    may hold nearly all, are not shuffled by value unless the distinct values are many.
+    """
     clean = F.trim(F.col(value))
     texts = values.select(clean.alias("_clean")).filter(text.filled(F.col("_clean"))).distinct()
     known = whitelist.select(F.col("name").alias("_clean")).distinct().withColumn("_listed", F.lit(True))
@@ -261,6 +265,7 @@ def suggest_models(values: DataFrame, whitelist: DataFrame, value: str) -> DataF
         F.min(F.struct("position", "name")).alias("hit"))
     texts = texts.join(similar, "_clean", "left").select(
         "_clean", F.coalesce("_listed", F.lit(False)).alias("listed"), F.col("hit.name").alias("similar"))
+    texts = written(texts, "models")
     keyed = values.withColumn("_clean", spread_nulls(F.nullif(clean, F.lit("")), *values.columns))
     return (keyed.join(texts, "_clean", "left").drop("_clean")
             .withColumn("listed", F.coalesce("listed", F.lit(False))))

@@ -68,3 +68,10 @@ def test_generated_code_compiles(spark, name):
         queries()[name](spark, FOLDER).write.format("noop").mode("overwrite").save()
     finally:
         spark.conf.unset("spark.sql.codegen.fallback")
+
+
+@pytest.mark.parametrize("name", ["a22_listing_totals", "a22_listing_summary", "v07_listing_fields", "v07_listing_suggested_fix", "j15_containment_suggestion"])
+def test_listings_are_not_shuffled_by_model(spark, name):
+    """A few models hold nearly all rows, so their outcomes go to the rows."""
+    text = plan(spark, name)
+    assert "BroadcastHashJoin [_clean" in text and "SortMergeJoin" not in text
