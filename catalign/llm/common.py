@@ -28,13 +28,22 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def saved(frame: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in the shared folder: lineage ends here, and lost executors cost no recomputation before it."""
-    path = fresh_path(frame.sparkSession, name)
-    frame.write.parquet(path)
+def saved(frame: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """The frame as a table in the shared folder: lineage ends here, and lost executors cost no recomputation before it.
+
+    A given path is written over; the frame must not read it.
+    """
+    path = path or fresh_path(frame.sparkSession, name)
+    frame.write.mode("overwrite").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def gathered(frame: DataFrame, rows: int, per_task: int = 200_000) -> DataFrame:
+    """The frame in tasks of about `per_task` rows, where its `rows` (a bound) need fewer than the session's partitions."""
+    parts = -(-max(rows, 1) // per_task)
+    return frame.coalesce(parts) if parts < int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")) else frame
+
+
 def bucket(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(MARK_BUCKETS))
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from catalign.llm import exact_dedup, graph, simhash, suffix_dedup
+from catalign.llm import common, exact_dedup, graph, simhash, suffix_dedup
 
 
 def test_filters_merge_without_loss():
@@ -130,6 +130,22 @@ def test_components_of_a_chain_and_a_hub(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_leave_few_files(spark, tmp_path, monkeypatch):
+    """Tables of a round are written over, and few edges go to few files even where shuffles have many partitions."""
+    monkeypatch.setattr(common, "shared_dir", lambda _spark: str(tmp_path))
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        chain = spark.range(300).selectExpr("id AS a", "id + 1 AS b")
+        assert graph.components(chain).filter("root = 0").count() == 301
+        assert len(list(tmp_path.glob("llm/*"))) == 3 and len(list(tmp_path.glob("llm/*/*.parquet"))) <= 3
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def _strip(texts, window=200):
     counts = Counter(b[i:i + window] for b in texts for i in range(len(b) - window + 1))
     out = []
