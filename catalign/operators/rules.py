@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from catalign.functions import fixed
 from catalign.functions.maps import sql_text
-from catalign.functions.text import any_word, filled, let
+from catalign.functions.text import any_word, filled
 
 TEXTS = "array<string>"
 
@@ -341,7 +341,7 @@ def _check_year(this_year: int):
 
 
 def _trimmed(name: str) -> Column:
-    return F.regexp_replace(F.coalesce(F.col(name), F.lit("")), r"^\s+|\s+$", "")
+    return F.btrim(F.coalesce(F.col(name), F.lit("")), F.lit(" \t\n\x0b\f\r"))
 
 
 def _listing_checks(this_year: int, begin: str, end: str) -> dict:
@@ -354,16 +354,15 @@ def check_listings(listings: DataFrame, fields: Sequence[str], this_year: int, b
 
     ``listings`` is wide and carries ``listed`` and ``similar`` of its model; fields without a rule
     pass through unjudged. ``begin`` and ``end`` name the date fields as the feed spells them. Nothing is shuffled.
+    Trimmed values are columns of an earlier projection, so each is computed once, and no lambda keeps the checks from generated code.
     """
     known = _listing_checks(this_year, begin, end)
 
-    def outcome(name: str) -> Column:
-        clean = _trimmed(name)
-        pair = F.struct(F.col(name).alias("value"), clean.alias("clean"))
-        return let(pair, lambda p: F.struct(F.lit(name).alias("field"), p["value"].alias("value"),
-                                            known[name](p["value"], p["clean"]).alias("outcome")))
-
-    return listings.withColumn("checks", F.array(*[outcome(name) for name in fields if name in known]))
+    judged = [name for name in fields if name in known]
+    trimmed = listings.withColumns({f"_clean_{name}": _trimmed(name) for name in judged})
+    checks = [F.struct(F.lit(name).alias("field"), F.col(name).alias("value"), known[name](F.col(name), F.col(f"_clean_{name}")).alias("outcome"))
+              for name in judged]
+    return trimmed.withColumn("checks", F.array(*checks)).drop(*[f"_clean_{name}" for name in judged])
 
 
 def check_rows(checked: DataFrame, key: str = "listing_id") -> DataFrame:

@@ -3,6 +3,7 @@
 import pytest
 
 from __spark_entry__ import queries
+from catalign.operators import rules
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -75,3 +76,9 @@ def test_listings_are_not_shuffled_by_model(spark, name):
     """A few models hold nearly all rows, so their outcomes go to the rows."""
     text = plan(spark, name)
     assert "BroadcastHashJoin [_clean" in text and "SortMergeJoin" not in text
+
+
+def test_listing_checks_have_no_lambda(spark):
+    """A lambda around a check would have it interpreted for every row."""
+    row = spark.sql("SELECT '1' AS Price, true AS listed, 'x' AS similar")
+    assert "lambda" not in rules.check_listings(row, ["Price"], 2026)._jdf.queryExecution().analyzed().toString()
