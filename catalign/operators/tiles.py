@@ -21,6 +21,8 @@ from catalign.functions import fixed
 from catalign.functions.text import let
 
 TILE_ROWS = 2000
+NAME_ROWS = 8000  # names of a tile in the best-ratio search, laid out in blocks
+BLOCK_ROWS = 4000
 BROADCAST_CHARS = 4_000_000
 MIN_CHUNKS = 32
 CHUNK_ROWS = 2000
@@ -77,9 +79,10 @@ def all_hits(texts: DataFrame, keys: Sequence[str], names: DataFrame, fields: Se
             .select(*keys, "hit.*"))
 
 
-def _chunks(df: DataFrame) -> int:
-    """Chunks of at most about CHUNK_ROWS counted texts, so what a task holds does not grow with the data."""
-    return max(MIN_CHUNKS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(df.count() / CHUNK_ROWS))
+def _chunks(df: DataFrame, tiles: int = 1) -> int:
+    """Chunks of at most about CHUNK_ROWS counted texts, so what a task holds does not grow with the data; with ``tiles``, no more than keep all tasks busy."""
+    busy = max(MIN_CHUNKS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(math.ceil(busy / tiles), math.ceil(df.count() / CHUNK_ROWS))
 
 
 def _cogrouped(left: DataFrame, right: DataFrame, parts: int, run, schema: str) -> DataFrame:
@@ -90,15 +93,17 @@ def _cogrouped(left: DataFrame, right: DataFrame, parts: int, run, schema: str)
 
 
 LETTERS = 96
+LEAD = 16  # names finished first, to have a high score to compare bounds with
 ALIGNED = 200  # from this length on the matcher drops frequent letters, so block bounds do not hold
 
 
+def _letters(texts: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int32)
+
+
 def _letter_counts(texts: list[str]) -> np.ndarray:
-    counts = np.zeros((len(texts), LETTERS), dtype=np.int32)
-    for row, text in enumerate(texts):
-        for letter in text:
-            counts[row, ord(letter) % LETTERS] += 1
-    return counts
+    rows = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    return np.bincount(rows * LETTERS + _letters(texts) % LETTERS, minlength=len(texts) * LETTERS).astype(np.int32).reshape(len(texts), LETTERS)
 
 
 def _letter_prefixes(codes: np.ndarray) -> np.ndarray:
@@ -111,55 +116,89 @@ def _letter_prefixes(codes: np.ndarray) -> np.ndarray:
 
 
 class _Names:
-    """Letters of one tile, laid out so that bounds for a text come from whole-array operations."""
+    """Letters of one block of names, laid out so that bounds and ratios for a text come from whole-array operations."""
 
     def __init__(self, entries: list[str]) -> None:
-        self.sizes = np.array([len(e) for e in entries])
+        self.sizes = np.array([len(e) for e in entries], dtype=np.int64)
         self.counts = _letter_counts(entries)
         short = [e if len(e) < ALIGNED else "" for e in entries]
         self.short = self.sizes < ALIGNED
-        width = max([len(e) for e in short], default=0)
-        self.codes = np.full((len(entries), width), -1, dtype=np.int32)
-        for row, e in enumerate(short):
-            self.codes[row, :len(e)] = [ord(c) for c in e]
-        self.prefixes = _letter_prefixes(self.codes)
+        lengths = np.array([len(e) for e in short], dtype=np.int64)
+        plain = np.full((len(entries), int(lengths.max(initial=0))), -1, dtype=np.int32)
+        plain[np.arange(plain.shape[1])[None, :] < lengths[:, None]] = _letters(short)
+        self.prefixes = _letter_prefixes(plain)
+        # letters as small numbers from 1 on: 0 is padding, and what no name holds gets the number behind the last
+        self.alphabet = np.unique(plain[plain >= 0])
+        self.kind = np.uint8 if len(self.alphabet) < 255 else np.int32
+        self.codes = np.where(plain >= 0, np.searchsorted(self.alphabet, plain) + 1, 0).astype(self.kind)
 
     def letter_bound(self, own: str, rows: np.ndarray) -> np.ndarray:
         """Ratio if all shared letters were aligned."""
         shared = np.minimum(self.counts[rows], _letter_counts([own])[0]).sum(axis=1)
         return 2.0 * shared / np.maximum(1, self.sizes[rows] + len(own))
 
-    def block_bound(self, own: str, rows: np.ndarray) -> np.ndarray:
-        """Ratio if the longest common block were followed by all shared letters on each side of it.
-
-        The block is the one the matcher takes first: longest, then earliest in the text, then in the
-        name. Names of 200 letters and more keep the letter bound.
-        """
-        codes, places = self.codes[rows], np.arange(len(rows))
-        run = np.zeros((len(rows), codes.shape[1] + 1), dtype=np.uint8)
-        length = np.zeros(len(rows), dtype=np.int64)
-        end_own, end_name = np.zeros(len(rows), dtype=np.int64), np.zeros(len(rows), dtype=np.int64)
-        for i, letter in enumerate(own):
-            fresh = np.zeros_like(run)
-            np.multiply(run[:, :-1] + 1, codes == ord(letter), out=fresh[:, 1:])
-            run = fresh
-            longest = run.max(axis=1)
-            better = np.flatnonzero(longest > length)
+    def _blocks(self, own: np.ndarray, rows: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The block that the matcher takes first in each window: length, end in the text, end in the name. Longest, then earliest in the text, then in the name."""
+        a0, a1, b0, b1 = windows
+        # letters run down and windows across, so that every step is one pass over long rows
+        at = a0 + np.arange((a1 - a0).max())[:, None]
+        left = np.where(at < a1, own[np.minimum(at, len(own) - 1)], len(self.alphabet) + 1).astype(self.kind)
+        at = b0 + np.arange((b1 - b0).max())[:, None]
+        right = np.where(at < b1, self.codes[rows, np.minimum(at, self.codes.shape[1] - 1)], 0).astype(self.kind)
+        run = np.zeros((len(right) + 1, len(rows)), dtype=np.uint8)
+        fresh = np.zeros_like(run)
+        longest_yet = np.zeros(len(rows), dtype=np.uint8)
+        end_own, end_name = (np.zeros(len(rows), dtype=np.int64) for _ in range(2))
+        for i, letter in enumerate(left):
+            np.add(run[:-1], 1, out=fresh[1:])
+            fresh[1:] *= (right == letter).view(np.uint8)
+            run, fresh = fresh, run
+            longest = run.max(axis=0)
+            better = np.flatnonzero(longest > longest_yet)
             if len(better):
-                length[better] = longest[better]
-                end_own[better] = i + 1
-                end_name[better] = run[better].argmax(axis=1)
-        mine = _letter_prefixes(np.array([[ord(c) for c in own]], dtype=np.int32))[0].astype(np.int32)
-        theirs = self.prefixes[rows]
+                longest_yet[better], end_own[better] = longest[better], i + 1
+                end_name[better] = (run[:, better] == longest[better]).argmax(axis=0)
+        length = longest_yet.astype(np.int64)
+        return length, a0 + end_own, b0 + end_name
 
-        def name_prefix(ends: np.ndarray) -> np.ndarray:
-            return theirs[places, ends].astype(np.int32)
+    def scores(self, own: str, rows: np.ndarray, extra: np.ndarray, best: float, lead: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Those of ``rows`` whose ratio plus ``extra`` reaches ``best``, and these scores; the text and all names have fewer than 200 letters.
 
-        left = np.minimum(mine[end_own - length], name_prefix(end_name - length)).sum(axis=1)
-        whole = theirs[:, -1].astype(np.int32)
-        right = np.minimum(mine[-1] - mine[end_own], whole - name_prefix(end_name)).sum(axis=1)
-        bound = 2.0 * np.where(length > 0, length + left + right, 0) / np.maximum(1, self.sizes[rows] + len(own))
-        return np.where(self.short[rows], bound, self.letter_bound(own, rows))
+        All windows still to do are matched at once. After each turn the letters shared inside the open windows bound what a name can still reach, and
+        names that cannot reach ``best`` are left. After the first turn the ``lead`` names of the highest bounds are finished to raise ``best``.
+        """
+        letters = _letters([own])
+        place = np.searchsorted(self.alphabet, letters)
+        known = self.alphabet[np.minimum(place, len(self.alphabet) - 1)] == letters
+        coded = np.where(known, place + 1, len(self.alphabet) + 1).astype(self.kind)
+        mine = _letter_prefixes(letters[None, :])[0]
+        total, matched = self.sizes[rows] + len(own), np.zeros(len(rows), dtype=np.int64)
+        of = np.flatnonzero(self.sizes[rows] > 0)
+        windows = np.array([np.zeros_like(of), np.full_like(of, len(own)), np.zeros_like(of), self.sizes[rows[of]]])
+        turn = 0
+        while True:
+            a0, a1, b0, b1 = windows
+            named = rows[of]
+            shared = np.minimum(mine[a1] - mine[a0], self.prefixes[named, b1] - self.prefixes[named, b0]).sum(axis=1, dtype=np.int64)
+            most = matched + np.bincount(of, shared, minlength=len(rows)).astype(np.int64)
+            score = np.minimum(1.0, 2.0 * most / total + extra)
+            if turn == 1 and len(rows) > lead > 0:
+                first = np.argpartition(-score, lead)[:lead]
+                best = max(best, self.scores(own, rows[first], extra[first], best)[1].max(initial=0.0))
+            alive = score >= best - 1e-9
+            open_ = alive[of] & (shared > 0)
+            of, windows = of[open_], windows[:, open_]
+            if not len(of):
+                return rows[alive], score[alive]
+            length, end_own, end_name = self._blocks(coded, rows[of], windows)
+            matched += np.bincount(of, length, minlength=len(rows)).astype(np.int64)
+            a0, a1, b0, b1 = windows
+            beside = np.hstack([np.array([a0, end_own - length, b0, end_name - length]), np.array([end_own, a1, end_name, b1])])
+            of = np.hstack([of, of])
+            worth = np.hstack([length, length]) > 0
+            worth &= (beside[1] > beside[0]) & (beside[3] > beside[2])
+            of, windows = of[worth], beside[:, worth]
+            turn += 1
 
 
 def _word_flags(texts: list[str]) -> np.ndarray:
@@ -167,8 +206,31 @@ def _word_flags(texts: list[str]) -> np.ndarray:
     return np.array([[w in t for w in words] for t in texts], dtype=bool).reshape(len(texts), len(words))
 
 
+def _reaching(laid: _Names, entries: list[str], own: str, rows: np.ndarray, extra: np.ndarray, best: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows among which are all that have the highest score from ``best`` on, and their scores."""
+    most = np.minimum(1.0, laid.letter_bound(own, rows) + extra[rows])
+    order = np.argsort(-most, kind="stable")
+    rows, most = rows[order], most[order]
+    found = []
+    whole = laid.short[rows] if len(own) < ALIGNED else np.zeros(len(rows), dtype=bool)
+    for k, limit in zip(rows[~whole], most[~whole]):
+        if limit < best - 1e-9:
+            break
+        score = min(1.0, SequenceMatcher(None, own, entries[k]).ratio() + float(extra[k]))
+        found.append((k, score))
+        best = max(best, score)
+    parts = [(np.array([k for k, _ in found], dtype=np.int64), np.array([score for _, score in found]))]
+    rows, most = rows[whole], most[whole]
+    for part in (slice(0, LEAD), slice(LEAD, None)):
+        reach = rows[part][most[part] >= best - 1e-9]
+        if len(reach):
+            parts.append(laid.scores(own, reach, extra[reach], best, LEAD))
+            best = max(best, parts[-1][1].max(initial=0.0))
+    return np.concatenate([r for r, _ in parts]), np.concatenate([x for _, x in parts])
+
+
 def nearest_names(texts: DataFrame, names: DataFrame, *, fold: str = "lower", boost: bool = False,
-                  by_brand: bool = False, tile_rows: int = TILE_ROWS) -> DataFrame:
+                  by_brand: bool = False, tile_rows: int = NAME_ROWS) -> DataFrame:
     """Exact best name per text under the block-matching ratio.
 
     ``texts(text[, brand])`` and ``names(name, position[, name_brand])`` hold distinct rows. With
@@ -176,8 +238,8 @@ def nearest_names(texts: DataFrame, names: DataFrame, *, fold: str = "lower", bo
     brand fits no name at all is compared with every name. Letter counts and the longest common block
     bound each ratio from above, so most names are never aligned. Result: ``text[, brand], name, position, score``.
     """
-    chunks = _chunks(texts)
     tiles = max(1, math.ceil(names.count() / tile_rows))
+    chunks = _chunks(texts, tiles)
     keys = ["text", "brand"] if by_brand else ["text"]
     change = str.lower if fold == "lower" else str.upper
     weights = np.array([w for w, group in fixed.BOOST_WORDS for _ in group])
@@ -191,61 +253,35 @@ def nearest_names(texts: DataFrame, names: DataFrame, *, fold: str = "lower", bo
     def search(chunk: pd.DataFrame, tile: pd.DataFrame) -> pd.DataFrame:
         tile = tile.sort_values("position").reset_index(drop=True)
         entries = [change(x or "") for x in tile["name"]]
-        laid = _Names(entries)
-        flags = _word_flags([e.lower() for e in entries])
-        brands = [(b or "").upper() for b in tile["name_brand"]] if by_brand else []
+        brands = np.array([(b or "").upper() for b in tile["name_brand"]], dtype=object) if by_brand else None
         masks: dict[str, np.ndarray] = {}
-        aligners: dict[int, SequenceMatcher] = {}
-        out = []
+        asked = []
         for row in chunk.itertuples(index=False):
-            own = change(row.text or "")
-            fits = True
-            picked = np.arange(len(entries))
+            fits, mask = True, None
             if by_brand:
                 brand = (row.brand or "").upper().strip()
                 if brand not in masks:
                     masks[brand] = np.array([not row.brand or brand in b or b in brand for b in brands], dtype=bool)
                 fits = bool(masks[brand].any())
-                picked = picked[masks[brand]] if fits else picked
-            best, place = 0.0, -1
-            if own and len(picked):
-                extra = np.zeros(len(entries))
-                if boost:
-                    both = flags & _word_flags([own.lower()])[0]
-                    extra = np.minimum(cap, (both * weights).sum(axis=1))
-
-                def bounded(ratios: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-                    most = np.minimum(1.0, ratios + extra[rows])
-                    order = np.lexsort((rows, -most))
-                    return rows[order], most[order]
-
-                def align(rows: np.ndarray, most: np.ndarray) -> None:
-                    nonlocal best, place
-                    for k, limit in zip(rows, most):
-                        if limit < best - 1e-9:
-                            return
-                        if not entries[k]:
-                            continue
-                        if k not in aligners:
-                            aligners[k] = SequenceMatcher(None, "", entries[k])
-                        aligners[k].set_seq1(own)
-                        score = aligners[k].ratio()
-                        if boost:
-                            score = min(1.0, score + float(extra[k]))
-                        if score > best or (score == best and score > 0 and k < place):
-                            best, place = score, int(k)
-
-                rows, most = bounded(laid.letter_bound(own, picked), picked)
-                align(rows[:4], most[:4])
-                rest = rows[4:][most[4:] >= best - 1e-9]
-                if len(rest) and len(own) < ALIGNED:
-                    align(*bounded(laid.block_bound(own, rest), rest))
-                elif len(rest):
-                    align(rest, most[4:][most[4:] >= best - 1e-9])
-            found = place >= 0
-            key = (row.text, row.brand) if by_brand else (row.text,)
-            out.append((*key, fits, best, tile["name"][place] if found else None,
-                        int(tile["position"][place]) if found else None))
+                mask = masks[brand] if fits else None
+            asked.append(((row.text, row.brand) if by_brand else (row.text,), change(row.text or ""), fits, mask))
+        best, place = np.zeros(len(asked)), np.full(len(asked), -1)
+        # a best score found in one block rules out names of the next
+        for start in range(0, len(entries), BLOCK_ROWS):
+            block = entries[start:start + BLOCK_ROWS]
+            laid, flags = _Names(block), _word_flags([e.lower() for e in block])
+            for n, (_, own, _, mask) in enumerate(asked):
+                picked = np.arange(len(block)) if mask is None else np.flatnonzero(mask[start:start + BLOCK_ROWS])
+                if own and len(picked):
+                    extra = np.zeros(len(block))
+                    if boost:
+                        extra = np.minimum(cap, ((flags & _word_flags([own.lower()])[0]) * weights).sum(axis=1))
+                    rows, scores = _reaching(laid, block, own, picked, extra, best[n])
+                    top = scores.max(initial=0.0)
+                    if top > best[n]:
+                        best[n], place[n] = top, start + rows[scores == top].min()
+        out = [(*key, fits, best[n], tile["name"][place[n]] if place[n] >= 0 else None, int(tile["position"][place[n]]) if place[n] >= 0 else None)
+               for n, (key, _, fits, _) in enumerate(asked)]
         return pd.DataFrame(out, columns=[*keys, "fits", "score", "name", "position"]).astype({"position": "Int64"})
 
     schema = ("text string, " + ("brand string, " if by_brand else "")

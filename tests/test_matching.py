@@ -3,6 +3,7 @@
 import random
 from difflib import SequenceMatcher
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from catalign.functions import fixed, text
@@ -206,3 +207,29 @@ def test_lookup_keeps_the_smallest_model(spark):
     models = spark.createDataFrame([("A_B_2024", 7), ("A_B_2024", 3)], "lookup_key string, base_model_id long")
     entries = spark.createDataFrame([("A", "B", 2024)], "brand string, model_family string, model_year int")
     assert matching.match_by_key(entries, models).first().matched_base_model_id == 3
+
+
+def test_few_texts_are_not_spread_over_more_chunks_than_tasks(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        # every chunk lays out every name once, so with many tiles few texts must stay in few chunks
+        texts = spark.range(50)
+        assert tiles._chunks(texts, 1) == 60 and tiles._chunks(texts, 20) == 3 and tiles._chunks(texts, 500) == 1
+        assert tiles._chunks(spark.range(10 * tiles.CHUNK_ROWS), 500) == 10
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_batched_scores_equal_the_matcher():
+    rng = random.Random(4)
+    for letters in ("ab", "abc ", "äöß€😀ab"):
+        names = ["".join(rng.choice(letters) for _ in range(n)) for n in (0, 1, 5, 20, 60, 199) for _ in range(6)]
+        own = "".join(rng.choice(letters) for _ in range(40))
+        rows, extra = np.arange(len(names)), np.array([rng.choice([0, 0.05, 0.2]) for _ in names])
+        got = tiles._Names(names).scores(own, rows, extra, 0.0)
+        want = [min(1.0, SequenceMatcher(None, own, n).ratio() + x) for n, x in zip(names, extra)]
+        assert got[1].tolist() == [want[k] for k in got[0]] and len(got[0]) == len(names)
+        high = max(want)
+        rows, scores = tiles._Names(names).scores(own, rows, extra, high, 3)
+        assert scores.max() == high and rows[scores == high].tolist() == [k for k, x in enumerate(want) if x == high]
