@@ -44,12 +44,12 @@ def _engine_struct(lines: Column) -> Column:
     values = {
         "cooling": F.when(F.size(cooled) > 0, "liquid-cooled"),
         "type": F.try_element_at(strokes, F.lit(-1)),
-        "displacement": F.floor(high.cast("double")).cast("int"),
+        "displacement": F.floor(high.try_cast("double")).try_cast("int"),
         "displacement_cc": F.concat(low, F.lit(" - "), high, F.lit(" cc")),
         "bore_stroke": F.concat(bore, F.lit(" x "), stroke, F.lit(" mm")),
         "fuel_system": F.trim(last_match(lines, r"(?i)fuel system\s+(.*)")),
         "fuel_type": F.when(F.exists(lower, lambda line: line.contains("premium unleaded")), "Premium unleaded - 95"),
-        "fuel_tank_l": last_match(lines, r"(?i)fuel tank.*?(\d+)").cast("int"),
+        "fuel_tank_l": last_match(lines, r"(?i)fuel tank.*?(\d+)").try_cast("int"),
     }
     return F.struct(*[c.alias(n) for n, c in values.items()])
 
@@ -100,13 +100,13 @@ def feature_lists(page: Column) -> Column:
 
 
 def track_options(page: Column) -> Column:
-    """Track structs (name, length, width, profile), first per name and size."""
+    """Track structs (name, length, width, profile), first per name and size; a number that its type cannot hold is null."""
     part = [F.regexp_extract_all(page, F.lit(fixed.TRACK_SCAN), F.lit(i)) for i in range(1, 5)]
     tracks = F.transform(part[0], lambda name, i: F.struct(
-        F.trim(name).alias("name"), F.get(part[1], i).cast("int").alias("length_inch"), F.get(part[2], i).cast("int").alias("width_inch"),
-        F.get(part[3], i).cast("double").alias("profile_inch")))
-    return dedup_array(tracks, lambda t: F.concat(F.upper(F.trim(t["name"])), t["length_inch"].cast("string"),
-                                                  t["width_inch"].cast("string"), t["profile_inch"].cast("string")))
+        F.trim(name).alias("name"), F.get(part[1], i).try_cast("int").alias("length_inch"), F.get(part[2], i).try_cast("int").alias("width_inch"),
+        F.get(part[3], i).try_cast("double").alias("profile_inch")))
+    return dedup_array(tracks, lambda t: F.concat_ws("", F.upper(F.trim(t["name"])), t["length_inch"].cast("string"),
+                                                     t["width_inch"].cast("string"), t["profile_inch"].cast("string")))
 
 
 def sku(brand: Column, model: Column, configuration: Column, year: Column) -> Column:

@@ -190,3 +190,12 @@ def test_specification_of_long_pages(spark):
     long = spark.createDataFrame([(1, "SUMMIT X\n850 E-TEC\n" + "snow " * 20_000), (2, "SUMMIT X\n850 E-TEC\n" + "snow " * 20_000 + "154 x 16 x 3.0")], "page long, text string")
     made = specbook.extract_pages(long.withColumns({"doc": F.lit("d"), "brand": F.lit("LYNX"), "model_year": F.lit(2026)})).collect()
     assert sorted((r.source_page, len(r.specifications.tracks)) for r in made) == [(1, 0), (2, 1)]
+
+
+def test_numbers_that_no_int_holds_are_null_in_specifications(spark):
+    body = "\n".join(["S U M M I T   X   N E O", "Rotax cylinders", "displacement 1 - 99999999999.5 cc", "fuel tank 99999999999 L", "dry weight 240 kg",
+                      "PowderMax: 99999999999 x 16 x 3.0", "PowderMax: 154 x 16 x 3.0"])
+    pages = spark.createDataFrame([(1, "a.pdf", "LYNX", 2026, body)], "page long, doc string, brand string, model_year int, text string")
+    got = specbook.extract_pages(pages).select("specifications.*").first()
+    assert got.dimensions.dry_weight_kg == 240 and [t.length_inch for t in got.tracks] == [None, 154]
+    assert [(e.displacement, e.fuel_tank_l) for e in got.engines] == [(None, None)]
