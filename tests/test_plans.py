@@ -82,3 +82,10 @@ def test_listing_checks_have_no_lambda(spark):
     """A lambda around a check would have it interpreted for every row."""
     row = spark.sql("SELECT '1' AS Price, true AS listed, 'x' AS similar")
     assert "lambda" not in rules.check_listings(row, ["Price"], 2026)._jdf.queryExecution().analyzed().toString()
+
+
+def test_listing_rows_judge_each_field_once(spark):
+    """A filter inferred from the rows' generator held every check again, below the trimmed values."""
+    row = spark.sql("SELECT id AS listing_id, concat(id) AS Id, true AS listed, 'x' AS similar FROM range(3)")
+    rows = rules.check_rows(rules.check_listings(row, ["Id"], 2026)).filter("fix IS NOT NULL")
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("Id must be at least 3 characters long") == 1
