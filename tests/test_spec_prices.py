@@ -49,3 +49,18 @@ def test_written_pairs_take_little_room(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 40 * 200 * 200
     size = sum(f.stat().st_size for f in (tmp_path / "out").glob("*.parquet"))
     assert size < 0.6 * 1_600_000, size / 1_600_000
+
+
+def test_patterns_are_taken_of_distinct_engines(spark):
+    """No row of either side goes through the patterns; odd names and rows without one keep their keys."""
+    names = [None, "", " with Kit", "850 E-TEC®", "850 e tec with Kit WITH more", "E-TEC 850", "Turbo R and 900", "TURBO  R 900", "\x00" "17"]
+    specs = spark.createDataFrame([(i, "Lynx", "Rave", [n, n], 3900.0) for i, n in enumerate(names)], SPECS)
+    prices = spark.createDataFrame([(f"s{i}", "LYNX", "rave", n, 3900.0) for i, n in enumerate(names)], PRICES)
+    out = joins.spec_price_join(specs, prices)
+    assert "regexp_replace" not in out["matches"]._jdf.queryExecution().optimizedPlan().toString()
+    keyed = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i long, n string").withColumn("e", joins.engine_suffix_free(F.col("n")))
+    keys = [r.e for r in keyed.orderBy("i").collect()]
+    want = Counter((i, f"s{j}") for i, a in enumerate(keys) for j, b in enumerate(keys) for _ in range(2) if a == b)
+    assert Counter((r.spec_id, r.sku) for r in out["matches"].collect()) == want and len(set(keys)) < len(keys)
+    none = joins.spec_price_join(specs, prices.filter("false"))
+    assert none["matches"].count() == 0 and none["unmatched_specs"].count() == len(names) and none["unmatched_pricing"].count() == 0
